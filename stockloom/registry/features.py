@@ -116,10 +116,10 @@ def price_changes(retail):
 
 
 @query("b13_price_std", f"""
-SELECT store_id, item_id, date, round(coalesce(stddev_samp(sell_price) {_frame(7)}, 0), 4) AS price_roll_std_7 FROM priced
+SELECT store_id, item_id, date, round(coalesce(stddev_samp(sell_price) {_frame(7)}, 0), 7) AS price_roll_std_7 FROM priced
 """)
 def price_std(retail):
-    return B.prices(retail.priced).select(*KEYS, F.round("price_roll_std_7", 4).alias("price_roll_std_7"))
+    return B.prices(retail.priced).select(*KEYS, F.round("price_roll_std_7", 7).alias("price_roll_std_7"))
 
 
 @query("b14_sales_lags", "SELECT store_id, item_id, date, " + ", ".join(
@@ -206,13 +206,13 @@ price_features AS (SELECT store_id, item_id, date, sell_price, lagged AS price_l
 @query("b22_all_features", """
 SELECT f.* EXCLUDE (state_id, day_no), round(p.sell_price, 9) AS sell_price, round(p.price_lag_1, 9) AS price_lag_1,
   round(p.price_diff_1, 9) AS price_diff_1, round(p.price_pct_change, 9) AS price_pct_change,
-  round(p.price_roll_std_7, 4) AS price_roll_std_7, round(p.temperature, 9) AS temperature
+  round(p.price_roll_std_7, 7) AS price_roll_std_7, round(p.temperature, 9) AS temperature
 FROM features f JOIN price_features p USING (store_id, item_id, date)
 """, LAGGED, FEATURE_SQL, PRICE_SQL)
 def all_features(retail):
     built = B.all_features(retail.priced)
     wanted = [*KEYS, "sales", *B.feature_columns(built)]
-    return rounded(built.select(*wanted), 9).withColumn("price_roll_std_7", F.round("price_roll_std_7", 4))
+    return rounded(built.select(*wanted).withColumn("price_roll_std_7", F.round("price_roll_std_7", 7)), 9)
 
 
 @query("b23_model_matrix", "SELECT store_id, item_id, date, sales, " + ", ".join(
