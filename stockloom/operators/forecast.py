@@ -73,11 +73,14 @@ def moving_average(df: DataFrame, horizon: int, window: int = V.SEASON) -> DataF
 
 
 def _forecast(df: DataFrame, horizon: int, rows: int, value) -> DataFrame:
-    return (
-        tails(df, rows).select("*", steps(horizon).alias("step"))
-        .select(*V.SERIES, "step", F.date_add("last_date", F.col("step")).alias("date"),
-                value(F.col("tail"), F.col("step")).alias("yhat"))
-    )
+    return from_tails(tails(df, rows), horizon, value)
+
+
+def from_tails(ends: DataFrame, horizon: int, value) -> DataFrame:
+    """Forecast rows from :func:`tails`; ``value(tail, step)`` gives each step's forecast."""
+    return ends.select("*", steps(horizon).alias("step")).select(
+        *V.SERIES, "step", F.date_add("last_date", F.col("step")).alias("date"),
+        value(F.col("tail"), F.col("step")).alias("yhat"))
 
 
 def series_arrays(df: DataFrame) -> DataFrame:

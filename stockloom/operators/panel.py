@@ -89,12 +89,16 @@ def join_prices(panel: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def fill_prices(panel: DataFrame, price: str = "sell_price") -> DataFrame:
-    """Last known price; before the first known one, the next."""
+    """Last known price; before the first known one, the next.
+
+    A row without an earlier price lies before every known one, so its next price is the
+    first of the whole series: one constant frame instead of one scan ahead per row.
+    """
     order = in_order(panel)
     before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return panel.withColumn(price, F.coalesce(
-        F.last(price, ignorenulls=True).over(before), F.first(price, ignorenulls=True).over(after)))
+        F.last(price, ignorenulls=True).over(before), F.first(price, ignorenulls=True).over(whole)))
 
 
 def fill_days(daily: DataFrame, first_day: Column, last_day: Column) -> DataFrame:

@@ -68,11 +68,11 @@ UNION ALL SELECT 'store', store_id, step, round(sum({value}), 6) FROM {table} GR
 
 def _base(retail):
     """Deliberately incoherent base forecasts; one store has none."""
-    nodes = E.node_sales(retail.series)
-    total = C.moving_average(nodes.where(F.col("store_id") == E.TOTAL), STEPS, 28)
-    states = C.moving_average(nodes.where(F.col("store_id") == E.STATE), STEPS, 7)
-    stores = C.seasonal_naive(nodes.where((F.col("store_id") == E.STORE) & (F.col("item_id") != "NATION_9")), STEPS)
-    return E.as_base(total.unionByName(states).unionByName(stores))
+    nodes = E.node_sales(retail.series).where(F.col("item_id") != "NATION_9")
+    level = F.col("store_id")
+    return E.as_base(C.from_tails(C.tails(nodes, 28), STEPS, lambda tail, step: (
+        F.when(level == E.TOTAL, C.mean_of_last(tail, 28)).when(level == E.STATE, C.mean_of_last(tail, 7))
+        .otherwise(C.seasonal_value(tail, step)))))
 
 
 def _mapping(retail):
