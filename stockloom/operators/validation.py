@@ -60,8 +60,8 @@ def null_cells(df: DataFrame) -> DataFrame:
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each set of equal rows."""
     return (
-        df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_count"))
+        df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+        .agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_count"))
     )
 
 
