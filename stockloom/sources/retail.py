@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
         raise EmptyDataFrameError(path)
     try:
         first = rows.head(1)  # all columns of one row; a count would parse none
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         raise DataValidationError(path, "Rows cannot be read") from error
     if not first:
         raise EmptyDataFrameError(path)
