@@ -70,12 +70,20 @@ def compare(pooled: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def stock_replay(pooled: DataFrame) -> DataFrame:
-    """Stockout days and wasted units if every day's forecast were ordered.
+    """Stockout days and wasted units per series and model; see :func:`comparison_table`."""
+    return comparison_table(pooled, []).select(*V.SERIES, "model", "Stockout_Days", "Wastage_Units")
 
-    The day's delivery is the forecast of three rows earlier (the first forecast until
-    then). Stock carries over from day to day and is cut at both ends, so each series is
-    folded in order; a series-model group has at most one entry per origin and step.
+
+def comparison_table(pooled: DataFrame, metrics: list[str] | None = None) -> DataFrame:
+    """Accuracy and stock measures per series and model, in the reporting order.
+
+    The stock measures tell what would have happened if every day's forecast had been
+    ordered: the day's delivery is the forecast of three rows earlier (the first forecast
+    until then), stock carries over and is cut at both ends. That recursion folds the days
+    of one group in order; a group has at most one entry per origin and step. The same
+    aggregation yields the accuracy measures.
     """
+    names = V.METRIC_ORDER if metrics is None else [*metrics, "Stockout_Days", "Wastage_Units"]
     start = F.struct(F.lit(V.REPLAY_START_STOCK).alias("stock"), F.lit(0.0).alias("out"), F.lit(0.0).alias("waste"))
 
     def next_day(state: Column, today: Column) -> Column:
@@ -89,21 +97,16 @@ def stock_replay(pooled: DataFrame) -> DataFrame:
 
     order = Window.partitionBy(*V.SERIES, "model").orderBy("origin", "step")
     delivered = F.coalesce(F.lag("yhat", V.REPLAY_LEAD_DAYS).over(order), F.first("yhat").over(order))
-    day = F.struct("origin", "step", F.col("actual").alias("y"), delivered.alias("delivered"))
+    day = F.struct("origin", "step", F.col("actual").alias("y"), F.col("delivered"))
     return (
-        pooled.select(*V.SERIES, "model", day.alias("day"))
-        .groupBy(*V.SERIES, "model").agg(F.sort_array(F.collect_list("day")).alias("days"))
-        .select(*V.SERIES, "model", F.aggregate("days", start, next_day).alias("end"))
-        .select(*V.SERIES, "model", F.col("end.out").alias("Stockout_Days"), F.col("end.waste").alias("Wastage_Units"))
+        pooled.withColumn("delivered", delivered).groupBy(*V.SERIES, "model")
+        .agg(F.sort_array(F.collect_list(day)).alias("days"), *all_metrics(F.col("actual"), F.col("yhat")))
+        .withColumn("end", F.aggregate("days", start, next_day))
+        .withColumns({"Stockout_Days": F.col("end.out"), "Wastage_Units": F.col("end.waste")})
+        .select(*V.SERIES, "model", *names)
     )
 
 
-def comparison_table(pooled: DataFrame) -> DataFrame:
-    """Accuracy and stock measures per series and model, in the reporting order."""
-    return compare(pooled).join(stock_replay(pooled), [*V.SERIES, "model"]).select(
-        *V.SERIES, "model", *V.METRIC_ORDER)
-
-
 def best_model(comparison: DataFrame, model_order: list[str]) -> DataFrame:
     """Lowest WAPE per series; the earlier model in ``model_order`` wins a tie."""
     rank = F.array_position(F.array(*(F.lit(m) for m in model_order)), F.col("model"))

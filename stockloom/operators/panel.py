@@ -101,25 +101,41 @@ def fill_prices(panel: DataFrame, price: str = "sell_price") -> DataFrame:
         F.last(price, ignorenulls=True).over(before), F.first(price, ignorenulls=True).over(whole)))
 
 
-def fill_days(daily: DataFrame, first_day: Column, last_day: Column) -> DataFrame:
-    """Add the missing days of every series with zero sales.
+def fill_days(
+    daily: DataFrame, first_day: Column, last_day: Column, measures: tuple[str, ...] = ("sales",),
+) -> DataFrame:
+    """Add the missing days of every series, with its measures at zero.
 
     Each row is repeated up to the day before the series' next row (its first row also
     reaches back to ``first_day``), so no date table is joined and the only shuffle is
     the one by series that the later windows need anyway.
     """
     order = Window.partitionBy(*V.SERIES).orderBy("date")
-    kept = [c for c in daily.columns if c not in ("date", "sales")]
+    kept = [c for c in daily.columns if c not in ("date", *measures)]
     start = F.when(F.col("before").isNull(), first_day).otherwise(F.col("date"))
     end = F.when(F.col("after").isNull(), last_day).otherwise(F.date_sub("after", 1))
+    present = F.col("day") == F.col("date")
     return (
         daily.withColumns({"before": F.lag("date").over(order), "after": F.lead("date").over(order)})
-        .select(*kept, "date", "sales", F.explode(F.sequence(start, end)).alias("day"))
-        .select(*kept, F.col("day").alias("date"),
-                F.when(F.col("day") == F.col("date"), F.col("sales")).otherwise(F.lit(0.0)).alias("sales"))
+        .select(*kept, "date", *measures, F.explode(F.sequence(start, end)).alias("day"))
+        .select(*kept, F.col("day").alias("date"), *(
+            F.when(present, F.col(m)).otherwise(F.lit(0).cast(daily.schema[m].dataType)).alias(m)
+            for m in measures))
     )
 
 
+def weekly_price(panel: DataFrame, revenue: str = "revenue") -> DataFrame:
+    """Price of a series' week, revenue over quantity, where no price table exists.
+
+    The panel is already placed by series, so this adds a sort and no shuffle; a separate
+    price table would scan and join the sales once more. Weeks without sales stay null.
+    """
+    week = Window.partitionBy(*V.SERIES, "wm_yr_wk")
+    sold = F.sum("sales").over(week)
+    paid = F.sum(revenue).over(week).cast("double")
+    return panel.withColumn("sell_price", F.when(sold > 0, paid / sold)).drop(revenue)
+
+
 def prepare_panel(sales: DataFrame, calendar_table: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """Wide M5 sales to the priced long panel, for every series."""
     panel = join_calendar(unpivot_days(sales), calendar_table)

@@ -84,22 +84,27 @@ class StarRetail:
             .agg((F.sum("revenue").cast("double") / F.sum("sales")).alias("sell_price"))
         )
 
-    @cached_property
-    def dense(self) -> DataFrame:
-        """Every series on every day, zero where nothing was sold."""
+    def _dense(self, *measures: str) -> DataFrame:
         filled = P.fill_days(
-            self.daily.select("store_id", "state_id", "item_id", "date", "sales"),
-            self.first_day, self.last_day)
+            self.daily.select("store_id", "state_id", "item_id", "date", *measures),
+            self.first_day, self.last_day, measures)
         day_no = F.datediff("date", self.first_day) + 1
         return filled.withColumn("d", F.concat(F.lit("d_"), day_no)).withColumn("day_no", day_no)
 
+    @cached_property
+    def dense(self) -> DataFrame:
+        """Every series on every day, zero where nothing was sold."""
+        return self._dense("sales")
+
     @cached_property
     def panel(self) -> DataFrame:
         return P.join_calendar(self.dense.drop("date"), self.calendar)
 
     @cached_property
     def priced(self) -> DataFrame:
-        return P.fill_prices(P.join_prices(self.panel, self.prices))
+        """The panel with filled prices, from one scan of the line items."""
+        panel = P.join_calendar(self._dense("sales", "revenue").drop("date"), self.calendar)
+        return P.fill_prices(P.weekly_price(panel))
 
     @cached_property
     def series(self) -> DataFrame:

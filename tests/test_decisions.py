@@ -297,3 +297,18 @@ def test_linear_contributions(spark):
     got = {r["feature"]: r["mean_contribution"] for r in X.mean_contributions(matrix, weights).collect()}
     assert got["a"] == pytest.approx(np.abs(3 * (x[:, 0] - x[:, 0].mean())).mean())
     assert [r["feature"] for r in X.top_features(X.mean_contributions(matrix, weights), "mean_contribution", 1).collect()] == ["a"]
+
+
+def test_one_pass_summary_equals_the_single_operators(make_panel):
+    rng = np.random.default_rng(6)
+    panel = make_panel({("S", str(k)): rng.poisson(3, 9 + 13 * k).tolist() for k in range(3)})
+    plan = {r["item_id"]: r for r in planning.planning_table(panel, planning.stock_on_hand(panel)).collect()}
+    spread = I.residual_spread(I.seasonal_residuals(panel))
+    bands = I.prediction_intervals(seasonal_naive(panel, 14), spread).groupBy("item_id").agg(
+        F.sum("p10"), F.sum("p50"), F.sum("p90"), F.first("sigma"))
+    stats = {r["item_id"]: r for r in G.demand_stats(panel).collect()}
+    for item, p10, p50, p90, sigma in bands.collect():
+        row = plan[item]
+        assert [row["p10_sum"], row["forecast_sum"], row["p90_sum"], row["sigma"]] == pytest.approx([p10, p50, p90, sigma])
+        assert row["demand_mean"] == pytest.approx(stats[item]["demand_mean"])
+        assert row["demand_std"] == pytest.approx(stats[item]["demand_std"])
