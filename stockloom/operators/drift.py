@@ -48,27 +48,47 @@ def compared(sides: DataFrame, keys: list[str], small_keys: bool = True) -> Data
     counts = value_counts(sides, keys)
     splits = [] if small_keys else split_points(sides, "value")
     running = running_totals(counts, keys, "value", ["old", "new"], splits)
+    if small_keys:  # already placed by key: totals need no join
+        whole = Window.partitionBy(*keys)
+        return running.withColumns({f"{s}_total": F.sum(s).over(whole) for s in ("old", "new")})
     totals = counts.groupBy(*keys).agg(F.sum("old").alias("old_total"), F.sum("new").alias("new_total"))
     return running.join(totals, keys)
 
 
-def ks_statistic(table: DataFrame, keys: list[str]) -> DataFrame:
-    """Largest distance of the two cumulative shares, with both sample sizes."""
-    share = lambda side: (F.col(f"{side}_before") + F.col(side)) / F.col(f"{side}_total")
+def _distance() -> Column:
+    """Largest distance of the two cumulative shares; null when one side has no rows."""
+    share = lambda side: F.try_divide(F.col(f"{side}_before") + F.col(side), F.col(f"{side}_total"))
+    return F.max(F.abs(share("old") - share("new")))
+
+
+def _edges(bins: int) -> Column:
+    """Distinct quantile edges of the baseline."""
+    return F.array_distinct(F.array(*(
+        quantile_at(F.col("value"), F.col("old_before"), F.col("old"), F.col("old_total"), i / bins)
+        for i in range(bins + 1))))
+
+
+def key_summary(table: DataFrame, keys: list[str], bins: int = V.PSI_BINS) -> DataFrame:
+    """One row per key: KS distance, PSI edges and both sample sizes, in one aggregation."""
     return table.groupBy(*keys).agg(
-        F.max(F.abs(share("old") - share("new"))).alias("ks_statistic"),
+        _distance().alias("ks_statistic"), _edges(bins).alias("edges"),
         F.first("old_total").alias("old_rows"), F.first("new_total").alias("new_rows"))
 
 
+def ks_statistic(table: DataFrame, keys: list[str]) -> DataFrame:
+    """KS distance per key, with both sample sizes."""
+    return key_summary(table, keys).drop("edges")
+
+
 def kolmogorov_p(statistic: Column, old_rows: Column, new_rows: Column, terms: int = KOLMOGOROV_TERMS) -> Column:
     """Two-sided p-value from Kolmogorov's limiting series."""
-    size = old_rows * new_rows / (old_rows + new_rows)
+    size = F.try_divide(old_rows * new_rows, old_rows + new_rows)
     squared = size * statistic * statistic
     tail = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
         lambda total, k: total + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2 * k * k * squared))
     # The series alternates without settling near 0, where the p-value is 1.
-    return F.when(squared < 0.04, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), tail)))
+    return F.when(squared < 0.04, 1.0).when(squared >= 0.04, F.least(F.lit(1.0), F.greatest(F.lit(0.0), tail)))
 
 
 def path_probability(old: int, new: int, statistics: np.ndarray) -> np.ndarray:
@@ -121,26 +141,18 @@ def with_p_value(statistics: DataFrame, keys: list[str], method: str = "auto") -
         F.coalesce(small, F.lit(0.0)),
         F.when(small.isNotNull(), F.col("old_rows")).otherwise(0),
         F.when(small.isNotNull(), F.col("new_rows")).otherwise(0)))
-    return counted.withColumn("ks_p_value", F.when(small.isNotNull(), F.col("_exact")).otherwise(series)).drop("_exact")
-
-
-def psi_edges(table: DataFrame, keys: list[str], bins: int = V.PSI_BINS) -> DataFrame:
-    """Distinct quantile edges of the baseline per key."""
-    cuts = F.array(*(
-        quantile_at(F.col("value"), F.col("old_before"), F.col("old"), F.col("old_total"), i / bins)
-        for i in range(bins + 1)))
-    return table.groupBy(*keys).agg(
-        F.array_distinct(cuts).alias("edges"), F.first("old_total").alias("old_rows"),
-        F.first("new_total").alias("new_rows"))
+    return counted.withColumn("ks_p_value", F.when(small.isNotNull(), F.nanvl("_exact", F.lit(None).cast("double"))).otherwise(series)).drop("_exact")
 
 
-def psi(table: DataFrame, keys: list[str], bins: int = V.PSI_BINS) -> DataFrame:
+def psi(
+    table: DataFrame, keys: list[str], bins: int = V.PSI_BINS, summary: DataFrame | None = None,
+) -> DataFrame:
     """Population stability index per key.
 
     Values outside the baseline's range fall in no bin but still count in the totals; a
     baseline with one distinct value has no bin and scores 0.
     """
-    edges = psi_edges(table, keys, bins)
+    edges = (key_summary(table, keys, bins) if summary is None else summary).drop("ks_statistic")
     place = F.size(F.filter("edges", lambda edge: edge <= F.col("value")))
     count = F.size("edges") - 1
     at_top = F.col("value") == F.element_at("edges", -1)
@@ -162,10 +174,12 @@ def psi(table: DataFrame, keys: list[str], bins: int = V.PSI_BINS) -> DataFrame:
 def drift_report(sides: DataFrame, keys: list[str], small_keys: bool = True, method: str = "auto") -> DataFrame:
     """KS and PSI verdicts per key; either one raises the alarm."""
     table = compared(sides, keys, small_keys)
-    joined = with_p_value(ks_statistic(table, keys), keys, method).join(psi(table, keys), keys)
+    summary = key_summary(table, keys)
+    joined = with_p_value(summary.drop("edges"), keys, method).join(psi(table, keys, summary=summary), keys)
     alarms = joined.withColumns({
         "ks_drift": F.col("ks_p_value") < V.KS_ALPHA, "psi_drift": F.col("psi") >= V.PSI_ALARM})
-    drift = F.col("ks_drift") | F.col("psi_drift")
+    # Without incoming rows there is no test, and a comparison with nothing is no alarm.
+    drift = (F.col("new_rows") > 0) & (F.coalesce("ks_drift", F.lit(False)) | F.col("psi_drift"))
     return alarms.withColumns({
         "drift_detected": drift,
         "status_message": F.when(drift, V.DRIFT_MESSAGE).otherwise(V.STABLE_MESSAGE)})

@@ -97,7 +97,7 @@ def least_squares(base: DataFrame, mapping: DataFrame) -> DataFrame:
 def historical_shares(sales: DataFrame) -> DataFrame:
     """Each store's part of all sales."""
     total = sales.agg(F.sum("sales")).scalar()
-    return sales.groupBy("store_id").agg((F.sum("sales") / total).alias("share"))
+    return sales.groupBy("store_id").agg(F.try_divide(F.sum("sales"), total).alias("share"))
 
 
 def node_sales(sales: DataFrame) -> DataFrame:

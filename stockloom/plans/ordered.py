@@ -20,10 +20,16 @@ MAX_RANGES = 4096
 
 def split_points(df: DataFrame, value: str, ranges: int | None = None) -> list[float]:
     """Ascending cut points of a numeric column (one pass), one range per shuffle partition."""
+    return column_splits(df, [value], ranges)[value]
+
+
+def column_splits(df: DataFrame, columns: list[str], ranges: int | None = None) -> dict[str, list[float]]:
+    """:func:`split_points` of several columns in one pass; at most 4,095 numbers each."""
     if ranges is None:
         ranges = min(MAX_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     probabilities = [i / ranges for i in range(1, ranges)]
-    return sorted(set(df.stat.approxQuantile(value, probabilities, 0.5 / ranges)))
+    found = df.stat.approxQuantile(columns, probabilities, 0.5 / ranges)
+    return {c: sorted(set(points)) for c, points in zip(columns, found)}
 
 
 def _with_range(df: DataFrame, value: str, splits: list[float]) -> DataFrame:
@@ -75,11 +81,11 @@ def quantile_at(value: Column, before: Column, count: Column, total: Column, pro
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """One row ``(column, q0, q1, ...)`` per numeric column, exact, over the whole frame."""
-    parts = []
+    parts, splits = [], column_splits(df, columns)
     for name in columns:
         kept = df.select(F.col(name).cast("double").alias("value")).where(F.col("value").isNotNull())
         counts = kept.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-        ranked = running_totals(counts, [], "value", ["n"], split_points(kept, "value"))
+        ranked = running_totals(counts, [], "value", ["n"], splits[name])
         total = kept.agg(F.count(F.lit(1))).scalar()
         parts.append(ranked.withColumn("_total", total).agg(*(
             quantile_at(F.col("value"), F.col("n_before"), F.col("n"), F.col("_total"), p).alias(f"q{i}")

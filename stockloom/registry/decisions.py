@@ -412,7 +412,20 @@ def ks_p_value(retail):
     return rounded(made.select(*V.SERIES, "ks_p_value"))
 
 
-@query("h04_ks_exact_p_value")
+# Walks the lattice by diagonals k = i + j: the chance to have left the band on the way to
+# (i, j) mixes the two points before it. Entry j + 1 of the list belongs to j new rows.
+EXACT_KS = f"""
+exact AS (SELECT store_id, item_id, d, list_reduce(
+    [{{'k': k::DOUBLE, 't': []::DOUBLE[]}} FOR k IN range(1, CAST(n_old + n_new + 1 AS BIGINT))],
+    lambda a, x: {{'k': x.k, 't': [CASE WHEN x.k < j THEN 0.0
+        WHEN abs((x.k - j) * n_new - j * n_old)::DOUBLE >= round(d * n_old::DOUBLE * n_new::DOUBLE) - 0.5 THEN 1.0
+        WHEN j = 0 THEN a.t[1] ELSE ((x.k - j) * a.t[j + 1] + j * a.t[j]) / x.k END FOR j IN range(0, {V.INCOMING_ROWS + 1})]}},
+    {{'k': 0.0::DOUBLE, 't': [0.0 FOR j IN range(0, {V.INCOMING_ROWS + 1})]::DOUBLE[]}}).t[{V.INCOMING_ROWS + 1}] AS p FROM ks)"""
+
+
+@query("h04_ks_exact_p_value", """
+SELECT store_id, item_id, round(d, 6) AS ks_statistic, round(p, 6) AS ks_p_value FROM exact
+""", LAST, SIDES, KS_SQL, EXACT_KS)
 def ks_exact_p_value(retail):
     made = H.with_p_value(H.ks_statistic(H.compared(_sides(retail), V.SERIES), V.SERIES), V.SERIES)
     return rounded(made.select(*V.SERIES, "ks_statistic", "ks_p_value"))

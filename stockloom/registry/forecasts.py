@@ -114,9 +114,35 @@ def ets(retail):
     return paths.select(*V.SERIES, "alpha", "beta", F.round("sse", 3).alias("sse")).join(forecast, V.SERIES)
 
 
-@query("c05_ets_seasonal")
+# The state keeps the seven seasonal terms as a list whose first entry is the coming day's.
+ETS_SEASON_FIT = f"""
+grid AS (SELECT * FROM (SELECT unnest({smoothing.LEVEL_GRID}::DOUBLE[]) AS alpha)
+  CROSS JOIN (SELECT unnest({smoothing.TREND_GRID}::DOUBLE[]) AS beta)
+  CROSS JOIN (SELECT unnest({smoothing.SEASON_GRID}::DOUBLE[]) AS gamma)),
+week AS (SELECT store_id, item_id, avg(sales) AS l0, list(sales::DOUBLE ORDER BY day_no) AS first_week
+  FROM panel WHERE day_no <= 7 GROUP BY ALL),
+starts AS (SELECT store_id, item_id, {{'y': 0.0::DOUBLE, 'l': l0::DOUBLE, 'b': 0.0::DOUBLE, 's': 0.0::DOUBLE,
+    'q': [v - l0 FOR v IN first_week]::DOUBLE[]}} AS z FROM week),
+ordered AS (SELECT store_id, item_id, list({{'y': sales::DOUBLE, 'l': 0.0::DOUBLE, 'b': 0.0::DOUBLE, 's': 0.0::DOUBLE,
+    'q': []::DOUBLE[]}} ORDER BY day_no) AS ys FROM panel WHERE day_no > 7 GROUP BY ALL),
+fits AS (SELECT store_id, item_id, alpha, beta, gamma, list_reduce(ys, lambda a, x: {{
+    'y': x.y - a.l - a.b - a.q[1],
+    'l': a.l + a.b + alpha * (x.y - a.l - a.b - a.q[1]),
+    'b': a.b + alpha * beta * (x.y - a.l - a.b - a.q[1]),
+    's': a.s + (x.y - a.l - a.b - a.q[1]) * (x.y - a.l - a.b - a.q[1]),
+    'q': [a.q[2], a.q[3], a.q[4], a.q[5], a.q[6], a.q[7], a.q[1] + gamma * (1 - alpha) * (x.y - a.l - a.b - a.q[1])]}}, z) AS r
+  FROM ordered JOIN starts USING (store_id, item_id) CROSS JOIN grid),
+best AS (SELECT * FROM fits QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY r.s, alpha, beta, gamma) = 1)"""
+
+
+@query("c05_ets_seasonal", """
+SELECT b.store_id, b.item_id, alpha, beta, gamma, round(r.s, 3) AS sse, step, last_date + step AS date,
+  round(r.l + step * r.b + r.q[(step - 1) % 7 + 1], 6) AS yhat FROM best b JOIN last USING (store_id, item_id) CROSS JOIN coming
+""", LAST, COMING, ETS_SEASON_FIT)
 def ets_seasonal(retail):
-    return rounded(as_forecast(smoothing.ets(retail.series, H, period=7), retail.series))
+    paths = smoothing.ets(retail.series, H, period=7)
+    forecast = as_forecast(paths, retail.series).withColumn("yhat", F.round("yhat", 6))
+    return paths.select(*V.SERIES, "alpha", "beta", "gamma", F.round("sse", 3).alias("sse")).join(forecast, V.SERIES)
 
 
 @query("c06_trend_regression", """

@@ -19,6 +19,8 @@ SETTINGS = {
     # Lets a (store, item, week) join reuse data already placed by (store, item).
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A row sent to Python may hold a whole series: keep batches near 40 MB.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # Wide M5 files have about 2,000 day columns.
     "spark.sql.csv.parser.columnPruning.enabled": "true",
 }

@@ -81,7 +81,7 @@ class StarRetail:
         week = P.week_id(F.datediff("date", self.first_day) + 1)
         return (
             self.daily.groupBy("store_id", "item_id", week.alias("wm_yr_wk"))
-            .agg((F.sum("revenue").cast("double") / F.sum("sales")).alias("sell_price"))
+            .agg(F.try_divide(F.sum("revenue").cast("double"), F.sum("sales")).alias("sell_price"))
         )
 
     def _dense(self, *measures: str) -> DataFrame:

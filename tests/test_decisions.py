@@ -263,6 +263,13 @@ def test_drift_verdict(spark):
     assert report["moved"]["ks_drift"] and report["moved"]["drift_detected"]
 
 
+def test_drift_without_incoming_rows(make_panel):
+    frame = H.split_newest(make_panel({ONE: range(30), ("S", "tiny"): range(6)}), ["store_id", "item_id"], "sales")
+    for method in ("auto", "asymptotic"):
+        tiny = H.drift_report(frame, ["store_id", "item_id"], method=method).where("item_id = 'tiny'").first()
+        assert tiny["ks_statistic"] is None and tiny["ks_p_value"] is None and not tiny["drift_detected"]
+
+
 def test_split_keeps_ten_rows_for_the_baseline(make_panel):
     counts = {r["item_id"]: (r["o"], r["n"]) for r in H.split_newest(
         make_panel({ONE: range(30), ("S", "mid"): range(14), ("S", "tiny"): range(6)}), ["store_id", "item_id"], "sales",
