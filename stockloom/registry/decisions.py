@@ -13,10 +13,11 @@ from stockloom.operators import (
     intervals as I, inventory as G, trees,
 )
 from stockloom.plans import planning
+from stockloom.plans.forecasting import forecast, plan_from_forecast
 from stockloom.registry.base import query, rounded
 from stockloom.registry.features import FEATURE_SQL, LAGGED
 from stockloom.registry.forecasts import (
-    COMING, LAST, POOLED, REPLAY, SEASONAL, TREE_DEPTH, TREE_ROUNDS,
+    COMING, ETS_FIT, LAST, POOLED, SEASONAL, TREE_DEPTH, TREE_ROUNDS,
 )
 from stockloom.session import scratch_path
 from stockloom.sources import retail as R
@@ -562,3 +563,18 @@ def planning_table(retail):
         *V.SERIES, "demand_mean", "demand_std", "on_hand", "on_order", "forecast_sum", "p10_sum", "p90_sum", "sigma",
         "horizon_end", "safety_stock", "reorder_point", "order_up_to_level", "order_out", "order_s_s",
         "order_newsvendor", "expected_shortage", "inventory_health", "under_stock_alert"))
+
+
+@query("j02_planning_with_ets", f"""
+SELECT store_id, item_id, round(forecast_sum, 6) AS forecast_sum, round(p10_sum, 6) AS p10_sum, round(p90_sum, 6) AS p90_sum,
+  horizon_end, round(rop, 6) AS reorder_point, round(greatest(0, s_up - pos), 6) AS order_out
+FROM policy JOIN (SELECT store_id, item_id, sum(f) AS forecast_sum, max(last_date + step) AS horizon_end,
+    sum(greatest(0, f - {_z(0.9)} * sigma)) AS p10_sum, sum(greatest(0, f + {_z(0.9)} * sigma)) AS p90_sum
+  FROM (SELECT store_id, item_id, step, last_date, r.l + step * r.b AS f FROM best JOIN last USING (store_id, item_id) CROSS JOIN coming)
+  JOIN spread USING (store_id, item_id) GROUP BY ALL) USING (store_id, item_id)
+""", LAST, COMING, RESIDUALS, POLICY, ETS_FIT)
+def planning_with_ets(retail):
+    point = forecast(retail.series, "ets", STEPS)
+    table = plan_from_forecast(point, retail.series, planning.stock_on_hand(retail.series))
+    return rounded(table.select(
+        *V.SERIES, "forecast_sum", "p10_sum", "p90_sum", "horizon_end", "reorder_point", "order_out"))

@@ -305,6 +305,13 @@ def walk_forward_fitted(retail):
     return rounded(D.compare(pooled, ["model"]))
 
 
+@query("d10_walk_forward_trees")
+def walk_forward_trees(retail):
+    """The tree model refitted at two origins on all series up to that day."""
+    made = trees.tree_backtest(retail.panel, [1800, 2400], TREE_HORIZON, 3, 3)
+    return rounded(D.compare(D.attach_actuals(made, retail.series), ["model", "origin"]))
+
+
 @query("d11_comparison", """
 SELECT store_id, item_id, model, round("Accuracy", 6) AS "Accuracy", round("WAPE", 6) AS "WAPE", round("MAE", 6) AS "MAE",
   round("RMSE", 6) AS "RMSE", round("SMAPE", 6) AS "SMAPE", round("MAPE", 3) AS "MAPE", round("Bias", 6) AS "Bias",

@@ -262,3 +262,15 @@ def test_first_model_wins_a_tie(spark):
         "store_id string, item_id string, model string, WAPE double")
     assert D.best_model(table, ["b", "a", "c"]).first()["best_model"] == "b"
     assert D.best_model(table, ["c", "a", "b"]).first()["best_model"] == "a"
+
+
+def test_models_by_name_share_one_shape(make_panel):
+    from stockloom.plans.forecasting import MODELS, forecast
+    panel = make_panel({ONE: [float(5 + d % 7) for d in range(40)], ("S", "new"): [3.0]})
+    for model in [m for m in MODELS if not m.startswith("trees")]:
+        rows = forecast(panel, model, 4).collect()
+        assert len(rows) == 8 and all(np.isfinite(r["yhat"]) for r in rows), model
+    seasonal = forecast(panel, "ets", 4, period=7).where("item_id = 'new'").first()
+    assert seasonal["yhat"] == 3.0 and seasonal["fallback_reason"] == "forecast is not a number"
+    with pytest.raises(ValueError):
+        forecast(panel, "oracle", 4)
