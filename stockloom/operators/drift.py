@@ -7,8 +7,6 @@ key nor a hot value gathers raw rows in one task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window

@@ -82,30 +82,37 @@ def sales_lags(df: DataFrame, lags: list[int] = V.SALES_LAGS) -> DataFrame:
     return df.withColumns({f"sales_lag_{n}": F.lag(sales, n, 0.0).over(order) for n in lags})
 
 
-def _yesterday(df: DataFrame) -> DataFrame:
-    """Sales of the day before; the first row of a series counts as 0 and is averaged too."""
-    return df.withColumn("_before", F.lag(F.col("sales").cast("double"), 1, 0.0).over(in_order(df)))
+def _yesterday(df: DataFrame) -> tuple[DataFrame, str]:
+    """Sales of the day before; the first row of a series counts as 0 and is averaged too.
+
+    That is the first sales lag, which is used where the frame has it already.
+    """
+    if "sales_lag_1" in df.columns:
+        return df, "sales_lag_1"
+    before = F.lag(F.col("sales").cast("double"), 1, 0.0).over(in_order(df))
+    return df.withColumn("_before", before), "_before"
 
 
 def rolling(df: DataFrame, windows: list[int] = V.ROLLING_WINDOWS) -> DataFrame:
     """Trailing mean, median and deviation of the sales up to the day before."""
-    order, before = in_order(df), F.col("_before")
-    columns = {}
+    order = in_order(df)
+    df, name = _yesterday(df)
+    before, columns = F.col(name), {}
     for rows in windows:
         frame = _trailing(order, rows)
         columns[f"sales_roll_mean_{rows}"] = F.avg(before).over(frame)
         columns[f"sales_roll_median_{rows}"] = F.percentile(before, F.lit(0.5)).over(frame)
         columns[f"sales_roll_std_{rows}"] = _std(before, frame)
-    return _yesterday(df).withColumns(columns).drop("_before")
+    return df.withColumns(columns).drop("_before")
 
 
 def expanding(df: DataFrame) -> DataFrame:
     """Mean and deviation of all sales up to the day before."""
     frame = in_order(df).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.col("_before")
-    return _yesterday(df).withColumns({
-        "sales_expanding_mean": F.avg(before).over(frame),
-        "sales_expanding_std": _std(before, frame),
+    df, name = _yesterday(df)
+    return df.withColumns({
+        "sales_expanding_mean": F.avg(name).over(frame),
+        "sales_expanding_std": _std(F.col(name), frame),
     }).drop("_before")
 
 

@@ -32,7 +32,7 @@ def fit_paths(
     df: DataFrame, walk: Walk, parameters: list[str], horizon: int,
     backtest: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Rows ``(series, origin, <parameters>, path)``; without ``backtest`` the origin is the end.
+    """Rows ``(series, first_date, origin, <parameters>, path)``; without ``backtest`` the origin is the end.
 
     ``backtest`` is ``(initial, step)``; series too short for one origin give no row.
     """
@@ -47,25 +47,21 @@ def fit_paths(
                     part = same.iloc[start:start + SERIES_PER_WALK]
                     values = np.stack(part["y"].to_numpy())
                     for origin, (chosen, paths) in zip(origins, walk(values, origins, pd.Timestamp(first))):
-                        out = part[V.SERIES].assign(origin=origin)
+                        out = part[[*V.SERIES, "first_date"]].assign(origin=origin)
                         for at, name in enumerate(parameters):
                             out[name] = chosen[:, at]
                         yield out.assign(path=list(paths))
 
-    columns = [f"{k} string" for k in V.SERIES] + ["origin int"] + [f"{p} double" for p in parameters]
+    columns = [f"{k} string" for k in V.SERIES] + ["first_date date", "origin int"] + [f"{p} double" for p in parameters]
     schema = ", ".join([*columns, "path array<double>"])
     return series_arrays(df).select(*V.SERIES, "first_date", "y").mapInPandas(run, schema)
 
 
-def as_forecast(paths: DataFrame, df: DataFrame | None = None) -> DataFrame:
-    """One row per series and step; with ``df`` the date of each step is added."""
-    rows = paths.select(*V.SERIES, "origin", F.posexplode("path").alias("at", "yhat")).select(
-        *V.SERIES, "origin", (F.col("at") + 1).alias("step"), "yhat")
-    if df is None:
-        return rows
-    ends = df.groupBy(*V.SERIES).agg(F.max("date").alias("last_date"))
-    return rows.join(ends, V.SERIES).select(
-        *V.SERIES, "step", F.date_add("last_date", F.col("step")).alias("date"), "yhat")
+def as_forecast(paths: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per series, origin and step, with its date and the ``keep`` columns."""
+    return paths.select("*", F.posexplode("path").alias("at", "yhat")).select(
+        *V.SERIES, "origin", *keep, (F.col("at") + 1).alias("step"),
+        F.date_add("first_date", F.col("origin") + F.col("at")).alias("date"), "yhat")
 
 
 def least(errors: np.ndarray) -> np.ndarray:

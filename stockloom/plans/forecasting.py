@@ -24,9 +24,9 @@ MODELS = {
     "naive": C.naive,
     "seasonal_naive": C.seasonal_naive,
     "moving_average": C.moving_average,
-    "arima": lambda df, h, **p: as_forecast(arima.arima(df, h, **p), df),
-    "ets": lambda df, h, **p: as_forecast(smoothing.ets(df, h, **p), df),
-    "additive": lambda df, h, **p: as_forecast(additive.additive_regression(df, h, **p), df),
+    "arima": lambda df, h, **p: as_forecast(arima.arima(df, h, **p)),
+    "ets": lambda df, h, **p: as_forecast(smoothing.ets(df, h, **p)),
+    "additive": lambda df, h, **p: as_forecast(additive.additive_regression(df, h, **p)),
     "trees_recursive": _recursive,
     "trees_direct": _direct,
 }

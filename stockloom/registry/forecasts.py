@@ -77,20 +77,26 @@ fits AS (SELECT store_id, item_id, phi, theta, list_reduce(ws, lambda a, x: {{
 best AS (SELECT * FROM fits QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY r.s, phi, theta) = 1)"""
 
 
+PLACES = {"yhat": 6, "sse": 3, "intercept": 6, "slope": 9}
+
+
+def _rounded_fit(made):
+    return made.drop("origin").withColumns({c: F.round(c, n) for c, n in PLACES.items() if c in made.columns})
+
+
 @query("c04_arima", """
 SELECT b.store_id, b.item_id, phi, theta, round(r.s, 3) AS sse, step, last_date + step AS date,
   round(y + (phi * r.w + theta * r.e) * (1 - pow(phi, step)) / (1 - phi), 6) AS yhat
 FROM best b JOIN last USING (store_id, item_id) CROSS JOIN coming
 """, LAST, COMING, ARIMA_FIT)
 def arima_grid(retail):
-    paths = arima.arima(retail.series, H)
-    forecast = as_forecast(paths, retail.series).withColumn("yhat", F.round("yhat", 6))
-    return paths.select(*V.SERIES, "phi", "theta", F.round("sse", 3).alias("sse")).join(forecast, V.SERIES)
+    made = as_forecast(arima.arima(retail.series, H), ("phi", "theta", "sse"))
+    return _rounded_fit(made)
 
 
 @query("c04_arima_higher_order")
 def arima_higher_order(retail):
-    return rounded(as_forecast(arima.arima(retail.series, H, (2, 1, 2)), retail.series))
+    return rounded(as_forecast(arima.arima(retail.series, H, (2, 1, 2))).drop("origin"))
 
 
 ETS_FIT = f"""
@@ -109,9 +115,8 @@ SELECT b.store_id, b.item_id, alpha, beta, round(r.s, 3) AS sse, step, last_date
   round(r.l + step * r.b, 6) AS yhat FROM best b JOIN last USING (store_id, item_id) CROSS JOIN coming
 """, LAST, COMING, ETS_FIT)
 def ets(retail):
-    paths = smoothing.ets(retail.series, H)
-    forecast = as_forecast(paths, retail.series).withColumn("yhat", F.round("yhat", 6))
-    return paths.select(*V.SERIES, "alpha", "beta", F.round("sse", 3).alias("sse")).join(forecast, V.SERIES)
+    made = as_forecast(smoothing.ets(retail.series, H), ("alpha", "beta", "sse"))
+    return _rounded_fit(made)
 
 
 # The state keeps the seven seasonal terms as a list whose first entry is the coming day's.
@@ -140,9 +145,8 @@ SELECT b.store_id, b.item_id, alpha, beta, gamma, round(r.s, 3) AS sse, step, la
   round(r.l + step * r.b + r.q[(step - 1) % 7 + 1], 6) AS yhat FROM best b JOIN last USING (store_id, item_id) CROSS JOIN coming
 """, LAST, COMING, ETS_SEASON_FIT)
 def ets_seasonal(retail):
-    paths = smoothing.ets(retail.series, H, period=7)
-    forecast = as_forecast(paths, retail.series).withColumn("yhat", F.round("yhat", 6))
-    return paths.select(*V.SERIES, "alpha", "beta", "gamma", F.round("sse", 3).alias("sse")).join(forecast, V.SERIES)
+    made = as_forecast(smoothing.ets(retail.series, H, period=7), ("alpha", "beta", "gamma", "sse"))
+    return _rounded_fit(made)
 
 
 @query("c06_trend_regression", """
@@ -152,15 +156,13 @@ FROM (SELECT store_id, item_id, regr_slope(sales, day_no - 1) AS b, regr_interce
   FROM panel GROUP BY ALL) r JOIN last USING (store_id, item_id) CROSS JOIN coming
 """, LAST, COMING)
 def trend_regression(retail):
-    paths = additive.additive_regression(retail.series, H, weekly=0, yearly=0, ridge=0.0)
-    forecast = as_forecast(paths, retail.series).withColumn("yhat", F.round("yhat", 6))
-    return paths.select(*V.SERIES, F.round("intercept", 6).alias("intercept"), F.round("slope", 9).alias("slope")).join(
-        forecast, V.SERIES)
+    made = as_forecast(additive.additive_regression(retail.series, H, weekly=0, yearly=0, ridge=0.0), ("intercept", "slope"))
+    return _rounded_fit(made)
 
 
 @query("c06_additive_regression")
 def additive_regression(retail):
-    return rounded(as_forecast(additive.additive_regression(retail.series, H), retail.series))
+    return rounded(as_forecast(additive.additive_regression(retail.series, H)).drop("origin"))
 
 
 # Few, shallow trees keep the check short; all rows of all series are trained on.
@@ -299,7 +301,7 @@ def walk_forward_fitted(retail):
         ("arima", arima.arima(retail.series, 14, backtest=(15, 50))),
         ("additive", additive.additive_regression(retail.series, 14, backtest=(15, 50))),
     ):
-        rows = as_forecast(paths).withColumn("model", F.lit(name))
+        rows = as_forecast(paths).drop("date").withColumn("model", F.lit(name))
         made = rows if made is None else made.unionByName(rows)
     pooled = D.attach_actuals(made, retail.series)
     return rounded(D.compare(pooled, ["model"]))

@@ -147,7 +147,7 @@ def test_additive_regression_finds_trend_and_week(make_panel):
 def test_short_histories_give_full_finite_forecasts(make_panel):
     panel = make_panel({ONE: [10, 12, 11, 15, 14, 16, 18, 20, 19, 22]})
     for made in (arima.arima(panel, 7), smoothing.ets(panel, 7), additive.additive_regression(panel, 7)):
-        values = path(as_forecast(made, panel))
+        values = path(as_forecast(made))
         assert len(values) == 7 and np.isfinite(values).all()
 
 
