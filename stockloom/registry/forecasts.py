@@ -160,7 +160,33 @@ def trend_regression(retail):
     return _rounded_fit(made)
 
 
-@query("c06_additive_regression")
+# The ridge normal equations of the shared design, solved by Gauss-Jordan elimination: one
+# list_reduce step per pivot on the augmented matrix.
+_TERMS = 2 + 2 * (additive.WEEKLY_TERMS + additive.YEARLY_TERMS)
+_WAVES = ", ".join(
+    f"sin(2 * pi() * {k} * a / {period}), cos(2 * pi() * {k} * a / {period})"
+    for period, terms in ((7.0, additive.WEEKLY_TERMS), (365.25, additive.YEARLY_TERMS)) for k in range(1, terms + 1))
+ADDITIVE_FIT = f"""
+span AS (SELECT max(day_no) AS n, date_diff('day', DATE '1970-01-01', min(date)) AS first FROM panel),
+design AS (SELECT t, [1.0, t / (n - 1)::DOUBLE, {_WAVES}]::DOUBLE[] AS x FROM (
+  SELECT t, n, first + t AS a FROM span, (SELECT unnest(range(0, (SELECT n + {H} FROM span))) AS t))),
+term AS (SELECT unnest(range(1, {_TERMS + 1})) AS i),
+gram AS (SELECT a.i, b.i AS j, sum(x[a.i] * x[b.i]) + CASE WHEN a.i = b.i AND a.i > 1 THEN {additive.RIDGE} ELSE 0 END AS g
+  FROM design, term a, term b WHERE t < (SELECT n FROM span) GROUP BY a.i, b.i),
+moments AS (SELECT store_id, item_id, i, sum(x[i] * sales) AS v FROM panel JOIN design ON t = day_no - 1, term GROUP BY ALL),
+lines AS (SELECT store_id, item_id, i, list_append(list(g ORDER BY j), any_value(v)) AS r FROM gram JOIN moments USING (i) GROUP BY ALL),
+systems AS (SELECT store_id, item_id, list(r ORDER BY i) AS m FROM lines GROUP BY ALL),
+solved AS (SELECT store_id, item_id, list_reduce(
+    [{{'k': k, 'm': []::DOUBLE[][]}} FOR k IN range(1, {_TERMS + 1})],
+    lambda a, x: {{'k': x.k, 'm': [CASE WHEN i = x.k THEN [v / a.m[x.k][x.k] FOR v IN a.m[x.k]]
+      ELSE [a.m[i][c] - a.m[i][x.k] / a.m[x.k][x.k] * a.m[x.k][c] FOR c IN range(1, {_TERMS + 2})] END
+      FOR i IN range(1, {_TERMS + 1})]}}, {{'k': 0::BIGINT, 'm': m}}).m AS m FROM systems)"""
+
+
+@query("c06_additive_regression", f"""
+SELECT store_id, item_id, step, last_date + step AS date, round(list_sum([m[i][{_TERMS + 1}] * x[i] FOR i IN range(1, {_TERMS + 1})]), 6) AS yhat
+FROM solved JOIN last USING (store_id, item_id) CROSS JOIN coming JOIN design ON t = n - 1 + step
+""", LAST, COMING, ADDITIVE_FIT)
 def additive_regression(retail):
     return rounded(as_forecast(additive.additive_regression(retail.series, H)).drop("origin"))
 
