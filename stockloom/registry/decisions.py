@@ -481,10 +481,26 @@ def contributions(retail):
     return rounded(X.mean_contributions(_matrix(retail), WEIGHTS))
 
 
-@query("i02_fitted_contributions")
+# Least squares on the features by Gauss-Jordan elimination of the normal equations.
+_K = len(WEIGHTS) + 1
+LINEAR_FIT = f"""
+rows AS (SELECT [1.0, {", ".join(WEIGHTS)}]::DOUBLE[] AS x, sales::DOUBLE AS y FROM features),
+term AS (SELECT unnest(range(1, {_K + 1})) AS i),
+lines AS (SELECT a.i, list_append(list(s ORDER BY b), any_value(v)) AS r
+  FROM (SELECT a.i AS i, b.i AS b, sum(x[a.i] * x[b.i]) AS s FROM rows, term a, term b GROUP BY a.i, b.i) a
+  JOIN (SELECT i, sum(x[i] * y) AS v FROM rows, term GROUP BY i) c USING (i) GROUP BY a.i),
+solved AS (SELECT list_reduce([{{'k': k, 'm': []::DOUBLE[][]}} FOR k IN range(1, {_K + 1})],
+    lambda a, x: {{'k': x.k, 'm': [CASE WHEN i = x.k THEN [v / a.m[x.k][x.k] FOR v IN a.m[x.k]]
+      ELSE [a.m[i][c] - a.m[i][x.k] / a.m[x.k][x.k] * a.m[x.k][c] FOR c IN range(1, {_K + 2})] END
+      FOR i IN range(1, {_K + 1})]}}, {{'k': 0::BIGINT, 'm': (SELECT list(r ORDER BY i) FROM lines)}}).m AS m)"""
+
+
+@query("i02_fitted_contributions", " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, round(avg(abs((SELECT m[{at}][{_K + 1}] FROM solved) * ({c} - (SELECT avg({c}) FROM features)))), 5)
+      AS mean_contribution FROM features""" for at, c in enumerate(WEIGHTS, start=2)), LAGGED, FEATURE_SQL, LINEAR_FIT)
 def fitted_contributions(retail):
     matrix = _matrix(retail)
-    return rounded(X.mean_contributions(matrix, X.linear_weights(matrix, list(WEIGHTS))))
+    return rounded(X.mean_contributions(matrix, X.linear_weights(matrix, list(WEIGHTS))), 5)
 
 
 @query("i03_top_features", f"SELECT * FROM ({_contributions_sql()}) ORDER BY mean_contribution DESC, feature LIMIT 10",
