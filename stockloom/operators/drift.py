@@ -21,9 +21,9 @@ KOLMOGOROV_TERMS = 100
 def split_newest(df: DataFrame, keys: list[str], value: str, order: str = "date", incoming: int = V.INCOMING_ROWS) -> DataFrame:
     """``(keys, value, is_new)``: the newest rows of a key against all earlier ones.
 
-    The baseline keeps at least the first ten rows.
+    The baseline keeps at least the first ten rows. For keys that are series, with one row
+    per day; keys of unknown size are better cut at a time, as a plain column.
     """
-    # Both ranks come from one sort: position counts up, the total is a whole-key window.
     by_key = Window.partitionBy(*keys)
     position = F.row_number().over(by_key.orderBy(order))
     total = F.count(F.lit(1)).over(by_key)

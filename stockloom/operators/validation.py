@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -210,11 +210,19 @@ def validate(tables: RetailTables) -> DataFrame:
 
 
 def report_lines(checks: DataFrame) -> DataFrame:
-    """The findings as lines of a markdown table, ready for a text sink."""
+    """The findings as numbered lines of a markdown report: status, then one row per check."""
     verdict = F.when(F.col("passed").isNull(), "info").when(F.col("passed"), "ok").otherwise("FAILED")
-    return checks.select(F.concat_ws(
-        " | ", F.lit(""), F.col("dataset"), F.col("check"), F.col("value").cast("string"), verdict, F.lit("")
-    ).alias("line"))
+    cells = [F.col("dataset"), F.col("check"), F.col("value").cast("string"), verdict]
+    line = lambda *parts: F.concat(F.lit("| "), F.concat_ws(" | ", *parts), F.lit(" |"))
+    place = F.row_number().over(Window.orderBy("dataset", "check"))  # a dozen rows, one per check
+    body = checks.select((place + 5).alias("line_no"), line(*cells).alias("line"))
+    outcome = F.when(F.col("all_passed"), "all checks passed").otherwise(
+        F.concat(F.col("failed_checks").cast("string"), F.lit(" checks failed")))
+    head = overall_status(checks).select(F.posexplode(F.array(
+        F.lit("# Table checks"), F.lit(""), F.concat(F.lit("Status: "), outcome), F.lit(""),
+        line(*(F.lit(c) for c in ("dataset", "check", "value", "result"))),
+        line(*(F.lit("---") for _ in cells)))).alias("line_no", "line"))
+    return head.unionByName(body)
 
 
 def reject_requests(requests: DataFrame, sales: DataFrame) -> DataFrame:

@@ -219,6 +219,18 @@ def overall_status(retail):
     return A.overall_status(A.validate(_m5_tables(retail)))
 
 
+@query("a12_report", f"""
+SELECT CAST(line_no AS INTEGER) AS line_no, line FROM (
+  SELECT 5 + row_number() OVER (ORDER BY dataset, "check") AS line_no, '| ' || dataset || ' | ' || "check" || ' | ' || value
+    || ' | ' || CASE WHEN passed IS NULL THEN 'info' WHEN passed THEN 'ok' ELSE 'FAILED' END || ' |' AS line FROM ({_FINDINGS})
+  UNION ALL SELECT unnest(range(0, 6)), unnest(['# Table checks', '',
+    CASE WHEN bool_and(passed) THEN 'Status: all checks passed' ELSE 'Status: ' || count(*) FILTER (NOT passed) || ' checks failed' END,
+    '', '| dataset | check | value | result |', '| --- | --- | --- | --- |']) FROM ({_FINDINGS}))
+""")
+def report(retail):
+    return A.report_lines(A.validate(_m5_tables(retail)))
+
+
 @query("a13_shape", """
 SELECT 'calendar' AS dataset, count(*) AS "rows", 14 AS columns, 0 AS day_columns FROM calendar
 UNION ALL SELECT 'sales_wide', count(*), CAST(6 + (SELECT count(*) FROM calendar) AS INTEGER),

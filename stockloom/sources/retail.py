@@ -68,6 +68,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_report(lines: DataFrame, path: str) -> None:
+    """Numbered report lines as one text file; a report has a few lines per table."""
+    lines.coalesce(1).sortWithinPartitions("line_no").select("line").write.mode("overwrite").text(path)
+
+
 def action_log(policies: DataFrame) -> DataFrame:
     """The ten-column replenishment log, numbers rounded to two places."""
     two = lambda name: F.round(F.col(name), 2)

@@ -56,14 +56,16 @@ def test_typed_read_errors(spark, tmp_path):
         R.read_table(spark, f"{tmp_path}/bad.csv")
 
 
-def test_validation_passes_and_fails(tables):
+def test_validation_passes_and_fails(tables, tmp_path):
     checks = A.validate(tables)
     status = A.overall_status(checks).first()
     assert status["all_passed"] and status["failed_checks"] == 0
     broken = R.RetailTables(tables.calendar, tables.prices.withColumn("sell_price", F.lit(0.0)), tables.sales)
     assert A.overall_status(A.validate(broken)).first()["failed_checks"] == 1
-    lines = [r["line"] for r in A.report_lines(checks).collect()]
-    assert any("invalid_prices" in line and "ok" in line for line in lines)
+    R.write_report(A.report_lines(checks), f"{tmp_path}/report")
+    lines = [r["value"] for r in checks.sparkSession.read.text(f"{tmp_path}/report").collect()]
+    assert lines[0] == "# Table checks" and lines[2] == "Status: all checks passed"
+    assert "| sell_prices | invalid_prices | 0 | ok |" in lines and len(lines) == 6 + checks.count()
     with pytest.raises(DataValidationError, match="sell_price"):
         A.validate(R.RetailTables(tables.calendar, tables.prices.drop("sell_price"), tables.sales))
 
