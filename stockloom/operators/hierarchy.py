@@ -39,21 +39,25 @@ def _at(base: DataFrame, level: str, key: str, name: str) -> DataFrame:
     return base.where(F.col("level") == level).select(F.col("node").alias(key), "step", F.col("yhat").alias(name))
 
 
-def _stores_by_step(base: DataFrame, mapping: DataFrame) -> DataFrame:
+def _every_step(stores: DataFrame, base: DataFrame, horizon: int | None) -> DataFrame:
+    """Each store at each step. A stated horizon saves a pass over the base forecasts."""
+    last = F.lit(horizon) if horizon else base.agg(F.max("step")).scalar()
+    return stores.select("*", F.explode(F.sequence(F.lit(1), last)).alias("step"))
+
+
+def _stores_by_step(base: DataFrame, mapping: DataFrame, horizon: int | None) -> DataFrame:
     """Every mapped store at every step; a missing store forecast counts as 0."""
-    last = base.agg(F.max("step")).scalar()
-    grid = mapping.select("store_id", "state_id").distinct().select(
-        "*", F.explode(F.sequence(F.lit(1), last)).alias("step"))
+    grid = _every_step(mapping.select("store_id", "state_id").distinct(), base, horizon)
     return grid.join(_at(base, STORE, "store_id", "own"), ["store_id", "step"], "left").withColumn(
         "own", F.coalesce("own", F.lit(0.0)))
 
 
-def bottom_up(base: DataFrame, mapping: DataFrame) -> DataFrame:
+def bottom_up(base: DataFrame, mapping: DataFrame, horizon: int | None = None) -> DataFrame:
     """Stores as forecast; states and total are their sums."""
-    return sum_up(_stores_by_step(base, mapping).withColumnRenamed("own", "yhat"))
+    return sum_up(_stores_by_step(base, mapping, horizon).withColumnRenamed("own", "yhat"))
 
 
-def top_down(base: DataFrame, mapping: DataFrame, shares: DataFrame) -> DataFrame:
+def top_down(base: DataFrame, mapping: DataFrame, shares: DataFrame, horizon: int | None = None) -> DataFrame:
     """The total split by ``(store_id, share)``; a store without a share gets 1/stores.
 
     Shares are used as given, also where they do not add up to 1.
@@ -61,15 +65,14 @@ def top_down(base: DataFrame, mapping: DataFrame, shares: DataFrame) -> DataFram
     stores = mapping.select("store_id", "state_id").distinct()
     even = stores.agg(1 / F.count(F.lit(1))).scalar()
     total = base.where(F.col("level") == TOTAL).select("step", F.col("yhat").alias("total"))
-    last = base.agg(F.max("step")).scalar()
-    grid = stores.select("*", F.explode(F.sequence(F.lit(1), last)).alias("step")).join(
+    grid = _every_step(stores, base, horizon).join(
         shares.select("store_id", "share"), "store_id", "left").join(total, "step", "left")
     return sum_up(grid.select(
         "state_id", "store_id", "step",
         (F.coalesce("total", F.lit(0.0)) * F.coalesce("share", even)).alias("yhat")))
 
 
-def least_squares(base: DataFrame, mapping: DataFrame) -> DataFrame:
+def least_squares(base: DataFrame, mapping: DataFrame, horizon: int | None = None) -> DataFrame:
     """The coherent forecasts nearest to the base forecasts, then cut at 0.
 
     With b the sum of a store's own, its state's and the total forecast, and n the stores
@@ -77,7 +80,7 @@ def least_squares(base: DataFrame, mapping: DataFrame) -> DataFrame:
     first the block and then the rank-one part leaves sums per state and step only. A node
     without a forecast counts as 0; cutting at 0 comes last and may break the sums.
     """
-    stores = _stores_by_step(base, mapping)
+    stores = _stores_by_step(base, mapping, horizon)
     sums = stores.join(_at(base, STATE, "state_id", "state_yhat"), ["state_id", "step"], "left").join(
         base.where(F.col("level") == TOTAL).select("step", F.col("yhat").alias("total_yhat")), "step", "left"
     ).select("state_id", "store_id", "step", (

@@ -45,7 +45,8 @@ def cdf_sql(z: str) -> str:
 # ---- hierarchy -------------------------------------------------------------------
 
 NODES = """
-tree AS (SELECT DISTINCT store_id, state_id FROM sales_daily),
+tree AS (SELECT DISTINCT n_name AS store_id, r_name AS state_id FROM supplier
+  JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 node_days AS (
   SELECT 'total' AS level, 'Total' AS node, day_no, sum(sales) AS sales FROM panel GROUP BY ALL
   UNION ALL SELECT 'state', state_id, day_no, sum(sales) FROM panel GROUP BY ALL
@@ -77,7 +78,7 @@ def _base(retail):
 
 
 def _mapping(retail):
-    return retail.daily.select("store_id", "state_id").distinct()
+    return retail.stores.select("store_id", "state_id").distinct()
 
 
 @query("e01_tree_nodes", """
@@ -90,7 +91,7 @@ def tree_nodes(retail):
 
 @query("e02_bottom_up", _sum_up_sql("own", "own"), COMING, NODES)
 def bottom_up(retail):
-    return rounded(E.bottom_up(_base(retail), _mapping(retail)))
+    return rounded(E.bottom_up(_base(retail), _mapping(retail), STEPS))
 
 
 SHARES = """
@@ -103,7 +104,7 @@ split AS (SELECT t.store_id, t.state_id, b.step, b.yhat * coalesce(s.share, 1.0
   LEFT JOIN (SELECT * FROM shares WHERE store_id <> 'NATION_4') s ON s.store_id = t.store_id)""")
 def top_down(retail):
     shares = E.historical_shares(retail.series).where(F.col("store_id") != "NATION_4")
-    return rounded(E.top_down(_base(retail), _mapping(retail), shares))
+    return rounded(E.top_down(_base(retail), _mapping(retail), shares, STEPS))
 
 
 # The unit tests compare this block form with a dense summing matrix.
@@ -119,7 +120,7 @@ x AS (SELECT *, b - sum(b) OVER (PARTITION BY state_id, step) / (1 + n) AS x,
     sum(1.0 / (1 + n)) OVER (PARTITION BY step) AS c FROM b),
 solved AS (SELECT *, x - (1.0 / (1 + n)) * sum(x) OVER (PARTITION BY step) / (1 + c) AS beta FROM x)""")
 def least_squares(retail):
-    return rounded(E.least_squares(_base(retail), _mapping(retail)))
+    return rounded(E.least_squares(_base(retail), _mapping(retail), STEPS))
 
 
 @query("e05_historical_shares", "SELECT store_id, round(share, 9) AS share FROM shares", SHARES)

@@ -29,6 +29,16 @@ class StarRetail:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def stores(self) -> DataFrame:
+        """Supplier key to store and state."""
+        return (
+            self.table("supplier")
+            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .select("s_suppkey", F.col("n_name").alias("store_id"), F.col("r_name").alias("state_id"))
+        )
+
     @cached_property
     def lines(self) -> DataFrame:
         """Line items with their store, state, product and brand.
@@ -36,17 +46,11 @@ class StarRetail:
         No broadcast hints: supplier and part grow with the data, so Spark chooses by
         measured size and AQE splits hot suppliers or parts.
         """
-        stores = (
-            self.table("supplier")
-            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select("s_suppkey", F.col("n_name").alias("store_id"), F.col("r_name").alias("state_id"))
-        )
         parts = self.table("part").select(
             "p_partkey", F.col("p_type").alias("item_id"), F.col("p_brand").alias("dept_id"))
         return (
             self.table("lineitem")
-            .join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(self.stores, F.col("l_suppkey") == F.col("s_suppkey"))
             .join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .select("store_id", "state_id", "item_id", "dept_id",
                     F.to_date("l_shipdate").alias("date"),
