@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import pathlib
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockloom.errors import ConfigurationError
+PACKAGE = pathlib.Path(__file__).resolve().parent
+_shipped_to: set[str] = set()
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,16 +43,32 @@ def build_session(app: str = "stockloom", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once for an application.
+
+    Functions run by Python workers are pickled by reference, so workers need the package wherever the
+    driver was started. The archive is served by the driver itself and removed when it ends.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped_to:
+        return
+    folder = pathlib.Path(tempfile.mkdtemp(prefix="stockloom-sources-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = folder / "stockloom_sources.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(PACKAGE.rglob("*.py")):
+            out.write(source, source.relative_to(PACKAGE.parent))
+    context.addPyFile(str(archive))
+    _shipped_to.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only a local session may fall back to /tmp."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset, a folder in the SQL warehouse.
+
+    Both are shared by the driver and all executors; a machine-local folder is never used.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ConfigurationError("spark.checkpoint.dir", "Set a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="stockloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/stockloom-scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
