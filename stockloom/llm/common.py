@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes:
            ) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts hold about ``most_bytes`` (one row at least)."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start = used = 0
         for i, n in enumerate(lengths):
             if i > start and used + n > most_bytes:

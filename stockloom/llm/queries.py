@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import langid, mixing, packing, sharding, simhash, substring, toxicity
+from stockloom.llm import html_extract, imatch, langid, mixing, packing, sharding, simhash, substring, toxicity, vptree
 from stockloom.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,23 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+@query("op5_imatch_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op6_vantage_neighbours")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vptree.search(vptree.build_index(vectors), vectors.where("vec_id % 20 = 0"))
+
+
+@query("op7_page_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html_extract.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 SHARD_SQL = """
 WITH d AS (
   SELECT doc_id, source, text, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS k,

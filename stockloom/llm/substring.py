@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -181,7 +182,7 @@ def _windows(window: int, prefix: int):
             part = batch.take(pa.array(list(first_of.values()), pa.int64()))
             block = Block(_texts(part.column("text")), window, prefix)
             marks = part.column("anchors")
-            counts = pa.compute.list_value_length(marks).to_numpy(zero_copy_only=False)
+            counts = pc.list_value_length(marks).to_numpy(zero_copy_only=False)
             where = marks.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             doc = np.repeat(np.arange(len(counts)), counts)
             wanted = np.zeros(len(block.prefix_hash) + 1, bool)
