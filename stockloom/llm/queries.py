@@ -86,23 +86,32 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SHARD_SQL = """
-WITH d AS (
-  SELECT doc_id, source, text, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS k,
-         octet_length(encode(coalesce(text, ''))) + 1 AS size
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+    list_prepend(i, list_transform(range(8), lambda j: CAST(0 AS BIGINT))),
+    lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS k,
+         octet_length(encode(coalesce(text, ''))) + 1 AS size, hex(encode(coalesce(text, ''))) AS x
   FROM documents),
-ranked AS (
-  SELECT *, md5('20:' || doc_id) AS h FROM d),
+summed AS (
+  SELECT doc_id, k, size, xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(size - 1), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, byte: xor(c >> 8, t[(xor(c, byte) & 255) + 1]))) AS text_crc32
+  FROM d, crc),
+ranked AS (SELECT *, md5('20:' || doc_id || ':' || text_crc32 || ':' || size) AS h FROM summed),
 parts AS (
   SELECT *, CAST(2 * row_number() OVER (PARTITION BY k ORDER BY h) - 1 AS DOUBLE) / CAST(2 * count(*) OVER (PARTITION BY k) AS DOUBLE) AS part
   FROM ranked),
 placed AS (SELECT *, row_number() OVER (ORDER BY part, h, k) - 1 AS place, count(*) OVER () AS n FROM parts)
-SELECT doc_id, CAST(size AS BIGINT) AS size, 'rows' AS law, CAST(place * 8 // n AS INTEGER) AS shard,
-       CAST(place - ((place * 8 // n) * n + 7) // 8 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law,
+       CAST(place * 8 // n AS INTEGER) AS shard, CAST(place - ((place * 8 // n) * n + 7) // 8 AS BIGINT) AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
 FROM placed
 """
 
 
-@query("op8_interleave_shards")
+@query("op8_interleave_shards", SHARD_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",

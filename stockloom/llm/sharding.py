@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from stockloom.llm.common import seeded_hash, staged, text_of
+from stockloom.llm.common import seeded_hash, staged, text_of, unit_interval
 
 BUCKETS = 4096  # of hash and of rank; a task sorts about rows / BUCKETS rows at once
 SEED = 20
@@ -36,7 +36,7 @@ def interleave(rows: DataFrame, stratum: str, tie: list[str], shards: int = 8, b
     base = rows.select(
         F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row"), key.alias("_stratum"),
         seeded_hash(seed, *marks).alias("_hash"), F.struct(*(F.col(f"`{c}`") for c in tie)).alias("_tie"),
-    ).withColumn("_bucket", F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long") % buckets)
+    ).withColumn("_bucket", F.floor(unit_interval(F.col("_hash")) * buckets))
 
     counts = base.groupBy("_stratum", "_bucket").agg(F.count("*").alias("_n"))
     in_stratum = W.partitionBy("_stratum")

@@ -177,8 +177,13 @@ def _windows(window: int, prefix: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, most_bytes=BLOCK_BYTES):
             first_of: dict[bytes, int] = {}
+            copied = set()
             for i, key in enumerate(batch.column("ck").to_pylist()):
-                first_of.setdefault(key, i)
+                if first_of.setdefault(key, i) != i:
+                    copied.add(key)
+            if copied:   # copies of one text meet here: all of its windows are repeated
+                nothing = np.zeros(len(copied), np.int32)
+                yield rows_of(None, pa.array(sorted(copied), pa.binary()), nothing, nothing + EVERYTHING, None)
             part = batch.take(pa.array(list(first_of.values()), pa.int64()))
             block = Block(_texts(part.column("text")), window, prefix)
             marks = part.column("anchors")
@@ -202,16 +207,16 @@ def _windows(window: int, prefix: int):
             s, o, own = start[twice], offset[twice], owner[twice]
             cut = np.flatnonzero(np.concatenate([[True], (np.diff(s) != 1) | (np.diff(own) != 0)])) if len(s) else np.empty(0, int)
             ends = np.append(cut[1:], len(s)) - 1 if len(s) else cut
-            yield self_batch(None, ck.take(pa.array(own[cut])), o[cut], o[ends] + window, None)
+            yield rows_of(None, ck.take(pa.array(own[cut])), o[cut], o[ends] + window, None)
 
             # To be compared with other blocks: runs of adjacent windows with one anchor.
             s, a, o, own, hs, ws = (x[~again] for x in (start, anchor, offset, owner, h, w))
             cut = np.flatnonzero(np.concatenate([[True], (np.diff(s) != 1) | (np.diff(a) != 0)])) if len(s) else np.empty(0, int)
             data = ws.tobytes()
             lists = [data[8 * i:8 * j] for i, j in zip(cut.tolist(), np.append(cut[1:], len(s)).tolist())]
-            yield self_batch(hs[cut], ck.take(pa.array(own[cut])), o[cut], o[cut], lists)
+            yield rows_of(hs[cut], ck.take(pa.array(own[cut])), o[cut], o[cut], lists)
 
-    def self_batch(h, ck, a, b, ws):
+    def rows_of(h, ck, a, b, ws):
         n = len(a)
         return pa.RecordBatch.from_arrays([
             pa.nulls(n, pa.int64()) if h is None else _signed(h), ck, pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)),

@@ -53,7 +53,7 @@ def small_model(spark):
 
 def test_toxicity_of_awkward_texts(spark, small_model):
     _, _, model = small_model
-    rows = [(1, None), (2, ""), (3, "some idiot"), (3, "some idiot"), (4, "fine " * 500_000 + "awful idiot"), (5, "é"), (None, "ok")]
+    rows = [(1, None), (2, ""), (3, "he is an awful idiot"), (3, "he is an awful idiot"), (4, "none " * 500_000 + "an awful idiot"), (5, "é"), (None, "ok")]
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, score string")
     found = toxicity.score(docs, model)
     assert found.columns == ["doc_id", "text", "score", "predicted"]
