@@ -47,7 +47,7 @@ def with_slots(df: DataFrame, text: str, out: str, words: list[str]) -> DataFram
     kept = F.array_sort(F.filter(terms_of(F.col(text)), lambda t: t.isin(words))) if words else F.array().cast("array<string>")
     marks = f"_{out}_marks"
     marked = df.withColumn(marks, F.transform(kept, lambda t: F.struct(
-        t.alias("t"), F.pmod(F.xxhash64(t), F.lit(SUBSETS)).alias("s"))))
+        t.alias("t"), (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % SUBSETS).alias("s"))))
 
     def hashed(subset: int) -> Column:
         chosen = F.transform(F.filter(marks, lambda x: x["s"] == subset), lambda x: x["t"])

@@ -57,7 +57,29 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op3_substring_dedup")
+SUBSTRING_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+starts AS (SELECT r, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+windows AS (SELECT s.r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM starts s JOIN d USING (r)),
+repeated AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+gone AS (
+  SELECT r, list_distinct(flatten(list(range(i, i + 35)))) AS places FROM windows JOIN repeated USING (h) GROUP BY r),
+cut AS (
+  SELECT doc_id, len(w) AS n_words, len(coalesce(places, [])) AS n_removed,
+         CASE WHEN places IS NULL THEN w ELSE list_transform(
+           list_filter(list_zip(w, list_transform(range(1, len(w) + 1), lambda i: list_contains(places, i))), lambda x: NOT x[2]), lambda x: x[1])
+         END AS kept
+  FROM d LEFT JOIN gone USING (r))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+       sha256(array_to_string(kept, ' ')) AS kept_sha256
+FROM cut
+"""
+
+
+@query("op3_substring_dedup", SUBSTRING_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -68,7 +90,46 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
 
-@query("op5_imatch_fingerprints")
+IMATCH_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (
+  SELECT *, length(text) AS n_chars, length(text) // 2 AS half,
+         coalesce(lead(text) OVER (ORDER BY doc_id), first(text) OVER (ORDER BY doc_id)) AS next_text
+  FROM d),
+e AS (SELECT doc_id, n_chars, text, left(text, n_chars - half) || left(next_text, half) AS edited FROM n),
+v AS (SELECT doc_id, 0 AS k, text AS t FROM e UNION ALL SELECT doc_id, 1, edited FROM e),
+terms AS (
+  SELECT doc_id, k, t, list_distinct(list_filter(string_split_regex(lower(t), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS terms FROM v),
+lexicon AS (
+  SELECT term FROM (SELECT unnest(terms) AS term FROM terms WHERE k = 0) GROUP BY term
+  HAVING count(*) > 1 AND count(*) <= greatest((SELECT count(*) FROM d) * 0.05, 2.0)
+  ORDER BY count(*) DESC, term LIMIT 4096),
+kept AS (
+  SELECT doc_id, k, term, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 32 AS s
+  FROM (SELECT doc_id, k, unnest(terms) AS term FROM terms) JOIN lexicon USING (term)),
+hashed AS (SELECT doc_id, k, s, substr(md5(string_agg(term, ' ' ORDER BY term)), 1, 8) AS h FROM kept GROUP BY ALL),
+maps AS (SELECT doc_id, k, map(list(s), list(h)) AS m FROM hashed GROUP BY ALL),
+slots AS (
+  SELECT t.doc_id, t.k, CASE WHEN m IS NULL THEN [substr(md5(t.t), 1, 16)]
+         ELSE list_transform(range(32), lambda i: coalesce(m[i], '--------')) END AS slots
+  FROM terms t LEFT JOIN maps USING (doc_id, k)),
+own AS (
+  SELECT doc_id, slots AS a, coalesce(lead(slots) OVER (ORDER BY doc_id), first(slots) OVER (ORDER BY doc_id)) AS c
+  FROM slots WHERE k = 0),
+pairs AS (
+  SELECT own.doc_id, a, b.slots AS b, c,
+         len(list_filter(list_zip(a, b.slots), lambda x: x[1] = x[2] AND x[1] <> '--------')) AS ab,
+         len(list_filter(list_zip(a, b.slots), lambda x: coalesce(x[1], '--------') <> '--------' OR coalesce(x[2], '--------') <> '--------')) AS ab_any,
+         len(list_filter(list_zip(a, c), lambda x: x[1] = x[2] AND x[1] <> '--------')) AS ac,
+         len(list_filter(list_zip(a, c), lambda x: coalesce(x[1], '--------') <> '--------' OR coalesce(x[2], '--------') <> '--------')) AS ac_any
+  FROM own JOIN slots b ON b.doc_id = own.doc_id AND b.k = 1)
+SELECT doc_id, CAST(n_chars AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, array_to_string(a, '') AS fingerprint,
+       array_to_string(b, '') AS edited_fingerprint, CAST(ab AS DOUBLE) / ab_any AS near_edited, CAST(ac AS DOUBLE) / ac_any AS near_next
+FROM pairs JOIN e USING (doc_id)
+"""
+
+
+@query("op5_imatch_fingerprints", IMATCH_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
