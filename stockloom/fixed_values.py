@@ -35,8 +35,6 @@ ROLLING_WINDOWS = [7, 14, 28]
 PLAIN_ROLLING_WINDOWS = [7, 14]
 PRICE_STD_WINDOW = 7
 DEFAULT_PRICE = 1.99
-DEFAULT_TEMPERATURE = 20.0
-TEMPERATURE_MEAN, TEMPERATURE_SWING, WARMEST_MONTH = 17.5, 12.5, 7
 DAYS_PER_WEEK, DAYS_PER_YEAR = 7.0, 365.25
 PATCH_LENGTH, PATCH_STRIDE = 8, 4
 CATEGORY_LIMIT = 20  # a text column with at most this many values is a category
@@ -45,11 +43,8 @@ CATEGORY_LIMIT = 20  # a text column with at most this many values is a category
 SEASON = 7
 SUBMISSION_STEPS = 28
 BACKTEST_INITIAL, BACKTEST_STEP, BACKTEST_HORIZON = 14, 7, 7
-METRIC_ORDER = [
-    "Accuracy", "WAPE", "MAE", "RMSE", "SMAPE", "MAPE", "Bias", "Stockout_Days", "Wastage_Units",
-]
+METRIC_ORDER = ["Accuracy", "WAPE", "MAE", "RMSE", "SMAPE", "MAPE", "Bias"]
 METRIC_EPS = 1e-5
-REPLAY_START_STOCK, REPLAY_LEAD_DAYS, REPLAY_STOCK_LIMIT = 20.0, 3, 50.0
 
 # Intervals.
 RESIDUAL_WARMUP = 14
@@ -66,7 +61,6 @@ UNDERSTOCK, OVERSTOCK, HEALTHY = "Understock Alert", "Overstock Alert", "Healthy
 # Drift.
 PSI_BINS, PSI_EPS, PSI_ALARM = 10, 1e-4, 0.25
 KS_ALPHA = 0.05
-KS_EXACT_LIMIT = 10000
 INCOMING_ROWS, MIN_BASELINE_ROWS = 10, 10
 DRIFT_MESSAGE, STABLE_MESSAGE = "Action Required: Retrain model", "Data stable"
 

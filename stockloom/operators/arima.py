@@ -17,6 +17,7 @@ from stockloom import fixed_values as V
 from stockloom.operators.panel import in_order
 from stockloom.operators.series_fit import fit_paths, least, take
 
+GRID_COEFFICIENTS = 2
 COEFFICIENTS = [-0.9, -0.7, -0.5, -0.3, -0.1, 0.1, 0.3, 0.5, 0.7, 0.9]
 
 
@@ -55,13 +56,13 @@ def _difference(values: np.ndarray, d: int) -> np.ndarray:
 
 
 def _finish(values, origins, d, horizon, fitted, names):
-    """Sum differenced paths back up; with too little history the last value is repeated."""
+    """Sum differenced paths back up; without a fit the path is NaN, so that a fallback takes over."""
     results = []
     for origin in origins:
         found = fitted.get(origin - d)
         if found is None:
             chosen = np.full((len(values), len(names)), np.nan)
-            results.append((chosen, np.repeat(values[:, origin - 1:origin], horizon, axis=1)))
+            results.append((chosen, np.full((len(values), horizon), np.nan)))
             continue
         chosen, path = found
         for k in range(d - 1, -1, -1):
@@ -82,7 +83,8 @@ def _grid_step(grid: np.ndarray):
             if day > 1:
                 error = w[:, day - 1:day] - phi * w[:, day - 2:day - 1] - theta * error
                 errors += error * error
-            if day in wanted:
+            # As many measured errors as coefficients and one more, else any candidate would do.
+            if day in wanted and day - 1 > GRID_COEFFICIENTS:
                 best = least(errors)
                 first = phi[best] * w[:, day - 1] + theta[best] * take(error, best)
                 path = first[:, None] * phi[best][:, None] ** np.arange(horizon)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockloom import fixed_values as V
@@ -69,42 +69,9 @@ def compare(pooled: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return pooled.groupBy(*keys).agg(*all_metrics(F.col("actual"), F.col("yhat")))
 
 
-def stock_replay(pooled: DataFrame) -> DataFrame:
-    """Stockout days and wasted units per series and model; see :func:`comparison_table`."""
-    return comparison_table(pooled, []).select(*V.SERIES, "model", "Stockout_Days", "Wastage_Units")
-
-
-def comparison_table(pooled: DataFrame, metrics: list[str] | None = None) -> DataFrame:
-    """Accuracy and stock measures per series and model, in the reporting order.
-
-    The stock measures tell what would have happened if every day's forecast had been
-    ordered: the day's delivery is the forecast of three rows earlier (the first forecast
-    until then), stock carries over and is cut at both ends. That recursion folds the days
-    of one group in order; a group has at most one entry per origin and step. The same
-    aggregation yields the accuracy measures.
-    """
-    names = V.METRIC_ORDER if metrics is None else [*metrics, "Stockout_Days", "Wastage_Units"]
-    start = F.struct(F.lit(V.REPLAY_START_STOCK).alias("stock"), F.lit(0.0).alias("out"), F.lit(0.0).alias("waste"))
-
-    def next_day(state: Column, today: Column) -> Column:
-        filled = state["stock"] + today["delivered"]
-        short = filled < today["y"]
-        left = F.when(short, 0.0).otherwise(filled - today["y"])
-        return F.struct(
-            F.least(left, F.lit(V.REPLAY_STOCK_LIMIT)).alias("stock"),
-            (state["out"] + short.cast("double")).alias("out"),
-            (state["waste"] + F.greatest(left - V.REPLAY_STOCK_LIMIT, F.lit(0.0))).alias("waste"))
-
-    order = Window.partitionBy(*V.SERIES, "model").orderBy("origin", "step")
-    delivered = F.coalesce(F.lag("yhat", V.REPLAY_LEAD_DAYS).over(order), F.first("yhat").over(order))
-    day = F.struct("origin", "step", F.col("actual").alias("y"), F.col("delivered"))
-    return (
-        pooled.withColumn("delivered", delivered).groupBy(*V.SERIES, "model")
-        .agg(F.sort_array(F.collect_list(day)).alias("days"), *all_metrics(F.col("actual"), F.col("yhat")))
-        .withColumn("end", F.aggregate("days", start, next_day))
-        .withColumns({"Stockout_Days": F.col("end.out"), "Wastage_Units": F.col("end.waste")})
-        .select(*V.SERIES, "model", *names)
-    )
+def comparison_table(pooled: DataFrame) -> DataFrame:
+    """Accuracy measures per series and model, in the reporting order."""
+    return compare(pooled).select(*V.SERIES, "model", *V.METRIC_ORDER)
 
 
 def best_model(comparison: DataFrame, model_order: list[str]) -> DataFrame:

@@ -99,32 +99,28 @@ def path_probability(old: int, new: int, statistics: np.ndarray) -> np.ndarray:
     if old < new:
         old, new = new, old
     bound = np.round(np.asarray(statistics, dtype=float)[:, None] * old * new) - 0.5
-    across = np.arange(new + 1)
-    touched = np.zeros((len(bound), new + 1))
-    for i in range(old + 1):
-        outside = np.abs(i * new - across * old)[None, :] >= bound
-        for j in across:
-            if i and j:
-                value = (i * touched[:, j] + j * touched[:, j - 1]) / (i + j)
-            elif i:
-                value = touched[:, 0]
-            elif j:
-                value = touched[:, j - 1]
-            else:
-                value = touched[:, 0]
-            touched[:, j] = np.where(outside[:, j], 1.0, value)
+    j = np.arange(new + 1)
+    touched = np.where(bound <= 0, 1.0, 0.0).repeat(new + 1, axis=1)
+    for k in range(1, old + new + 1):   # all points of a diagonal, i + j = k, at once
+        i = k - j
+        before = np.concatenate([touched[:, :1], touched[:, :-1]], axis=1)
+        value = np.where(i > 0, (i * touched + j * before) / k, before)
+        value[:, i < 0] = 0.0
+        touched = np.where((i >= 0) & (np.abs(i * new - j * old) >= bound), 1.0, value)
     return touched[:, new]
 
 
-def with_p_value(statistics: DataFrame, keys: list[str], method: str = "auto") -> DataFrame:
-    """Add ``ks_p_value``: exact up to 10,000 rows a side, the limiting series beyond.
+def with_p_value(statistics: DataFrame, keys: list[str], method: str = "exact") -> DataFrame:
+    """Add ``ks_p_value``, null for a side without rows; the caller chooses how it is found.
 
-    The exact count works on one row per key (two sizes and a statistic), never on data.
+    ``exact`` counts lattice paths, in steps that grow with the product of both sample sizes: for
+    series, whose newest rows are few. ``asymptotic`` is Kolmogorov's limiting series, for large
+    samples. Both work on one row per key (two sizes and a statistic), never on data.
     """
-    limit = F.greatest(F.col("old_rows"), F.col("new_rows"))
-    series = kolmogorov_p(F.col("ks_statistic"), F.col("old_rows"), F.col("new_rows"))
     if method == "asymptotic":
-        return statistics.withColumn("ks_p_value", series)
+        return statistics.withColumn("ks_p_value", kolmogorov_p(F.col("ks_statistic"), F.col("old_rows"), F.col("new_rows")))
+    if method != "exact":
+        raise ValueError(f"unknown method {method!r}; known: exact, asymptotic")
 
     @F.pandas_udf("double")
     def exact(stat: pd.Series, old: pd.Series, new: pd.Series) -> pd.Series:
@@ -134,12 +130,8 @@ def with_p_value(statistics: DataFrame, keys: list[str], method: str = "auto") -
                 result[rows.index] = path_probability(int(m), int(n), rows.to_numpy())
         return result
 
-    small = F.when(limit <= V.KS_EXACT_LIMIT, F.col("ks_statistic"))
-    counted = statistics.withColumn("_exact", exact(
-        F.coalesce(small, F.lit(0.0)),
-        F.when(small.isNotNull(), F.col("old_rows")).otherwise(0),
-        F.when(small.isNotNull(), F.col("new_rows")).otherwise(0)))
-    return counted.withColumn("ks_p_value", F.when(small.isNotNull(), F.nanvl("_exact", F.lit(None).cast("double"))).otherwise(series)).drop("_exact")
+    counted = exact(F.coalesce("ks_statistic", F.lit(0.0)), F.coalesce("old_rows", F.lit(0)), F.coalesce("new_rows", F.lit(0)))
+    return statistics.withColumn("ks_p_value", counted).withColumn("ks_p_value", F.nanvl("ks_p_value", F.lit(None).cast("double")))
 
 
 def psi(
@@ -169,7 +161,7 @@ def psi(
     return sums.select(*keys, total.alias("psi"))
 
 
-def drift_report(sides: DataFrame, keys: list[str], small_keys: bool = True, method: str = "auto") -> DataFrame:
+def drift_report(sides: DataFrame, keys: list[str], small_keys: bool = True, method: str = "exact") -> DataFrame:
     """KS and PSI verdicts per key; either one raises the alarm."""
     table = compared(sides, keys, small_keys)
     summary = key_summary(table, keys)

@@ -20,9 +20,10 @@ def mean_contributions(matrix: DataFrame, weights: dict[str, float]) -> DataFram
 
     For a linear model these are the exact additive contributions.
     """
-    means = matrix.agg(*(F.avg(c).alias(c) for c in weights))
-    parts = matrix.agg(*(
-        F.avg(F.abs(F.lit(w) * (F.col(c) - means.select(c).scalar()))).alias(c) for c, w in weights.items()))
+    means = matrix.agg(F.struct(*(F.avg(c).alias(c) for c in weights)).alias("means")).scalar()
+    centred = matrix.withColumn("_means", means)   # one subquery of one row
+    parts = centred.agg(*(
+        F.avg(F.abs(F.lit(w) * (F.col(c) - F.col(f"_means.{c}")))).alias(c) for c, w in weights.items()))
     rows = F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).alias("mean_contribution")) for c in weights))
     return parts.select(F.inline(rows)).orderBy(F.desc("mean_contribution"), "feature")
 

@@ -51,14 +51,6 @@ def promo_flag(df: DataFrame) -> Column:
     return F.coalesce(*(F.when(F.col("state_id") == s, flag) for s, flag in flags.items()), F.lit(0))
 
 
-def temperature(df: DataFrame) -> DataFrame:
-    """Seasonal temperature index, warmest in July."""
-    if "date" not in df.columns:
-        return df.withColumn("temperature", F.lit(V.DEFAULT_TEMPERATURE))
-    angle = (F.month("date") - V.WARMEST_MONTH) * (2 * math.pi) / 12.0
-    return df.withColumn("temperature", V.TEMPERATURE_MEAN + V.TEMPERATURE_SWING * F.cos(angle))
-
-
 def prices(df: DataFrame) -> DataFrame:
     """Price of the day before, its change, and the price's 7-row deviation."""
     if "sell_price" not in df.columns:
@@ -94,16 +86,28 @@ def _yesterday(df: DataFrame) -> tuple[DataFrame, str]:
 
 
 def rolling(df: DataFrame, windows: list[int] = V.ROLLING_WINDOWS) -> DataFrame:
-    """Trailing mean, median and deviation of the sales up to the day before."""
+    """Trailing mean, median and deviation of the sales up to the day before.
+
+    The newest values are collected once, for the widest window; each median sorts a slice of them.
+    """
     order = in_order(df)
     df, name = _yesterday(df)
     before, columns = F.col(name), {}
+    df = df.withColumn("_newest", F.collect_list(before).over(_trailing(order, max(windows))))
     for rows in windows:
         frame = _trailing(order, rows)
         columns[f"sales_roll_mean_{rows}"] = F.avg(before).over(frame)
-        columns[f"sales_roll_median_{rows}"] = F.percentile(before, F.lit(0.5)).over(frame)
+        columns[f"sales_roll_median_{rows}"] = _median(F.col("_newest"), rows)
         columns[f"sales_roll_std_{rows}"] = _std(before, frame)
-    return df.withColumns(columns).drop("_before")
+    return df.withColumns(columns).drop("_before", "_newest")
+
+
+def _median(values: Column, rows: int) -> Column:
+    """Median of the last ``rows`` values of an array, or of all if it has fewer."""
+    size = F.least(F.size(values), F.lit(rows))
+    ordered = F.sort_array(F.slice(values, F.size(values) - size + 1, size))
+    at = lambda place: F.element_at(ordered, F.floor(place / 2).cast("int"))
+    return (at(size + 1) + at(size + 2)) / 2
 
 
 def expanding(df: DataFrame) -> DataFrame:
@@ -150,7 +154,7 @@ def demand_features(
 
 def all_features(df: DataFrame) -> DataFrame:
     """Every feature of the pipeline over a priced panel."""
-    return demand_features(prices(temperature(df)))
+    return demand_features(prices(df))
 
 
 def feature_columns(df: DataFrame) -> list[str]:
@@ -160,16 +164,18 @@ def feature_columns(df: DataFrame) -> list[str]:
     ]
 
 
+def finite(name: str) -> Column:
+    """The column as a double; null, NaN and infinity count as 0."""
+    value = F.col(name).cast("double")
+    usable = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    return F.when(usable, value).otherwise(F.lit(0.0))
+
+
 def model_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Series keys, date, target and the numeric features as finite doubles."""
-    def finite(name: str) -> Column:
-        value = F.col(name).cast("double")
-        usable = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
-        return F.when(usable, value).otherwise(F.lit(0.0)).alias(name)
-
     columns = columns or feature_columns(df)
     return df.select(*V.SERIES, "date", F.col("sales").cast("double").alias("sales"),
-                     *(finite(c) for c in columns))
+                     *(finite(c).alias(c) for c in columns))
 
 
 def supervised_windows(df: DataFrame, inputs: int, horizon: int) -> DataFrame:

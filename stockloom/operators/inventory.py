@@ -95,14 +95,12 @@ def simple_order(stock: DataFrame, demand: str = "demand_sum", on_hand: str = "o
     })
 
 
-def health_matrix(rows: DataFrame, key: str, category: str, categories: list[str], status: str = V.UNDERSTOCK) -> DataFrame:
-    """Series with ``status`` per key (row) and category (column)."""
-    return rows.groupBy(key).agg(*(
-        F.count_if((F.col(category) == c) & (F.col("inventory_health") == status)).alias(c) for c in categories))
+def health_matrix(rows: DataFrame, key: str, category: str, status: str = V.UNDERSTOCK) -> DataFrame:
+    """Series with ``status`` in each cell (key, category), in long form so that no category is left out."""
+    return rows.groupBy(key, category).agg(F.count_if(F.col("inventory_health") == status).alias("series"))
 
 
-def worst_status_matrix(rows: DataFrame, key: str, category: str, categories: list[str]) -> DataFrame:
-    """The most urgent status per key and category: understock, then overstock, then healthy."""
+def worst_status_matrix(rows: DataFrame, key: str, category: str) -> DataFrame:
+    """The most urgent status of each cell (key, category): understock, then overstock, then healthy."""
     urgency = F.array_position(F.array(F.lit(V.UNDERSTOCK), F.lit(V.OVERSTOCK), F.lit(V.HEALTHY)), F.col("inventory_health"))
-    return rows.groupBy(key).agg(*(
-        F.min_by("inventory_health", F.when(F.col(category) == c, urgency)).alias(c) for c in categories))
+    return rows.groupBy(key, category).agg(F.min_by("inventory_health", urgency).alias("status"))

@@ -109,10 +109,16 @@ def fill_days(
     Each row is repeated up to the day before the series' next row (its first row also
     reaches back to ``first_day``), so no date table is joined and the only shuffle is
     the one by series that the later windows need anyway.
+
+    The result spans ``first_day`` to ``last_day``: rows outside are left out, and so are series
+    without a row inside. Several rows of a series and date are an error, raised as the job runs;
+    add them up first.
     """
     order = Window.partitionBy(*V.SERIES).orderBy("date")
+    daily = daily.where(F.col("date").between(first_day, last_day))
     kept = [c for c in daily.columns if c not in ("date", *measures)]
-    start = F.when(F.col("before").isNull(), first_day).otherwise(F.col("date"))
+    twice = F.raise_error(F.concat_ws(" ", F.lit("several rows of one series on"), F.col("date").cast("string"))).cast("date")
+    start = F.when(F.col("before").isNull(), first_day).when(F.col("before") == F.col("date"), twice).otherwise(F.col("date"))
     end = F.when(F.col("after").isNull(), last_day).otherwise(F.date_sub("after", 1))
     present = F.col("day") == F.col("date")
     return (

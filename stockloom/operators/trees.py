@@ -18,13 +18,14 @@ from stockloom.session import cut_lineage
 
 LONGEST = max(*V.SALES_LAGS, *V.ROLLING_WINDOWS)
 STEPS_PER_CHECKPOINT = 7
+STEP_SIZE = 0.05
 CALENDAR_INPUTS = ("wm_yr_wk", "wday")
 
 
-def regressor(label: str, rounds: int, depth: int) -> GBTRegressor:
+def regressor(label: str, rounds: int, depth: int, step_size: float) -> GBTRegressor:
     return GBTRegressor(
         featuresCol="features", labelCol=label, predictionCol="yhat", maxIter=rounds, maxDepth=depth,
-        stepSize=0.05 if rounds >= 50 else 0.3, seed=42, subsamplingRate=1.0)
+        stepSize=step_size, seed=42, subsamplingRate=1.0)
 
 
 def training_columns(panel: DataFrame) -> list[str]:
@@ -48,10 +49,10 @@ def training_matrix(panel: DataFrame) -> DataFrame:
     return _assembled(B.model_matrix(B.demand_features(panel), columns), columns)
 
 
-def fit_recursive(panel: DataFrame, rounds: int = 100, depth: int = 5) -> GBTRegressionModel:
+def fit_recursive(panel: DataFrame, rounds: int = 100, depth: int = 5, step_size: float = STEP_SIZE) -> GBTRegressionModel:
     matrix = training_matrix(panel).select("features", "sales").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return regressor("sales", rounds, depth).fit(matrix)
+        return regressor("sales", rounds, depth, step_size).fit(matrix)
     finally:
         matrix.unpersist()
 
@@ -144,11 +145,11 @@ def predict_recursive(
 
 
 def _finite(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns})
+    return df.withColumns({c: B.finite(c) for c in columns})
 
 
 def fit_direct(
-    panel: DataFrame, horizon: int, rounds: int = 100, depth: int = 5, parallel: int = 4,
+    panel: DataFrame, horizon: int, rounds: int = 100, depth: int = 5, parallel: int = 4, step_size: float = STEP_SIZE,
 ) -> dict[int, GBTRegressionModel]:
     """One model per step, trained on the sales that many days later.
 
@@ -164,7 +165,7 @@ def fit_direct(
 
     def fit(step: int) -> tuple[int, GBTRegressionModel | None]:
         rows = matrix.where(F.col(f"y_{step}").isNotNull())
-        return step, None if rows.isEmpty() else regressor(f"y_{step}", rounds, depth).fit(rows)
+        return step, None if rows.isEmpty() else regressor(f"y_{step}", rounds, depth, step_size).fit(rows)
 
     try:
         with ThreadPool(parallel) as pool:
@@ -190,8 +191,14 @@ def predict_direct(models: dict[int, GBTRegressionModel], panel: DataFrame, hori
         *V.SERIES, (F.col("at") + 1).alias("step"), F.date_add("date", F.col("at") + 1).alias("date"), "yhat")
 
 
+def last_origins(df: DataFrame, horizon: int, count: int) -> list[int]:
+    """The newest ``count`` origins, ``horizon`` days apart, that leave ``horizon`` days in the longest series."""
+    days = df.groupBy(*V.SERIES).count().agg(F.max("count")).first()[0] or 0
+    return [days - k * horizon for k in range(count, 0, -1) if days - k * horizon > 1]
+
+
 def tree_backtest(
-    panel: DataFrame, origins: list[int], horizon: int, rounds: int = 20, depth: int = 5,
+    panel: DataFrame, origins: list[int], horizon: int, rounds: int = 100, depth: int = 5, step_size: float = STEP_SIZE,
 ) -> DataFrame:
     """Recursive tree forecasts at the given origins, the model refitted at each one.
 
@@ -202,7 +209,7 @@ def tree_backtest(
     parts = None
     for origin in origins:
         known = numbered.where(F.col("_position") <= origin).drop("_position")
-        made = predict_recursive(fit_recursive(known, rounds, depth), known, horizon).select(
+        made = predict_recursive(fit_recursive(known, rounds, depth, step_size), known, horizon).select(
             *V.SERIES, F.lit(origin).alias("origin"), "step", F.lit("boosted_trees").alias("model"), "yhat")
         parts = made if parts is None else parts.unionByName(made)
     return parts

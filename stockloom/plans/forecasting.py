@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stockloom import fixed_values as V
 from stockloom.operators import additive, arima, forecast as C, smoothing, trees
+from stockloom.operators import backtest as D
 from stockloom.operators import intervals as I
 from stockloom.operators import inventory as G
 from stockloom.operators.series_fit import as_forecast
@@ -44,6 +45,39 @@ def forecast(panel: DataFrame, model: str, horizon: int, **parameters) -> DataFr
     return C.with_fallback(made, C.naive(panel, horizon))
 
 
+WALKED = {"arima": arima.arima, "ets": smoothing.ets, "additive": additive.additive_regression}
+
+
+def backtest(
+    df: DataFrame, models: list[str], initial: int = V.BACKTEST_INITIAL, step: int = V.BACKTEST_STEP,
+    horizon: int = V.BACKTEST_HORIZON, trees_parameters: dict | None = None,
+) -> DataFrame:
+    """``(series, origin, step, model, yhat, actual, fallback)`` of any models on the same origins.
+
+    A model's forecast that is missing or not a number at an origin is replaced by the naive one,
+    and ``fallback`` tells so. Trees are refitted at every origin, so name them with few origins.
+    """
+    unknown = [m for m in models if m not in MODELS or m == "trees_direct"]
+    if unknown:
+        raise ValueError(f"no backtest of {', '.join(unknown)}")
+    base = D.walk_forward(df, initial, step, horizon)
+    naive = base.where(F.col("model") == "naive").select(*V.SERIES, "origin", "step", "actual", F.col("yhat").alias("_naive"))
+    made = base.where(F.col("model").isin(models)).select(*V.SERIES, "origin", "step", "model", "yhat")
+    for name in models:
+        if name in WALKED:
+            made = made.unionByName(as_forecast(WALKED[name](df, horizon, backtest=(initial, step))).select(
+                *V.SERIES, "origin", "step", F.lit(name).alias("model"), "yhat"))
+        elif name == "trees_recursive":
+            days = df.groupBy(*V.SERIES).count().agg(F.max("count")).first()[0] or 0
+            made = made.unionByName(trees.tree_backtest(
+                df, list(range(initial, days - horizon + 1, step)), horizon, **(trees_parameters or {})).withColumn("model", F.lit(name)))
+    wanted = naive.select("*", F.explode(F.array(*(F.lit(m) for m in models))).alias("model"))
+    joined = wanted.join(made, [*V.SERIES, "origin", "step", "model"], "left")
+    usable = F.col("yhat").isNotNull() & ~F.isnan("yhat")
+    return joined.select(*V.SERIES, "origin", "step", "model", F.when(usable, F.col("yhat")).otherwise(F.col("_naive")).alias("yhat"),
+                         "actual", (~usable).alias("fallback"))
+
+
 def plan_from_forecast(
     point: DataFrame, df: DataFrame, stock: DataFrame, confidence: float = V.INTERVAL_CONFIDENCE, **policy,
 ) -> DataFrame:

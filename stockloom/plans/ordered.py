@@ -80,10 +80,10 @@ def quantile_at(value: Column, before: Column, count: Column, total: Column, pro
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
-    """One row ``(column, q0, q1, ...)`` per numeric column, exact, over the whole frame."""
+    """One row ``(column, q0, q1, ...)`` per numeric column, exact, over the whole frame; NaN counts as missing."""
     parts, splits = [], column_splits(df, columns)
     for name in columns:
-        kept = df.select(F.col(name).cast("double").alias("value")).where(F.col("value").isNotNull())
+        kept = df.select(F.col(name).cast("double").alias("value")).where(F.col("value").isNotNull() & ~F.isnan("value"))
         counts = kept.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
         ranked = running_totals(counts, [], "value", ["n"], splits[name])
         total = kept.agg(F.count(F.lit(1))).scalar()

@@ -12,15 +12,6 @@ from stockloom.operators import inventory as G
 from stockloom.operators.panel import in_order
 
 
-def stock_on_hand(df: DataFrame, days: int = 3) -> DataFrame:
-    """A stand-in stock count where no stock table exists: the last days' sales on hand,
-    the very last day's sales on order."""
-    return C.tails(df, days).select(
-        *V.SERIES,
-        F.aggregate("tail", F.lit(0.0), lambda total, value: total + value).alias("on_hand"),
-        C.last_value(F.col("tail")).alias("on_order"))
-
-
 def series_summary(
     df: DataFrame, rows: int = V.SEASON, period: int = V.SEASON, warmup: int = V.RESIDUAL_WARMUP,
 ) -> DataFrame:

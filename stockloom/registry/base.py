@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockloom import fixed_values as V
+from stockloom.operators import forecast as C
 from stockloom.sources.star import StarRetail
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +87,12 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ))
+
+
+def stock_on_hand(df: DataFrame, days: int = 3) -> DataFrame:
+    """The star tables have no stock; for the checks, the last days' sales are on hand,
+    the very last day's sales on order."""
+    return C.tails(df, days).select(
+        *V.SERIES,
+        F.aggregate("tail", F.lit(0.0), lambda total, value: total + value).alias("on_hand"),
+        C.last_value(F.col("tail")).alias("on_order"))

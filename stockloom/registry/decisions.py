@@ -14,10 +14,10 @@ from stockloom.operators import (
 )
 from stockloom.plans import planning
 from stockloom.plans.forecasting import forecast, plan_from_forecast
-from stockloom.registry.base import query, rounded
+from stockloom.registry.base import query, rounded, stock_on_hand
 from stockloom.registry.features import FEATURE_SQL, LAGGED
 from stockloom.registry.forecasts import (
-    COMING, ETS_FIT, LAST, POOLED, SEASONAL, TREE_DEPTH, TREE_ROUNDS,
+    COMING, ETS_FIT, LAST, POOLED, SEASONAL, TREES,
 )
 from stockloom.session import scratch_path
 from stockloom.sources import retail as R
@@ -56,7 +56,7 @@ base AS (
   SELECT level, node, step, avg(sales) AS yhat FROM node_days, node_ends, coming
     WHERE (level = 'total' AND day_no > n - 28) OR (level = 'state' AND day_no > n - 7) GROUP BY ALL
   UNION ALL SELECT level, node, step, sales FROM node_days, node_ends, coming
-    WHERE level = 'store' AND day_no = n - 7 + (step - 1) % 7 + 1 AND node <> 'NATION_9'),
+    WHERE level = 'store' AND day_no = n - 7 + (step - 1) % 7 + 1),
 own AS (SELECT t.store_id, t.state_id, c.step, coalesce(b.yhat, 0) AS own FROM tree t CROSS JOIN coming c
   LEFT JOIN base b ON b.level = 'store' AND b.node = t.store_id AND b.step = c.step)"""
 
@@ -69,8 +69,8 @@ UNION ALL SELECT 'store', store_id, step, round(sum({value}), 6) FROM {table} GR
 
 
 def _base(retail):
-    """Deliberately incoherent base forecasts; one store has none."""
-    nodes = E.node_sales(retail.series).where(F.col("item_id") != "NATION_9")
+    """Deliberately incoherent base forecasts of every node."""
+    nodes = E.node_sales(retail.series)
     level = F.col("store_id")
     return E.as_base(C.from_tails(C.tails(nodes, 28), STEPS, lambda tail, step: (
         F.when(level == E.TOTAL, C.mean_of_last(tail, 28)).when(level == E.STATE, C.mean_of_last(tail, 7))
@@ -101,9 +101,9 @@ shares AS (SELECT store_id, sum(sales) / (SELECT sum(sales) FROM panel) AS share
 @query("e03_top_down", _sum_up_sql("split", "v"), COMING, NODES, SHARES, """
 split AS (SELECT t.store_id, t.state_id, b.step, b.yhat * coalesce(s.share, 1.0 / (SELECT count(*) FROM tree)) AS v
   FROM tree t CROSS JOIN (SELECT * FROM base WHERE level = 'total') b
-  LEFT JOIN (SELECT * FROM shares WHERE store_id <> 'NATION_4') s ON s.store_id = t.store_id)""")
+  LEFT JOIN shares s ON s.store_id = t.store_id)""")
 def top_down(retail):
-    shares = E.historical_shares(retail.series).where(F.col("store_id") != "NATION_4")
+    shares = E.historical_shares(retail.series)
     return rounded(E.top_down(_base(retail), _mapping(retail), shares, STEPS))
 
 
@@ -166,11 +166,12 @@ def intervals_by_series(retail):
 
 
 @query("f03_sigma_fallback", """
-SELECT s.store_id, s.item_id, step, round(CASE WHEN item_id = 'SMALL' THEN greatest(1, 0.15 * avg(yhat) OVER (
-  PARTITION BY store_id, item_id)) ELSE sigma END, 6) AS sigma FROM seasonal s JOIN spread USING (store_id, item_id)
-""", LAST, COMING, SEASONAL, RESIDUALS)
+SELECT store_id, item_id, step, round(greatest(1, 0.15 * avg(yhat) OVER (PARTITION BY store_id, item_id)), 6) AS sigma
+FROM seasonal
+""", LAST, COMING, SEASONAL)
 def sigma_fallback(retail):
-    spread = I.residual_spread(I.seasonal_residuals(retail.series)).where(F.col("item_id") != "SMALL")
+    # No series has residuals, so every one takes the fallback.
+    spread = I.residual_spread(I.seasonal_residuals(retail.series, warmup=10**9))
     made = I.prediction_intervals(C.seasonal_naive(retail.series, STEPS), spread)
     return rounded(made.select(*V.SERIES, "step", "sigma"))
 
@@ -249,7 +250,7 @@ policy AS (SELECT *, ls * ({phi_sql('z')} - z * (1 - {cdf_sql('z')})) AS short,
 
 
 def _policies(retail):
-    stats = G.demand_stats(retail.series).join(planning.stock_on_hand(retail.series), V.SERIES)
+    stats = G.demand_stats(retail.series).join(stock_on_hand(retail.series), V.SERIES)
     return G.policies(stats)
 
 
@@ -284,7 +285,7 @@ SELECT store_id, item_id, round(m * lt + ({_LEADS.format(*(_z(2.0 / (2.0 + 0.1 *
   * greatest(0.5, sd * sqrt(lt)), 6) AS newsvendor_level FROM (SELECT *, length(item_id) AS lt FROM stock)
 """, LAST, POLICY)
 def newsvendor_by_series(retail):
-    stats = G.demand_stats(retail.series).join(planning.stock_on_hand(retail.series), V.SERIES)
+    stats = G.demand_stats(retail.series).join(stock_on_hand(retail.series), V.SERIES)
     made = G.policies(stats, lead_time=F.length("item_id"), stockout_cost=2.0)
     return rounded(made.select(*V.SERIES, "newsvendor_level"))
 
@@ -296,11 +297,10 @@ FROM seasonal JOIN stock USING (store_id, item_id) GROUP BY ALL
 """, LAST, COMING, SEASONAL, POLICY)
 def simple_order(retail):
     demand = C.seasonal_naive(retail.series, STEPS).groupBy(*V.SERIES).agg(F.sum("yhat").alias("demand_sum"))
-    stock = planning.stock_on_hand(retail.series).drop("on_order").withColumn("buffer", F.lit(15.0))
+    stock = stock_on_hand(retail.series).drop("on_order").withColumn("buffer", F.lit(15.0))
     return G.simple_order(demand.join(stock, V.SERIES)).drop("buffer")
 
 
-TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 FINE_POLICY = f"""
 lines AS (SELECT n_name AS store_id, r_name AS state_id, p_brand AS brand, p_type AS kind, CAST(l_shipdate AS DATE) AS date,
     l_quantity AS q FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
@@ -326,20 +326,20 @@ def _fine_policies(retail):
     return G.policies(stats.join(stock, keys))
 
 
-@query("g13_understock_matrix", "SELECT store_id, " + ", ".join(
-    f"""count(*) FILTER (kind = '{t}' AND health = 'Understock Alert') AS "{t}" """ for t in TYPES)
-    + " FROM fine_health GROUP BY ALL", FINE_POLICY)
+@query("g13_understock_matrix", """
+SELECT store_id, kind AS item_id, count(*) FILTER (health = 'Understock Alert') AS series FROM fine_health GROUP BY ALL
+""", FINE_POLICY)
 def understock_matrix(retail):
-    return G.health_matrix(_fine_policies(retail), "store_id", "item_id", TYPES)
+    return G.health_matrix(_fine_policies(retail), "store_id", "item_id")
 
 
-@query("g13_worst_status_matrix", "SELECT state_id, " + ", ".join(
-    f"""CASE WHEN count(*) FILTER (kind = '{t}' AND health = 'Understock Alert') > 0 THEN 'Understock Alert'
-  WHEN count(*) FILTER (kind = '{t}' AND health = 'Overstock Alert') > 0 THEN 'Overstock Alert'
-  WHEN count(*) FILTER (kind = '{t}') > 0 THEN 'Healthy' END AS "{t}" """ for t in TYPES)
-    + " FROM fine_health GROUP BY ALL", FINE_POLICY)
+@query("g13_worst_status_matrix", """
+SELECT state_id, kind AS item_id, CASE WHEN count(*) FILTER (health = 'Understock Alert') > 0 THEN 'Understock Alert'
+  WHEN count(*) FILTER (health = 'Overstock Alert') > 0 THEN 'Overstock Alert' ELSE 'Healthy' END AS status
+FROM fine_health GROUP BY ALL
+""", FINE_POLICY)
 def worst_status_matrix(retail):
-    return G.worst_status_matrix(_fine_policies(retail), "state_id", "item_id", TYPES)
+    return G.worst_status_matrix(_fine_policies(retail), "state_id", "item_id")
 
 
 # ---- drift -----------------------------------------------------------------------
@@ -440,9 +440,9 @@ SELECT store_id, item_id, round(p, 6) AS ks_p_value, round(psi, 6) AS psi, p < 0
 FROM pvalues JOIN psi USING (store_id, item_id)"""
 
 
-@query("h05_verdict", VERDICT, LAST, SIDES, KS_SQL, PSI_SQL)
+@query("h05_verdict", VERDICT.replace("FROM pvalues", "FROM exact"), LAST, SIDES, KS_SQL, EXACT_KS, PSI_SQL)
 def verdict(retail):
-    report = H.drift_report(_sides(retail), V.SERIES, method="asymptotic")
+    report = H.drift_report(_sides(retail), V.SERIES)
     return rounded(report.drop("ks_statistic", "old_rows", "new_rows"))
 
 
@@ -473,7 +473,7 @@ def _matrix(retail):
 
 @query("i01_feature_importance")
 def feature_importance(retail):
-    model = trees.fit_recursive(retail.panel, TREE_ROUNDS, TREE_DEPTH)
+    model = trees.fit_recursive(retail.panel, **TREES)
     return rounded(trees.importances(model, retail.panel))
 
 
@@ -575,7 +575,7 @@ FROM policy JOIN (SELECT store_id, item_id, sum(yhat) AS forecast_sum, any_value
   FROM seasonal JOIN spread USING (store_id, item_id) GROUP BY ALL) USING (store_id, item_id)
 """, LAST, COMING, SEASONAL, RESIDUALS, POLICY)
 def planning_table(retail):
-    table = planning.planning_table(retail.series, planning.stock_on_hand(retail.series), STEPS)
+    table = planning.planning_table(retail.series, stock_on_hand(retail.series), STEPS)
     return rounded(table.select(
         *V.SERIES, "demand_mean", "demand_std", "on_hand", "on_order", "forecast_sum", "p10_sum", "p90_sum", "sigma",
         "horizon_end", "safety_stock", "reorder_point", "order_up_to_level", "order_out", "order_s_s",
@@ -592,6 +592,6 @@ FROM policy JOIN (SELECT store_id, item_id, sum(f) AS forecast_sum, max(last_dat
 """, LAST, COMING, RESIDUALS, POLICY, ETS_FIT)
 def planning_with_ets(retail):
     point = forecast(retail.series, "ets", STEPS)
-    table = plan_from_forecast(point, retail.series, planning.stock_on_hand(retail.series))
+    table = plan_from_forecast(point, retail.series, stock_on_hand(retail.series))
     return rounded(table.select(
         *V.SERIES, "forecast_sum", "p10_sum", "p90_sum", "horizon_end", "reorder_point", "order_out"))

@@ -33,12 +33,10 @@ def unpivot_days(retail):
 
 
 @query("b02_calendar_join", """
-SELECT store_id, item_id, date, d, wm_yr_wk, weekday, event_name_1, sales FROM panel WHERE day_no % 7 <> 0
+SELECT store_id, item_id, date, d, wm_yr_wk, weekday, event_name_1, sales FROM panel
 """)
 def calendar_join(retail):
-    # A calendar without every seventh day: the join has to drop those days.
-    partial = retail.calendar.where(F.substring_index("d", "_", -1).cast("int") % 7 != 0)
-    return P.join_calendar(retail.dense.drop("date"), partial).select(
+    return P.join_calendar(retail.dense.drop("date"), retail.calendar).select(
         *KEYS, "d", "wm_yr_wk", "weekday", "event_name_1", "sales")
 
 
@@ -92,13 +90,6 @@ def promo_flag(retail):
     return _columns(B.temporal(retail.panel), "is_promo")
 
 
-@query("b10_temperature", """
-SELECT store_id, item_id, date, round(17.5 + 12.5 * cos(2 * pi() * (month(date) - 7) / 12.0), 6) AS temperature FROM panel
-""")
-def temperature(retail):
-    return _columns(B.temperature(retail.panel), "temperature")
-
-
 @query("b11_default_price", """
 SELECT store_id, item_id, date, CAST(1.99 AS DOUBLE) AS sell_price, CAST(0 AS DOUBLE) AS price_diff_1 FROM panel
 """)
@@ -198,15 +189,14 @@ features AS (SELECT store_id, state_id, item_id, date, day_no, sales, wm_yr_wk,
 PRICE_SQL = f"""
 price_features AS (SELECT store_id, item_id, date, sell_price, lagged AS price_lag_1,
   sell_price - lagged AS price_diff_1, coalesce((sell_price - lagged) / lagged, 0) AS price_pct_change,
-  coalesce(stddev_samp(sell_price) {_frame(7)}, 0) AS price_roll_std_7,
-  17.5 + 12.5 * cos(2 * pi() * (month(date) - 7) / 12.0) AS temperature
+  coalesce(stddev_samp(sell_price) {_frame(7)}, 0) AS price_roll_std_7
   FROM (SELECT *, coalesce(lag(sell_price) OVER ({ORDER}), sell_price) AS lagged FROM priced))"""
 
 
 @query("b22_all_features", """
 SELECT f.* EXCLUDE (state_id, day_no), round(p.sell_price, 9) AS sell_price, round(p.price_lag_1, 9) AS price_lag_1,
   round(p.price_diff_1, 9) AS price_diff_1, round(p.price_pct_change, 9) AS price_pct_change,
-  round(p.price_roll_std_7, 7) AS price_roll_std_7, round(p.temperature, 9) AS temperature
+  round(p.price_roll_std_7, 7) AS price_roll_std_7
 FROM features f JOIN price_features p USING (store_id, item_id, date)
 """, LAGGED, FEATURE_SQL, PRICE_SQL)
 def all_features(retail):
@@ -215,18 +205,22 @@ def all_features(retail):
     return rounded(built.select(*wanted).withColumn("price_roll_std_7", F.round("price_roll_std_7", 7)), 9)
 
 
-@query("b23_model_matrix", "SELECT store_id, item_id, date, sales, " + ", ".join(
-    f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in (
-        "wm_yr_wk wday snap_AFRICA snap_AMERICA snap_ASIA dayofweek weekofyear month quarter year is_weekend "
-        "is_holiday is_promo sin_weekly cos_weekly sin_annual cos_annual trend_idx").split())
-    + ", CASE WHEN sales = 0 THEN 0 ELSE round(sales_lag_1 / sales, 9) END AS ratio FROM features",
-    LAGGED, FEATURE_SQL)
+MATRIX_COLUMNS = [
+    "wm_yr_wk", "wday", "snap_AFRICA", "snap_AMERICA", "snap_ASIA", "dayofweek", "weekofyear", "month", "quarter", "year",
+    "is_weekend", "is_holiday", "is_promo", *(f"sales_lag_{n}" for n in V.SALES_LAGS),
+    *(f"sales_roll_{s}_{w}" for w in V.ROLLING_WINDOWS for s in ("mean", "median", "std")),
+    "sales_expanding_mean", "sales_expanding_std", "sin_weekly", "cos_weekly", "sin_annual", "cos_annual", "trend_idx",
+]
+MATRIX_PRICES = ["sell_price", "price_lag_1", "price_diff_1", "price_pct_change"]
+
+
+@query("b23_model_matrix", "SELECT f.store_id, f.item_id, f.date, f.sales, " + ", ".join(
+    [f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in MATRIX_COLUMNS] + [f'round(p."{c}", 9) AS "{c}"' for c in MATRIX_PRICES])
+    + ", round(p.price_roll_std_7, 7) AS price_roll_std_7 FROM features f JOIN price_features p USING (store_id, item_id, date)",
+    LAGGED, FEATURE_SQL, PRICE_SQL)
 def model_matrix(retail):
-    # The added ratio is infinite or NaN on days without sales; the matrix turns those into 0.
-    panel = B.trend(B.fourier(B.temporal(retail.panel)))
-    ratio = F.when(F.col("sales") == 0, F.lit(float("inf"))).otherwise(
-        F.lag("sales", 1, 0.0).over(P.in_order(panel)) / F.col("sales"))
-    return rounded(B.model_matrix(panel.withColumn("ratio", ratio)), 9)
+    made = B.model_matrix(B.all_features(retail.priced), [*MATRIX_COLUMNS, *MATRIX_PRICES, "price_roll_std_7"])
+    return rounded(made.withColumn("price_roll_std_7", F.round("price_roll_std_7", 7)), 9)
 
 
 _WINDOWS = f"""

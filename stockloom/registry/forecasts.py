@@ -8,6 +8,7 @@ from stockloom import fixed_values as V
 from stockloom.functions.metrics import ALL
 from stockloom.operators import additive, arima, backtest as D, forecast as C, smoothing, trees
 from stockloom.operators.series_fit import as_forecast
+from stockloom.plans.forecasting import backtest
 from stockloom.registry.base import query, rounded
 
 H = 14
@@ -191,32 +192,33 @@ def additive_regression(retail):
     return rounded(as_forecast(additive.additive_regression(retail.series, H)).drop("origin"))
 
 
-# Few, shallow trees keep the check short; all rows of all series are trained on.
-TREE_ROUNDS, TREE_DEPTH, TREE_HORIZON = 5, 4, 7
+# Fewer rounds than the operators' default of 100, each with a larger step: a round is half a dozen
+# Spark jobs, whatever the size of the data, and the checks run dozens of fits. All rows are trained on.
+TREE_HORIZON, TREES = 14, {"rounds": 10, "depth": 5, "step_size": 0.3}
 
 
 @query("c07_trees_recursive")
 def trees_recursive(retail):
-    model = trees.fit_recursive(retail.panel, TREE_ROUNDS, TREE_DEPTH)
-    return rounded(trees.predict_recursive(model, retail.panel, TREE_HORIZON))
+    model = trees.fit_recursive(retail.panel, **TREES)
+    return rounded(trees.predict_recursive(model, retail.panel, TREE_HORIZON, retail.calendar_until(TREE_HORIZON)))
 
 
 @query("c08_trees_direct")
 def trees_direct(retail):
-    models = trees.fit_direct(retail.panel, TREE_HORIZON, TREE_ROUNDS, TREE_DEPTH)
+    models = trees.fit_direct(retail.panel, TREE_HORIZON, **TREES)
     return rounded(trees.predict_direct(models, retail.panel, TREE_HORIZON))
 
 
 @query("c09_fallback", """
 SELECT store_id, item_id, step, last_date + step AS date,
-  CASE WHEN item_id = 'PROMO' OR y > 30 THEN y ELSE round(s.yhat, 6) END AS yhat,
-  CASE WHEN item_id = 'PROMO' THEN 'no forecast' WHEN y > 30 THEN 'forecast is not a number' END AS fallback_reason
+  CASE WHEN y > 30 THEN y ELSE round(s.yhat, 6) END AS yhat,
+  CASE WHEN y > 30 THEN 'forecast is not a number' END AS fallback_reason
 FROM last CROSS JOIN coming JOIN seasonal s USING (store_id, item_id, step)
 """, LAST, COMING, SEASONAL)
 def fallback(retail):
-    # One product has no fitted forecast and busy series have a broken one.
+    # Busy series have a broken forecast; a missing one is in the unit tests.
     last = C.naive(retail.series, 1).select(*V.SERIES, F.col("yhat").alias("y"))
-    fitted = C.seasonal_naive(retail.series, H).join(last, V.SERIES).where(F.col("item_id") != "PROMO").withColumn(
+    fitted = C.seasonal_naive(retail.series, H).join(last, V.SERIES).withColumn(
         "yhat", F.when(F.col("y") > 30, float("nan")).otherwise(F.col("yhat")))
     return C.with_fallback(fitted, C.naive(retail.series, H))
 
@@ -282,27 +284,6 @@ def _metric_query(number: int, name: str):
 for _number, _name in enumerate(["MAE", "RMSE", "WAPE", "MAPE", "SMAPE", "Bias", "Accuracy"], start=1):
     _metric_query(_number, _name)
 
-REPLAY = """
-deliveries AS (SELECT store_id, item_id, model, origin, step, actual, coalesce(
-    lag(yhat, 3) OVER w, first_value(yhat) OVER w) AS delivered FROM pooled
-  WINDOW w AS (PARTITION BY store_id, item_id, model ORDER BY origin, step)),
-replayed AS (SELECT store_id, item_id, model, list_reduce(
-    list({'y': actual::DOUBLE, 'd': delivered::DOUBLE, 'k': 0.0::DOUBLE, 'o': 0.0::DOUBLE, 'w': 0.0::DOUBLE} ORDER BY origin, step),
-    lambda a, x: {'y': x.y, 'd': x.d,
-      'k': least(50.0, CASE WHEN a.k + x.d < x.y THEN 0.0 ELSE a.k + x.d - x.y END)::DOUBLE,
-      'o': a.o + (a.k + x.d < x.y)::INTEGER,
-      'w': a.w + CASE WHEN a.k + x.d < x.y THEN 0.0 ELSE greatest(0.0, a.k + x.d - x.y - 50.0) END},
-    {'y': 0.0::DOUBLE, 'd': 0.0::DOUBLE, 'k': 20.0::DOUBLE, 'o': 0.0::DOUBLE, 'w': 0.0::DOUBLE}) AS r
-  FROM deliveries GROUP BY ALL)"""
-
-
-@query("d08_stock_replay", """
-SELECT store_id, item_id, model, r.o AS "Stockout_Days", round(r.w, 6) AS "Wastage_Units" FROM replayed
-""", POOLED, REPLAY)
-def stock_replay(retail):
-    return rounded(D.stock_replay(D.walk_forward(retail.series)))
-
-
 @query("d09_origins", "SELECT * FROM origins", POOLED)
 def origins(retail):
     return D.origins(retail.series)
@@ -320,31 +301,28 @@ def walk_forward(retail):
 
 @query("d10_walk_forward_fitted")
 def walk_forward_fitted(retail):
-    """Smoothing, ARIMA and additive models at every origin, next to the actuals."""
-    made = None
-    for name, paths in (
-        ("ets", smoothing.ets(retail.series, 14, backtest=(15, 50))),
-        ("arima", arima.arima(retail.series, 14, backtest=(15, 50))),
-        ("additive", additive.additive_regression(retail.series, 14, backtest=(15, 50))),
-    ):
-        rows = as_forecast(paths).drop("date").withColumn("model", F.lit(name))
-        made = rows if made is None else made.unionByName(rows)
-    pooled = D.attach_actuals(made, retail.series)
+    """Baselines, smoothing, ARIMA and additive models on the same origins: first after 15 days, then every fifth."""
+    pooled = backtest(retail.series, ["seasonal_naive", "moving_average", "arima", "ets", "additive"], 15, 5, 14)
     return rounded(D.compare(pooled, ["model"]))
 
 
+@query("d12_best_fitted_model")
+def best_fitted_model(retail):
+    models = ["seasonal_naive", "arima", "ets", "additive"]
+    return rounded(D.best_model(D.compare(backtest(retail.series, models, 15, 5, 14)), models))
+
+
 @query("d10_walk_forward_trees")
 def walk_forward_trees(retail):
-    """The tree model refitted at two origins on all series up to that day."""
-    made = trees.tree_backtest(retail.panel, [1800, 2400], TREE_HORIZON, 3, 3)
+    """The tree model refitted at the last two origins on all series up to that day."""
+    made = trees.tree_backtest(retail.panel, trees.last_origins(retail.series, TREE_HORIZON, 2), TREE_HORIZON, **TREES)
     return rounded(D.compare(D.attach_actuals(made, retail.series), ["model", "origin"]))
 
 
 @query("d11_comparison", """
 SELECT store_id, item_id, model, round("Accuracy", 6) AS "Accuracy", round("WAPE", 6) AS "WAPE", round("MAE", 6) AS "MAE",
-  round("RMSE", 6) AS "RMSE", round("SMAPE", 6) AS "SMAPE", round("MAPE", 3) AS "MAPE", round("Bias", 6) AS "Bias",
-  r.o AS "Stockout_Days", round(r.w, 6) AS "Wastage_Units" FROM scores JOIN replayed USING (store_id, item_id, model)
-""", POOLED, REPLAY)
+  round("RMSE", 6) AS "RMSE", round("SMAPE", 6) AS "SMAPE", round("MAPE", 3) AS "MAPE", round("Bias", 6) AS "Bias" FROM scores
+""", POOLED)
 def comparison(retail):
     return rounded(D.comparison_table(D.walk_forward(retail.series)).withColumn("MAPE", F.round("MAPE", 3)))
 

@@ -33,6 +33,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
             header = spark.read.option("header", True).csv(path).columns
             rows = (
                 spark.read.option("header", True).option("mode", "FAILFAST")
+                .option("enforceSchema", False)  # a part with another column order is an error
                 .schema(schema_for(header)).csv(path)
             )
         else:
@@ -99,5 +100,5 @@ def submission(forecasts: DataFrame, steps: int = V.SUBMISSION_STEPS) -> DataFra
 
 
 def write_records(records: DataFrame, path: str) -> None:
-    """Append run records ``(run, model, step, metric, value)`` to a Parquet table."""
-    records.write.mode("append").partitionBy("run").parquet(path)
+    """Write run records ``(run, model, step, metric, value)`` to a Parquet table; a repeated run replaces its own rows."""
+    records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)

@@ -80,6 +80,11 @@ class StarRetail:
         days = self.spark.range(1).select(self.first_day.alias("first"), self.last_day.alias("last"))
         return P.calendar(days, snap_days=STAR_SNAP_DAYS)
 
+    def calendar_until(self, horizon: int) -> DataFrame:
+        """The calendar with the ``horizon`` days after the last sale, whose events and SNAP days are known."""
+        days = self.spark.range(1).select(self.first_day.alias("first"), F.date_add(self.last_day, horizon).alias("last"))
+        return P.calendar(days, snap_days=STAR_SNAP_DAYS)
+
     @cached_property
     def prices(self) -> DataFrame:
         week = P.week_id(F.datediff("date", self.first_day) + 1)

@@ -10,6 +10,7 @@ from stockloom.functions import normal
 from stockloom.operators import drift as H, explain as X, hierarchy as E, intervals as I, inventory as G
 from stockloom.operators.forecast import seasonal_naive
 from stockloom.plans import planning
+from stockloom.registry.base import stock_on_hand
 from stockloom.plans.ordered import exact_quantiles, running_totals, split_points
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -192,10 +193,10 @@ def test_health_matrices(spark):
     rows = spark.createDataFrame(
         [("A", "x", "Healthy"), ("A", "x", "Understock Alert"), ("A", "y", "Overstock Alert"), ("B", "y", "Healthy")],
         "store_id string, kind string, inventory_health string")
-    counts = {r["store_id"]: (r["x"], r["y"]) for r in G.health_matrix(rows, "store_id", "kind", ["x", "y"]).collect()}
-    assert counts == {"A": (1, 0), "B": (0, 0)}
-    worst = {r["store_id"]: (r["x"], r["y"]) for r in G.worst_status_matrix(rows, "store_id", "kind", ["x", "y"]).collect()}
-    assert worst == {"A": ("Understock Alert", "Overstock Alert"), "B": (None, "Healthy")}
+    counts = {(r["store_id"], r["kind"]): r["series"] for r in G.health_matrix(rows, "store_id", "kind").collect()}
+    assert counts == {("A", "x"): 1, ("A", "y"): 0, ("B", "y"): 0}
+    worst = {(r["store_id"], r["kind"]): r["status"] for r in G.worst_status_matrix(rows, "store_id", "kind").collect()}
+    assert worst == {("A", "x"): "Understock Alert", ("A", "y"): "Overstock Alert", ("B", "y"): "Healthy"}
 
 
 def test_planning_flow(make_panel):
@@ -208,7 +209,7 @@ def test_planning_flow(make_panel):
     for r in rows:
         last = series[r["store_id"], r["item_id"]][-7:]
         assert r["recommended_order"] == max(0, 2 * sum(last) - 10 + 15) and r["under_stock_alert"]
-    plan = planning.planning_table(panel, planning.stock_on_hand(panel)).collect()
+    plan = planning.planning_table(panel, stock_on_hand(panel)).collect()
     assert len(plan) == 6 and all(r["p10_sum"] <= r["forecast_sum"] <= r["p90_sum"] for r in plan)
 
 
@@ -220,14 +221,20 @@ def sides(spark, pairs):
 
 
 def brute_psi(old, new, bins=10):
-    old, new = np.asarray(old, float), np.asarray(new, float)
-    edges = np.unique(np.percentile(old, np.linspace(0, 100, bins + 1)))
-    if len(edges) < 2:
-        return 0.0
-    n = len(edges) - 1
-    share = lambda x: (np.histogram(x, edges)[0] + 1e-4) / (len(x) + 1e-4 * n)
-    o, c = share(old), share(new)
-    return float(((c - o) * np.log(c / o)).sum())
+    """Counts of sorted values between neighbouring quantiles; the last bin holds its upper edge."""
+    ranked, cuts = sorted(old), []
+    for i in range(bins + 1):
+        at = (len(ranked) - 1) * i / bins
+        low = ranked[int(at)]
+        cut = low + (ranked[min(int(at) + 1, len(ranked) - 1)] - low) * (at - int(at))
+        if not cuts or cut > cuts[-1]:
+            cuts.append(cut)
+    total, pairs = 0.0, list(zip(cuts, cuts[1:]))
+    for low, high in pairs:
+        inside = lambda v: low <= v < high or (v == high == cuts[-1])
+        a, b = ((sum(map(inside, x)) + 1e-4) / (len(x) + 1e-4 * len(pairs)) for x in (old, new))
+        total += (b - a) * math.log(b / a)
+    return total
 
 
 def brute_ks(old, new):
@@ -265,7 +272,7 @@ def test_drift_verdict(spark):
 
 def test_drift_without_incoming_rows(make_panel):
     frame = H.split_newest(make_panel({ONE: range(30), ("S", "tiny"): range(6)}), ["store_id", "item_id"], "sales")
-    for method in ("auto", "asymptotic"):
+    for method in ("exact", "asymptotic"):
         tiny = H.drift_report(frame, ["store_id", "item_id"], method=method).where("item_id = 'tiny'").first()
         assert tiny["ks_statistic"] is None and tiny["ks_p_value"] is None and not tiny["drift_detected"]
 
@@ -309,7 +316,7 @@ def test_linear_contributions(spark):
 def test_one_pass_summary_equals_the_single_operators(make_panel):
     rng = np.random.default_rng(6)
     panel = make_panel({("S", str(k)): rng.poisson(3, 9 + 13 * k).tolist() for k in range(3)})
-    plan = {r["item_id"]: r for r in planning.planning_table(panel, planning.stock_on_hand(panel)).collect()}
+    plan = {r["item_id"]: r for r in planning.planning_table(panel, stock_on_hand(panel)).collect()}
     spread = I.residual_spread(I.seasonal_residuals(panel))
     bands = I.prediction_intervals(seasonal_naive(panel, 14), spread).groupBy("item_id").agg(
         F.sum("p10"), F.sum("p50"), F.sum("p90"), F.first("sigma"))
@@ -319,3 +326,19 @@ def test_one_pass_summary_equals_the_single_operators(make_panel):
         assert [row["p10_sum"], row["forecast_sum"], row["p90_sum"], row["sigma"]] == pytest.approx([p10, p50, p90, sigma])
         assert row["demand_mean"] == pytest.approx(stats[item]["demand_mean"])
         assert row["demand_std"] == pytest.approx(stats[item]["demand_std"])
+
+
+def test_quantiles_take_nan_as_missing(spark):
+    df = spark.createDataFrame([(v,) for v in (1.0, float("nan"), 3.0, None, 2.0)], "value double")
+    got = exact_quantiles(df, ["value"], [0.0, 0.5, 1.0]).first()
+    assert [got["q0"], got["q1"], got["q2"]] == [1.0, 2.0, 3.0]
+
+
+def test_exact_p_value_of_larger_samples_is_near_the_limit(spark):
+    stats = spark.createDataFrame([(0.1, 400, 300), (0.2, 400, 300), (0.02, 400, 300), (None, 10, 0)],
+                                  "ks_statistic double, old_rows long, new_rows long")
+    exact, limit = ([r[0] for r in H.with_p_value(stats, [], m).select("ks_p_value").collect()] for m in ("exact", "asymptotic"))
+    np.testing.assert_allclose(exact[:3], limit[:3], atol=0.03)
+    assert exact[3] is None and limit[3] is None
+    with pytest.raises(ValueError):
+        H.with_p_value(stats, [], "auto")

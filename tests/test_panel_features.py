@@ -137,8 +137,28 @@ def test_supervised_windows_and_patches(make_panel, values):
     assert values(B.too_short(panel, 17), "item_id", "item_id") == ["short"]
 
 
-def test_fourier_and_temperature(make_panel):
-    row = B.temperature(B.fourier(make_panel({ONE: [1]}, first=datetime.date(2024, 7, 3)))).first()
+def test_fourier(make_panel):
+    row = B.fourier(make_panel({ONE: [1]}, first=datetime.date(2024, 7, 3))).first()
     assert row["sin_weekly"] == pytest.approx(math.sin(2 * math.pi * 2 / 7))
     assert row["cos_annual"] == pytest.approx(math.cos(2 * math.pi * 185 / 365.25))
-    assert row["temperature"] == 30.0
+
+
+def test_fill_days_keeps_to_its_span(spark):
+    day = lambda n: datetime.date(2024, 1, n)
+    rows = [("S", "I", day(1), 5.0), ("S", "I", day(3), 2.0), ("S", "I", day(6), 4.0), ("S", "late", day(9), 1.0)]
+    daily = spark.createDataFrame(rows, "store_id string, item_id string, date date, sales double")
+    at = lambda n: F.lit(day(n))
+    got = sorted((r["item_id"], r["date"].day, r["sales"]) for r in P.fill_days(daily, at(2), at(4)).collect())
+    assert got == [("I", 2, 0.0), ("I", 3, 2.0), ("I", 4, 0.0)]
+    whole = P.fill_days(daily, at(1), at(7)).where("item_id = 'I'").collect()
+    assert sorted((r["date"].day, r["sales"]) for r in whole) == [(1, 5.0), (2, 0.0), (3, 2.0), (4, 0.0), (5, 0.0), (6, 4.0), (7, 0.0)]
+    assert P.fill_days(daily, at(7), at(2)).count() == 0
+    with pytest.raises(Exception, match="several rows of one series"):
+        P.fill_days(daily.union(daily), at(1), at(9)).collect()
+
+
+def test_matrix_turns_null_nan_and_infinity_into_zero(spark):
+    rows = [("S", "I", datetime.date(2024, 1, 1), 1, None), ("S", "I", datetime.date(2024, 1, 2), 1, float("nan")),
+            ("S", "I", datetime.date(2024, 1, 3), 1, float("-inf")), ("S", "I", datetime.date(2024, 1, 4), 1, 2.5)]
+    frame = spark.createDataFrame(rows, "store_id string, item_id string, date date, sales int, x double")
+    assert [r["x"] for r in B.model_matrix(frame, ["x"]).orderBy("date").collect()] == [0.0, 0.0, 0.0, 2.5]

@@ -1,4 +1,8 @@
 import datetime
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,7 +126,8 @@ def test_panel_to_submission(spark, tables, tmp_path):
     log = rows.select(F.lit("r").alias("run"), F.lit("m").alias("metric"), F.col("F1").alias("value"))
     R.write_records(log, f"{tmp_path}/records")
     R.write_records(log, f"{tmp_path}/records")
-    assert spark.read.parquet(f"{tmp_path}/records").count() == 80
+    R.write_records(log.withColumn("run", F.lit("other")), f"{tmp_path}/records")
+    assert spark.read.parquet(f"{tmp_path}/records").count() == 80  # a repeated run replaces itself only
 
 
 def test_results_do_not_depend_on_partitions(make_panel):
@@ -153,3 +158,26 @@ def test_every_query_has_a_callable_and_every_oracle_a_query():
     import __spark_entry__ as entry
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(entry.queries()) > 100 and V.SERIES == ["store_id", "item_id"]
+
+
+def test_parts_with_another_column_order_are_an_error(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t/a.csv").write_text("store_id,item_id,wm_yr_wk,sell_price\nS,I,1,2.5\n")
+    (tmp_path / "t/b.csv").write_text("item_id,store_id,wm_yr_wk,sell_price\nI,S,1,2.5\n")
+    with pytest.raises(Exception):
+        R.read_table(spark, str(tmp_path / "t")).collect()
+
+
+def test_workers_get_the_package_wherever_the_driver_runs(tmp_path):
+    """A driver in another folder, without PYTHONPATH, whose Python workers only have what is shipped."""
+    root = Path(__file__).resolve().parent.parent
+    code = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+import __spark_entry__
+assert __spark_entry__.queries()["c05_ets"](spark, "/root/testdata/sf0.001").count() > 0
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
