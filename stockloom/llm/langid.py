@@ -25,6 +25,8 @@ SAMPLE = 2 * DICTIONARY_BYTES // SLICE  # training texts of one language; the fi
 MOST_LANGUAGES = 256
 LEVEL = 9
 CHUNK = 8192                # bytes compressed at once
+SHORT = 200                 # texts of so many bytes are compressed with each slice of the dictionaries
+SLICES = 8
 MIN_MARGIN = 0.002          # smaller relative margins are rejected
 UNKNOWN = "und"
 
@@ -58,23 +60,37 @@ def fit_dictionaries(labelled: DataFrame, sample: int = SAMPLE, seed: int = SEED
 
 
 class Identifier:
-    """The compressors of a process; made once per task."""
+    """The compressors of a process; made once per task.
+
+    Sizes are whole bytes, so short texts often tie. Their sizes are added up over SLICES parts of each
+    dictionary, which are that many independent looks at the language.
+    """
 
     def __init__(self, dictionaries: dict[str, bytes], level: int = LEVEL):
-        self.compressors = []
-        for lang, content in sorted(dictionaries.items()):
+        def compressor(content: bytes) -> zstandard.ZstdCompressor:
             held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             held.precompute_compress(level=level)
-            self.compressors.append((lang, zstandard.ZstdCompressor(
-                dict_data=held, level=level, write_checksum=False, write_content_size=False, write_dict_id=False)))
+            return zstandard.ZstdCompressor(
+                dict_data=held, level=level, write_checksum=False, write_content_size=False, write_dict_id=False)
+
+        def slices(content: bytes) -> list[bytes]:
+            step = -(-len(content) // SLICES)
+            return [content[i:i + step] for i in range(0, len(content), step) if content[i:i + step].strip()]
+
+        self.whole = [(lang, [compressor(content)]) for lang, content in sorted(dictionaries.items())]
+        # A language of little text has few slices; all languages use as many.
+        parts = {lang: slices(content) for lang, content in sorted(dictionaries.items())}
+        count = min(map(len, parts.values()), default=0)
+        self.sliced = [(lang, [compressor(x) for x in held[:count]]) for lang, held in parts.items()]
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         """(language, relative margin of the best dictionary over the second best)."""
-        if not text or not self.compressors or not any(map(str.isalpha, text)):
+        if not text or not self.whole or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         data = text.lower().encode("utf-8", "replace")
         chunks = [data[i:i + CHUNK] for i in range(0, len(data), CHUNK)]
-        sizes = sorted((sum(len(c.compress(chunk)) for chunk in chunks), lang) for lang, c in self.compressors)
+        chosen = self.sliced if len(data) <= SHORT else self.whole
+        sizes = sorted((sum(len(c.compress(chunk)) for chunk in chunks for c in held), lang) for lang, held in chosen)
         if len(sizes) == 1:
             return sizes[0][1], 1.0
         return sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0]
