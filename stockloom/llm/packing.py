@@ -10,6 +10,7 @@ group and groups to larger groups, until one is left. No document moves; only th
 from __future__ import annotations
 
 import itertools
+import string
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
@@ -28,11 +29,14 @@ OPEN = 64
 MIN_CUT = 16
 END = 1                # id after each document
 VOCABULARY = "word_bpe_49k.json"
-MOST_WORDS = 400_000   # kept encodings of a process
+MOST_WORDS = 300_000   # newer encodings kept by a process; as many older ones at most
+LEARNED_AT_ONCE = 10_000
+TEXT_BYTES = 2 << 20   # texts encoded at once
 MERGED = 64            # groups of leftovers merged into one
 BATCH = 20_000         # rows emitted at once
 
 _memo: dict[str, bytes] = {}
+_older: dict[str, bytes] = {}
 _owner: list[str] = [""]
 
 
@@ -40,10 +44,13 @@ class WordEncoder:
     """Ids of whole texts as little-endian 32-bit bytes, by the tokenizers library.
 
     The vocabulary drops white space and never joins characters across it, so a text's ids are those of
-    its space-separated parts in order. Parts are encoded once per process and kept, at most MOST_WORDS.
+    its space-separated parts in order. A part's encoding is kept while it is in use: when MOST_WORDS are
+    held, they become the older half, of which only the parts met again move on.
     """
 
     MARK = "\x01"  # stands alone between parts that are encoded together
+    # A letter and the ASCII punctuation after it are encoded apart ("<|" may begin a special token).
+    PUNCTUATION = string.punctuation.replace("<", "").replace("|", "")
 
     def __init__(self, path: str | None = None):
         from tokenizers import Tokenizer
@@ -55,44 +62,63 @@ class WordEncoder:
         self.mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
         if _owner[0] != path:
             _memo.clear()
+            _older.clear()
             _owner[0] = path
 
-    def _single(self, part: str) -> bytes:
-        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+    def _known(self, part: str) -> bool:
+        if part in _memo:
+            return True
+        if (ids := _older.get(part)) is None:
+            return False
+        _memo[part] = ids
+        return True
 
     def _learn(self, parts: list[str]) -> None:
-        """Encode the parts together, parted by the mark."""
-        plain = [p for p in parts if self.MARK not in p and "<|" not in p]
-        if plain and len(self.mark) == 1:
-            joined = f" {self.MARK} ".join(plain)
-            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids))
-            if len(ends) == len(plain):
-                begins = np.append(0, ends[:-1] + 1)
-                data = ids.tobytes()
-                _memo.update((p, data[4 * b:4 * e]) for p, b, e in zip(plain, begins.tolist(), ends.tolist()))
+        """Encode new parts: plain lower-case ASCII words by the model itself, others together, parted by the mark."""
+        tokenize, rest = self.tokenizer.model.tokenize, []
         for part in parts:
-            if part not in _memo:
+            # Normalising and splitting leave such a word as it is.
+            if part.isascii() and part.isalpha() and part.islower():
+                _memo[part] = np.array([t.id for t in tokenize(part)], "<u4").tobytes()
+            elif self.MARK in part or "<|" in part or len(self.mark) != 1:
                 _memo[part] = self._single(part)
+            else:
+                rest.append(part)
+        for start in range(0, len(rest), LEARNED_AT_ONCE):
+            some = rest[start:start + LEARNED_AT_ONCE]
+            joined = f" {self.MARK} ".join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids))
+            if len(ends) == len(some):
+                begins, data = np.append(0, ends[:-1] + 1), ids.tobytes()
+                _memo.update((p, data[4 * b:4 * e]) for p, b, e in zip(some, begins.tolist(), ends.tolist()))
+            else:
+                _memo.update((p, self._single(p)) for p in some)
+
+    def _single(self, part: str) -> bytes:
+        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(_memo) > MOST_WORDS:
+            _older.clear()
+            _older.update(_memo)
             _memo.clear()
-        new = set(itertools.chain.from_iterable(split)).difference(_memo)
-        ends: dict[str, str] = {}
+        split = [t.replace("\n", " ").split(" ") for t in texts]
         stems: dict[str, str] = {}
-        for part in new:
-            stem = part
-            # A letter and a final stop or comma are encoded apart; ASCII is lower-cased by the vocabulary anyway.
-            if len(part) > 1 and part[-1] in ".," and part[-2] < "ɐ" and part[-2].isalpha():
-                stem, ends[part] = part[:-1], part[-1]
+        tails: dict[str, str] = {}
+        for part in set(itertools.chain.from_iterable(split)).difference(_memo):
+            if self._known(part):
+                continue
+            stem = part.rstrip(self.PUNCTUATION)
+            if stem and len(stem) < len(part) and stem[-1] < "ɐ" and stem[-1].isalpha():
+                tails[part] = part[len(stem):]
+            else:
+                stem = part
+            # The vocabulary lower-cases anyway.
             stems[part] = stem.lower() if stem.isascii() and "<|" not in stem else stem
-        needed = (set(stems.values()) | set(ends.values())).difference(_memo)
-        if needed:
-            self._learn(sorted(needed))
+        self._learn([p for p in {*stems.values(), *tails.values()} if not self._known(p)])
         for part, stem in stems.items():
-            _memo[part] = _memo[stem] + (_memo[ends[part]] if part in ends else b"")
+            _memo[part] = _memo[stem] + (_memo[tails[part]] if part in tails else b"")
         return (b"".join(map(_memo.__getitem__, parts)) for parts in split)
 
 
@@ -173,7 +199,7 @@ def _packer(encoder: Callable[[], Callable], size: int, most: int, min_cut: int,
                 [pa.array(c, k) for c, k in zip(columns, kinds)] + [pa.array(groups, pa.int64()), pa.array(ids, pa.binary())], names)
 
         kind = pa.int64()
-        for batch in blocks(batches):
+        for batch in blocks(batches, most_bytes=TEXT_BYTES):
             kind = batch.column("doc_id").type
             data = encode([t or "" for t in batch.column("text").to_pylist()])
             for doc, ids in zip(batch.column("doc_id").to_pylist(), data):
