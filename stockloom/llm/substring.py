@@ -34,7 +34,7 @@ from stockloom.llm.common import blocks
 WINDOW = 35
 PREFIX = 12
 GROUP_ROWS = 200_000
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 EVERYTHING = 2**31 - 1
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
