@@ -29,16 +29,12 @@ OPEN = 64
 MIN_CUT = 16
 END = 1                # id after each document
 VOCABULARY = "word_bpe_49k.json"
-MOST_WORDS = 300_000   # newer encodings kept by a process; as many older ones at most
+MOST_WORDS = 300_000   # newer encodings kept by a task; as many older ones at most
 LEARNED_AT_ONCE = 10_000
 TEXT_BYTES = 2 << 20   # texts encoded at once
 MERGED = 64            # groups of leftovers merged into one
 BATCH = 20_000         # rows emitted at once
 
-_memo: dict[str, bytes] = {}
-_older: dict[str, bytes] = {}
-_owner: list[str] = [""]
-
 
 class WordEncoder:
     """Ids of whole texts as little-endian 32-bit bytes, by the tokenizers library.
@@ -60,17 +56,16 @@ class WordEncoder:
             path = public_tokenizers.path(VOCABULARY)
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
-        if _owner[0] != path:
-            _memo.clear()
-            _older.clear()
-            _owner[0] = path
+        # Kept for one task only: workers go on to other stages, which need the memory.
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _known(self, part: str) -> bool:
-        if part in _memo:
+        if part in self.memo:
             return True
-        if (ids := _older.get(part)) is None:
+        if (ids := self.older.get(part)) is None:
             return False
-        _memo[part] = ids
+        self.memo[part] = ids
         return True
 
     def _learn(self, parts: list[str]) -> None:
@@ -79,9 +74,9 @@ class WordEncoder:
         for part in parts:
             # Normalising and splitting leave such a word as it is.
             if part.isascii() and part.isalpha() and part.islower():
-                _memo[part] = np.array([t.id for t in tokenize(part)], "<u4").tobytes()
+                self.memo[part] = np.array([t.id for t in tokenize(part)], "<u4").tobytes()
             elif self.MARK in part or "<|" in part or len(self.mark) != 1:
-                _memo[part] = self._single(part)
+                self.memo[part] = self._single(part)
             else:
                 rest.append(part)
         for start in range(0, len(rest), LEARNED_AT_ONCE):
@@ -91,22 +86,20 @@ class WordEncoder:
             ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids))
             if len(ends) == len(some):
                 begins, data = np.append(0, ends[:-1] + 1), ids.tobytes()
-                _memo.update((p, data[4 * b:4 * e]) for p, b, e in zip(some, begins.tolist(), ends.tolist()))
+                self.memo.update((p, data[4 * b:4 * e]) for p, b, e in zip(some, begins.tolist(), ends.tolist()))
             else:
-                _memo.update((p, self._single(p)) for p in some)
+                self.memo.update((p, self._single(p)) for p in some)
 
     def _single(self, part: str) -> bytes:
         return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        if len(_memo) > MOST_WORDS:
-            _older.clear()
-            _older.update(_memo)
-            _memo.clear()
+        if len(self.memo) > MOST_WORDS:
+            self.older, self.memo = self.memo, {}
         split = [t.replace("\n", " ").split(" ") for t in texts]
         stems: dict[str, str] = {}
         tails: dict[str, str] = {}
-        for part in set(itertools.chain.from_iterable(split)).difference(_memo):
+        for part in set(itertools.chain.from_iterable(split)).difference(self.memo):
             if self._known(part):
                 continue
             stem = part.rstrip(self.PUNCTUATION)
@@ -118,8 +111,8 @@ class WordEncoder:
             stems[part] = stem.lower() if stem.isascii() and "<|" not in stem else stem
         self._learn([p for p in {*stems.values(), *tails.values()} if not self._known(p)])
         for part, stem in stems.items():
-            _memo[part] = _memo[stem] + (_memo[tails[part]] if part in tails else b"")
-        return (b"".join(map(_memo.__getitem__, parts)) for parts in split)
+            self.memo[part] = self.memo[stem] + (self.memo[tails[part]] if part in tails else b"")
+        return (b"".join(map(self.memo.__getitem__, parts)) for parts in split)
 
 
 class Windows:
