@@ -7,7 +7,7 @@ closed form in sums per state and per step, so each method is a few aggregations
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TOTAL, STATE, STORE = "total", "state", "store"
@@ -80,20 +80,22 @@ def least_squares(base: DataFrame, mapping: DataFrame, horizon: int | None = Non
     first the block and then the rank-one part leaves sums per state and step only. A node
     without a forecast counts as 0; cutting at 0 comes last and may break the sums.
     """
-    stores = _stores_by_step(base, mapping, horizon)
-    sums = stores.join(_at(base, STATE, "state_id", "state_yhat"), ["state_id", "step"], "left").join(
-        base.where(F.col("level") == TOTAL).select("step", F.col("yhat").alias("total_yhat")), "step", "left"
-    ).select("state_id", "store_id", "step", (
-        F.col("own") + F.coalesce("state_yhat", F.lit(0.0)) + F.coalesce("total_yhat", F.lit(0.0))).alias("b"))
-    by_state = sums.groupBy("step", "state_id").agg(F.sum("b").alias("state_b"), F.count(F.lit(1)).alias("n"))
-    # x = b - state_b / (1 + n) summed over a state is state_b / (1 + n).
-    by_step = by_state.groupBy("step").agg(
-        F.sum(F.col("state_b") / (1 + F.col("n"))).alias("x_total"),
-        F.sum(F.col("n") / (1 + F.col("n"))).alias("c"))
-    solved = sums.join(by_state, ["step", "state_id"]).join(by_step, "step").select(
-        "state_id", "store_id", "step",
-        (F.col("b") - F.col("state_b") / (1 + F.col("n"))
-         - F.col("x_total") / (1 + F.col("c")) / (1 + F.col("n"))).alias("yhat"))
+    grid = _every_step(mapping.select("store_id", "state_id").distinct(), base, horizon)
+    nodes = F.array(*(F.struct(F.lit(level).alias("level"), node.alias("node")) for level, node in (
+        (STORE, F.col("store_id")), (STATE, F.col("state_id")), (TOTAL, F.lit(TOTAL_NODE)))))
+    # A store meets its own, its state's and the total forecast in one join.
+    sums = grid.select("store_id", "state_id", "step", F.inline(nodes)).join(
+        base.select("level", "node", "step", "yhat"), ["level", "node", "step"], "left"
+    ).groupBy("step", "state_id", "store_id").agg(F.coalesce(F.sum("yhat"), F.lit(0.0)).alias("b"))
+    in_state, in_step = Window.partitionBy("step", "state_id"), Window.partitionBy("step")
+    shared = sums.repartition("step").withColumns({
+        "n": F.count(F.lit(1)).over(in_state), "x_state": F.sum("b").over(in_state)}).withColumn(
+        "x_state", F.col("x_state") / (1 + F.col("n")))
+    # x = b - x_state; summed over a state that is x_state, counted here once for each of its stores.
+    x_total = F.sum(F.col("x_state") / F.col("n")).over(in_step)
+    c = F.sum(1 / (1 + F.col("n"))).over(in_step)
+    solved = shared.select("state_id", "store_id", "step", (
+        F.col("b") - F.col("x_state") - x_total / (1 + c) / (1 + F.col("n"))).alias("yhat"))
     return sum_up(solved).withColumn("yhat", F.greatest(F.lit(0.0), F.col("yhat")))
 
 

@@ -19,7 +19,6 @@ from stockloom.registry.features import FEATURE_SQL, LAGGED
 from stockloom.registry.forecasts import (
     COMING, ETS_FIT, LAST, POOLED, SEASONAL, TREES,
 )
-from stockloom.session import scratch_path
 from stockloom.sources import retail as R
 
 ORDER = "PARTITION BY store_id, item_id ORDER BY day_no"
@@ -515,10 +514,7 @@ SELECT 'baselines' AS run, store_id, item_id, model, CAST(0 AS INTEGER) AS step,
   unnest([round("WAPE", 6), round("MAE", 6), round("RMSE", 6)]) AS value FROM scores
 """, POOLED)
 def run_records(retail):
-    records = X.run_records("baselines", D.compare(D.walk_forward(retail.series)), ["WAPE", "MAE", "RMSE"], 0)
-    path = scratch_path(retail.spark, "records")
-    R.write_records(records, path)
-    return rounded(retail.spark.read.parquet(path).select(*records.columns))
+    return rounded(X.run_records("baselines", D.compare(D.walk_forward(retail.series)), ["WAPE", "MAE", "RMSE"], 0))
 
 
 # ---- outputs ---------------------------------------------------------------------
@@ -530,10 +526,7 @@ SELECT store_id AS "Store_ID", item_id AS "SKU_ID", on_hand AS "Current_Stock",
   health AS "Inventory_Health" FROM policy
 """, LAST, POLICY)
 def action_log(retail):
-    path = scratch_path(retail.spark, "action-log")
-    log = R.action_log(_policies(retail))
-    R.write_csv(log, path)
-    return retail.spark.read.option("header", True).schema(log.schema).csv(path)
+    return R.action_log(_policies(retail))
 
 
 @query("a17_submission", """

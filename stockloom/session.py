@@ -71,9 +71,19 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/stockloom-scratch"
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/stockloom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/stockloom/{name}-{uuid.uuid4().hex}"
+    """A fresh path below this application's part of the shared folder; results may read it until :func:`drop_scratch`."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote for its own use; call it when its results have been read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

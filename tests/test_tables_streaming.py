@@ -12,7 +12,7 @@ from stockloom.errors import (
     DataValidationError, EmptyDataFrameError, InvalidSKUError, InvalidStoreError, MissingDatasetError,
 )
 from stockloom.operators import forecast as C, panel as P, validation as A
-from stockloom.session import cut_lineage
+from stockloom.session import cut_lineage, drop_scratch, scratch_path
 from stockloom.sources import retail as R
 from stockloom.streaming.drift_monitor import start_drift_monitor
 
@@ -181,3 +181,12 @@ assert __spark_entry__.queries()["c05_ets"](spark, "/root/testdata/sf0.001").cou
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_scratch_tables_are_dropped(spark):
+    path = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    drop_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
