@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -51,6 +52,14 @@ def unit_interval(hexadecimal: Column) -> Column:
     return F.conv(F.substring(hexadecimal, 1, 13), 16, 10).cast("double") / float(16**13)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker is kept for later stages, which need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # where the C library has it
+    if trim:
+        trim(0)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes: int = 4 << 20
            ) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts hold about ``most_bytes`` (one row at least)."""
@@ -64,3 +73,4 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes:
             used += int(n)
         if len(lengths) > start:
             yield batch.slice(start)
+    give_back()

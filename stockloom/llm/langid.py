@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from stockloom.llm.common import seeded_hash, unit_interval
+from stockloom.llm.common import give_back, seeded_hash, unit_interval
 
 SEED = 31
 DICTIONARY_BYTES = 112_640  # of one language
@@ -112,6 +112,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
         name = Identifier(dictionaries)
         for texts in parts:
             yield pd.DataFrame([name(t) for t in texts], columns=["lang_pred", "score"])
+        del name
+        give_back()
 
     named = docs.select(*(F.col(f"`{c}`") for c in kept), predict("text").alias("_named"))
     accepted = (F.col("_named.lang_pred") != UNKNOWN) & (F.col("_named.score") >= min_margin)

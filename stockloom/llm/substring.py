@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockloom.llm.common import blocks
+from stockloom.llm.common import blocks, give_back
 
 WINDOW = 35
 PREFIX = 12
@@ -324,6 +324,7 @@ def _cut(window: int):
                     words = [words[i] for i in np.flatnonzero(kept).tolist()]
                 rows.append((n, n - len(words), b" ".join(words).decode()))
             yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_text"])
+        give_back()
     return run
 
 
