@@ -76,6 +76,30 @@ def test_page_with_an_article():
         "Café <b>", "One two three four", "five", "six A", "x", "y", "1 2"]
 
 
+@pytest.mark.parametrize("opening,closing", [
+    ('<div class="overflow-hidden"><article>', "</article></div>"), ('<main style="overflow:hidden">', "</main>"),
+    ('<div class="wrap has-sidebar"><article>', "</article></div>"), ('<section class="no-sidebar"><p>', "</p></section>"),
+    ('<div id="layout-sidebar-right"><article class="with-comments">', "</article></div>"), ('<article data-id="comments">', "</article>"),
+    ('<svg class="logo" width="1"/><article>', "</article>"), ("<article><math/>", "</article>")])
+def test_wrappers_of_an_article_are_no_furniture(opening, closing):
+    assert [t for _, t in html_extract.page_blocks(f"<body>{opening}The story{closing}</body>")] == ["The story"]
+    assert all(k != html_extract.FURNITURE for k, _ in html_extract.page_blocks(f"<body>{opening}The story{closing}</body>"))
+
+
+@pytest.mark.parametrize("part", [
+    '<div hidden>x</div>', '<div class="a" hidden="">x</div>', '<p style="color:red; display: none">x</p>', '<p aria-hidden="true">x</p>',
+    '<div class="left-sidebar">x</div>', '<div class="post-comments"><article>x</article></div>', '<div class="sidebar">x</div>'])
+def test_furniture_beside_an_article_goes(part):
+    blocks = html_extract.page_blocks(f"<body><article>The story</article>{part}</body>")
+    assert blocks == [(html_extract.CONTENT, "The story"), (html_extract.FURNITURE, "x")]
+
+
+def test_formulas_stay_and_drawings_go():
+    page = ("<article>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='tex'>x^2</annotation></math> and <svg><text>no</text></svg>"
+            "<svg/> more</article>")
+    assert html_extract.page_blocks(page) == [(html_extract.CONTENT, "So x=2 and more")]
+
+
 def test_pages(spark):
     shared = "All rights are reserved by the owners of this site and its friends"
     plain = [f"<body><div>{shared}</div><p>Story {i} about {'abcdefgh'[i]} only</p><div>{shared} {i}</div></body>" for i in range(6)]
