@@ -119,6 +119,36 @@ def test_pages(spark):
     assert html_extract.extract_text(docs.limit(0)).count() == 0
 
 
+def test_repeats_of_a_large_host_are_found_across_its_parts(spark):
+    rng = random.Random(4)
+    line = "Only two pages of this host have this notice"
+    pages = [[" ".join(f"w{rng.randrange(50)}" for _ in range(rng.choice([3, 20, 60]))) for _ in range(3)] for _ in range(60)]
+    pages[7][1] += " " + line
+    pages[41][2] = line + " " + pages[41][2]
+    pages[50] = list(pages[51])      # a mirror is no evidence
+    want = {}
+    where = {}
+    for p in pages:
+        for text in p:
+            w = text.split()
+            for i in range(len(w) - 7):
+                where.setdefault(tuple(w[i:i + 8]), set()).add(tuple(p))
+    for n, p in enumerate(pages):
+        kept = []
+        for text in p:
+            w, gone = text.split(), set()
+            for i in range(len(w) - 7):
+                if len(where[tuple(w[i:i + 8])]) > 1:
+                    gone.update(range(i, i + 8))
+            kept.append(" ".join(t for i, t in enumerate(w) if i not in gone))
+        want[n] = "\n\n".join(t for t in kept if t)
+    docs = spark.createDataFrame(
+        [(n, "http://h/x", "".join(f"<p>{t}</p>" for t in p)) for n, p in enumerate(pages)], "page_id long, url string, html string").repartition(5)
+    for group_pages in (1, 6, 256):
+        assert {r[0]: r[2] for r in html_extract.extract_text(docs, group_pages=group_pages).collect()} == want
+    assert "notice" not in want[7] + want[41] and want[50] == "\n\n".join(pages[50])
+
+
 def test_suffix_array_finds_the_runs_that_pages_share():
     rng = random.Random(1)
     stream, page = [], []
