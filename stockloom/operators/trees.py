@@ -191,10 +191,10 @@ def predict_direct(models: dict[int, GBTRegressionModel], panel: DataFrame, hori
         *V.SERIES, (F.col("at") + 1).alias("step"), F.date_add("date", F.col("at") + 1).alias("date"), "yhat")
 
 
-def last_origins(df: DataFrame, horizon: int, count: int) -> list[int]:
-    """The newest ``count`` origins, ``horizon`` days apart, that leave ``horizon`` days in the longest series."""
+def origins(df: DataFrame, initial: int, step: int, horizon: int) -> list[int]:
+    """All rolling origins that leave ``horizon`` days in the longest series."""
     days = df.groupBy(*V.SERIES).count().agg(F.max("count")).first()[0] or 0
-    return [days - k * horizon for k in range(count, 0, -1) if days - k * horizon > 1]
+    return list(range(initial, days - horizon + 1, step))
 
 
 def tree_backtest(
@@ -202,15 +202,15 @@ def tree_backtest(
 ) -> DataFrame:
     """Recursive tree forecasts at the given origins, the model refitted at each one.
 
-    Every origin is a full training run on all series up to that day, so the caller states
-    the few origins wanted.
+    Every origin is a full training run on all series up to that day. Its forecasts are
+    checkpointed, so the plan does not grow with the number of origins.
     """
     numbered = panel.withColumn("_position", F.row_number().over(in_order(panel)))
     parts = None
     for origin in origins:
         known = numbered.where(F.col("_position") <= origin).drop("_position")
-        made = predict_recursive(fit_recursive(known, rounds, depth, step_size), known, horizon).select(
-            *V.SERIES, F.lit(origin).alias("origin"), "step", F.lit("boosted_trees").alias("model"), "yhat")
+        made = cut_lineage(predict_recursive(fit_recursive(known, rounds, depth, step_size), known, horizon).select(
+            *V.SERIES, F.lit(origin).alias("origin"), "step", F.lit("boosted_trees").alias("model"), "yhat"))
         parts = made if parts is None else parts.unionByName(made)
     return parts
 

@@ -68,9 +68,8 @@ def backtest(
             made = made.unionByName(as_forecast(WALKED[name](df, horizon, backtest=(initial, step))).select(
                 *V.SERIES, "origin", "step", F.lit(name).alias("model"), "yhat"))
         elif name == "trees_recursive":
-            days = df.groupBy(*V.SERIES).count().agg(F.max("count")).first()[0] or 0
             made = made.unionByName(trees.tree_backtest(
-                df, list(range(initial, days - horizon + 1, step)), horizon, **(trees_parameters or {})).withColumn("model", F.lit(name)))
+                df, trees.origins(df, initial, step, horizon), horizon, **(trees_parameters or {})).withColumn("model", F.lit(name)))
     wanted = naive.select("*", F.explode(F.array(*(F.lit(m) for m in models))).alias("model"))
     joined = wanted.join(made, [*V.SERIES, "origin", "step", "model"], "left")
     usable = F.col("yhat").isNotNull() & ~F.isnan("yhat")

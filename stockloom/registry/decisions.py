@@ -17,7 +17,7 @@ from stockloom.plans.forecasting import forecast, plan_from_forecast
 from stockloom.registry.base import query, rounded, stock_on_hand
 from stockloom.registry.features import FEATURE_SQL, LAGGED
 from stockloom.registry.forecasts import (
-    COMING, ETS_FIT, LAST, POOLED, SEASONAL, TREES,
+    COMING, ETS_FIT, LAST, POOLED, SEASONAL,
 )
 from stockloom.sources import retail as R
 
@@ -472,7 +472,7 @@ def _matrix(retail):
 
 @query("i01_feature_importance")
 def feature_importance(retail):
-    model = trees.fit_recursive(retail.panel, **TREES)
+    model = trees.fit_recursive(retail.panel)
     return rounded(trees.importances(model, retail.panel))
 
 

@@ -192,20 +192,18 @@ def additive_regression(retail):
     return rounded(as_forecast(additive.additive_regression(retail.series, H)).drop("origin"))
 
 
-# Fewer rounds than the operators' default of 100, each with a larger step: a round is half a dozen
-# Spark jobs, whatever the size of the data, and the checks run dozens of fits. All rows are trained on.
-TREE_HORIZON, TREES = 14, {"rounds": 10, "depth": 5, "step_size": 0.3}
+TREE_HORIZON = 14
 
 
 @query("c07_trees_recursive")
 def trees_recursive(retail):
-    model = trees.fit_recursive(retail.panel, **TREES)
+    model = trees.fit_recursive(retail.panel)
     return rounded(trees.predict_recursive(model, retail.panel, TREE_HORIZON, retail.calendar_until(TREE_HORIZON)))
 
 
 @query("c08_trees_direct")
 def trees_direct(retail):
-    models = trees.fit_direct(retail.panel, TREE_HORIZON, **TREES)
+    models = trees.fit_direct(retail.panel, TREE_HORIZON)
     return rounded(trees.predict_direct(models, retail.panel, TREE_HORIZON))
 
 
@@ -314,8 +312,8 @@ def best_fitted_model(retail):
 
 @query("d10_walk_forward_trees")
 def walk_forward_trees(retail):
-    """The tree model refitted at the last two origins on all series up to that day."""
-    made = trees.tree_backtest(retail.panel, trees.last_origins(retail.series, TREE_HORIZON, 2), TREE_HORIZON, **TREES)
+    """The tree model refitted at the origins of the fitted models: first after 15 days, then every fifth."""
+    made = trees.tree_backtest(retail.panel, trees.origins(retail.series, 15, 5, TREE_HORIZON), TREE_HORIZON)
     return rounded(D.compare(D.attach_actuals(made, retail.series), ["model", "origin"]))
 
 
