@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import html_extract, imatch, langid, mixing, packing, sharding, simhash, substring, toxicity, vptree
+from stockloom.llm import (
+    html_extract, imatch, langid, merkle, mixing, packing, sharding, simhash, substring, toxicity, vptree)
 from stockloom.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,3 +194,67 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     dictionaries = langid.fit_dictionaries(docs.where(id_remainder(5) != 0).select("doc_id", "text", "lang"))
     named = langid.identify(docs.select("doc_id", "text"), dictionaries)
     return named.select("doc_id", (id_remainder(5) == 0).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+MERKLE_SQL = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+    list_prepend(i, list_transform(range(8), lambda j: CAST(0 AS BIGINT))),
+    lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE 's' || lang END AS k, coalesce(CAST(doc_id AS VARCHAR), '') AS digits,
+         concat(coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-'),
+                coalesce(octet_length(encode(source)) || ':' || source, '-'),
+                coalesce(octet_length(encode(lang)) || ':' || lang, '-')) AS head,
+         coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS count,
+         coalesce(length(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') AS more,
+         coalesce(octet_length(encode(text)) || ':' || text, '-') AS body
+  FROM documents),
+hashed AS (
+  SELECT doc_id, k, sha256(head || count || body) AS leaf,
+         CASE WHEN xor(4294967295, list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(length(digits)), lambda i: CAST(ascii(substr(digits, i + 1, 1)) AS BIGINT))),
+           lambda c, byte: xor(c >> 8, t[(xor(c, byte) & 255) + 1]))) % 7 = 0
+         THEN sha256(head || more || body) ELSE sha256(head || count || body) END AS shown
+  FROM d, crc),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY k) AS n FROM hashed),
+nodes AS (
+  SELECT k, 0 AS level, pos, n AS width, leaf AS h FROM leaves
+  UNION ALL
+  SELECT k, level + 1, pos // 2, (width + 1) // 2, sha256(h || coalesce(other, ''))
+  FROM (SELECT *, lead(h) OVER (PARTITION BY k ORDER BY pos) AS other FROM nodes WHERE width > 1) WHERE pos % 2 = 0),
+subroots AS (
+  SELECT k, h, row_number() OVER (ORDER BY k) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE width = 1),
+tops AS (
+  SELECT 0 AS level, pos, n AS width, h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (width + 1) // 2, sha256(h || coalesce(other, ''))
+  FROM (SELECT *, lead(h) OVER (ORDER BY pos) AS other FROM tops WHERE width > 1) WHERE pos % 2 = 0),
+own AS (
+  SELECT l.k, l.pos, x.level, CASE WHEN s.h IS NULL THEN 'O' WHEN s.pos < x.pos THEN 'L' || s.h ELSE 'R' || s.h END AS step
+  FROM leaves l JOIN nodes x ON x.k = l.k AND x.pos = l.pos >> x.level AND x.width > 1
+  LEFT JOIN nodes s ON s.k = l.k AND s.level = x.level AND s.pos = xor(x.pos, 1)),
+above AS (
+  SELECT r.k, 1000 + x.level AS level, CASE WHEN s.h IS NULL THEN 'O' WHEN s.pos < x.pos THEN 'L' || s.h ELSE 'R' || s.h END AS step
+  FROM subroots r JOIN tops x ON x.pos = r.pos >> x.level AND x.width > 1
+  LEFT JOIN tops s ON s.level = x.level AND s.pos = xor(x.pos, 1)),
+paths AS (
+  SELECT k, pos, list(step ORDER BY level) AS steps
+  FROM (SELECT * FROM own UNION ALL SELECT l.k, l.pos, a.level, a.step FROM leaves l JOIN above a USING (k)) GROUP BY k, pos),
+folded AS (
+  SELECT l.doc_id, l.k, leaf, list_transform(coalesce(steps, []), lambda s: substr(s, 2)) AS beside,
+         list_reduce(list_prepend(shown, coalesce(steps, [])), lambda a, s: sha256(
+           CASE s[1] WHEN 'L' THEN substr(s, 2) || a WHEN 'R' THEN a || substr(s, 2) ELSE a END)) AS folded_root
+  FROM leaves l LEFT JOIN paths p ON p.k = l.k AND p.pos = l.pos)
+SELECT doc_id, leaf, r.h AS subroot, t.h AS root, sha256(array_to_string(beside, '')) AS proof_sha256, folded_root,
+       folded_root = t.h AS verified
+FROM folded JOIN subroots r USING (k), (SELECT h FROM tops WHERE width = 1) t
+"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.col("n_chars") + F.when(id_remainder(7) == 0, 1).otherwise(0)
+    return merkle.verify(merkle.build(docs, {"n_chars": tampered})).withColumnRenamed("id", "doc_id")
