@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom.llm import (
-    html_extract, imatch, langid, merkle, mixing, packing, sharding, simhash, substring, toxicity, vptree)
+    alignment, html_extract, imatch, langid, merkle, mixing, packing, sharding, simhash, substring, toxicity, vptree)
 from stockloom.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -258,3 +258,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tampered = F.col("n_chars") + F.when(id_remainder(7) == 0, 1).otherwise(0)
     return merkle.verify(merkle.build(docs, {"n_chars": tampered})).withColumnRenamed("id", "doc_id")
+
+
+@query("op13_tokenizer_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
