@@ -27,8 +27,8 @@ from stockloom.llm.common import blocks, staged
 
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
-BLOCK_BYTES = 4 << 20   # text whose pairs are counted together
-ENCODED_AT_ONCE = 256   # texts
+BLOCK_BYTES = 1 << 20   # text whose pairs are counted together
+ENCODED_AT_ONCE = 64    # texts
 
 
 def byte_alphabet() -> dict[str, int]:
