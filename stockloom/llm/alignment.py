@@ -12,6 +12,8 @@ the links themselves, about as many as tokens, are never shuffled.
 from __future__ import annotations
 
 import itertools
+import re
+from array import array
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -28,7 +30,11 @@ from stockloom.llm.common import blocks, staged
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 BLOCK_BYTES = 1 << 20   # text whose pairs are counted together
-ENCODED_AT_ONCE = 64    # texts
+ENCODED_AT_ONCE = 500   # words
+KEPT_WORDS = 100_000    # newer encodings kept by a task; as many older ones at most
+KEPT_LENGTH = 64        # longest word kept
+# One space between two characters that are not white space (or B's sign for it): no token of either vocabulary crosses it.
+BETWEEN_WORDS = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -56,6 +62,9 @@ class Tokenizers:
         alphabet = byte_alphabet()
         pieces = (self.a.id_to_token(i) or "" for i in range(size_a))
         self.bytes_a = pa.array([bytes(alphabet.get(c, 0) for c in p) for p in pieces], pa.large_binary())
+        # Kept for one task only: workers go on to other stages, which need the memory.
+        self.memo: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
         self.bytes_b = pa.array([self._piece(i) for i in range(size_b)], pa.large_binary())
         # A: alone, after ";", after ","; B: after "|", after ",".
         self.size_a, self.size_b = size_a, size_b
@@ -67,20 +76,39 @@ class Tokenizers:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
-        """Ids of space + text by A, and of the text by B, which adds the space itself."""
-        def lists(parts: Iterator[list[list[int]]]) -> pa.ListArray:
-            flat, sizes = [], []
-            for part in parts:
-                sizes.extend(map(len, part))
-                flat.append(np.fromiter(itertools.chain.from_iterable(part), np.int32))
-            offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-            ids = np.concatenate([np.empty(0, np.int32), *flat])
-            return pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(ids))
-
-        steps = [texts[i:i + ENCODED_AT_ONCE] for i in range(0, len(texts), ENCODED_AT_ONCE)]
-        return (lists([e.ids for e in self.a.encode_batch_fast([" " + t for t in s], add_special_tokens=False)] for s in steps),
-                lists(self.b.encode(s, num_threads=1) for s in steps))
+    def _learn(self, words: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Ids of space + word by A, and of the word by B, which adds the space itself, as 32-bit numbers."""
+        made = {}
+        for start in range(0, len(words), ENCODED_AT_ONCE):
+            some = words[start:start + ENCODED_AT_ONCE]
+            left = self.a.encode_batch_fast([" " + w for w in some], add_special_tokens=False)
+            for word, a, b in zip(some, left, self.b.encode(some, num_threads=1)):
+                made[word] = array("i", a.ids).tobytes(), array("i", b).tobytes()
+        return made
+
+    def encode(self, texts: list[str]) -> tuple[pa.LargeListArray, pa.LargeListArray]:
+        """Ids of space + text by A, and of the text by B, word by word.
+
+        A word's encoding is kept while it is in use: when KEPT_WORDS are held they become the older half,
+        of which only the words met again move on.
+        """
+        if len(self.memo) > KEPT_WORDS:
+            self.older, self.memo = self.memo, {}
+        split = [BETWEEN_WORDS.split(t) for t in texts]
+        new = set(itertools.chain.from_iterable(split)).difference(self.memo)
+        for word in [w for w in new if w in self.older]:
+            self.memo[word] = self.older[word]
+            new.discard(word)
+        long_ = self._learn([w for w in new if len(w) > KEPT_LENGTH])
+        self.memo.update(self._learn([w for w in new if len(w) <= KEPT_LENGTH]))
+        known = self.memo | long_ if long_ else self.memo
+
+        def lists(side: int) -> pa.LargeListArray:
+            parts = [b"".join([known[w][side] for w in words]) for words in split]
+            offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts], dtype=np.int64)])
+            return pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)))
+
+        return lists(0), lists(1)
 
 
 def _ints(array: pa.Array) -> np.ndarray:
@@ -94,7 +122,7 @@ def _joined(tokens: pa.Array, offsets: np.ndarray) -> tuple[memoryview, np.ndarr
     return data, ends[offsets]
 
 
-def same_bytes(texts: list[str], lists: pa.ListArray, token_bytes: pa.Array) -> np.ndarray:
+def same_bytes(texts: list[str], lists: pa.LargeListArray, token_bytes: pa.Array) -> np.ndarray:
     """Whether each list's tokens, joined, are space + text."""
     data, at = _joined(token_bytes.take(lists.flatten()), _ints(lists.offsets))
     return np.fromiter((data[s:e] == b" " + t.encode() for t, s, e in zip(texts, at[:-1].tolist(), at[1:].tolist())), bool, len(texts))
@@ -134,7 +162,7 @@ class Aligned:
         self.held_a, self.held_b = (np.bincount(g, minlength=groups) for g in (self.group_a, self.group_b))
 
     @staticmethod
-    def _emptied(lists: pa.ListArray, usable: np.ndarray) -> pa.ListArray:
+    def _emptied(lists: pa.LargeListArray, usable: np.ndarray) -> pa.LargeListArray:
         return pc.fill_null(pc.if_else(pa.array(usable), lists, pa.scalar(None, lists.type)), pa.scalar([], lists.type))
 
     def per_document(self, weights: np.ndarray | None = None) -> np.ndarray:

@@ -1,5 +1,6 @@
 """Cross-tokenizer alignment against a plain loop over both token lists."""
 
+import random
 from collections import Counter
 from hashlib import sha256
 
@@ -78,6 +79,21 @@ def test_alignment_of_given_documents_over_several_blocks(spark):
     check(spark, [(r["doc_id"], r["text"]) for r in given], block_bytes=20_000)
 
 
+def test_word_by_word_ids_are_those_of_whole_texts():
+    rng = random.Random(8)
+    tools = alignment.Tokenizers()
+    signs = [*"  \n\t\r'’-.,;!?\x0b\x1c\x1f\x85\xa0\u1680\u180e\u2003\u200b\u2028\u3000\u0301\ufeff▁İıß漢字éñ😀٣²", *"abcstTIN019_<|>/"]
+    pool = ["word", "it's", "They'LL", "<s>", "<|endoftext|>", "x" * 70, "naïve", "foo\n\nbar", "日本", "1,000.50"]
+    texts = [" " * rng.randrange(2) + "".join(
+        rng.choice(signs) if rng.random() < 0.6 else rng.choice(pool) + rng.choice([" ", "", "  "])
+        for _ in range(rng.randrange(40))) for _ in range(4_000)]
+    for start in range(0, len(texts), 500):
+        some = texts[start:start + 500]
+        a, b = (x.to_pylist() for x in tools.encode(some))
+        assert a == [e.ids for e in tools.a.encode_batch([" " + t for t in some], add_special_tokens=False)]
+        assert [y for t, y in zip(some, b) if t] == [y for t, y in zip(some, tools.b.encode(some)) if t]
+
+
 def test_no_documents(spark):
     assert alignment.align(spark.createDataFrame([], SCHEMA)).count() == 0
     check(spark, [(1, None), (2, "")])
