@@ -12,9 +12,9 @@ the links themselves, about as many as tokens, are never shuffled.
 from __future__ import annotations
 
 import itertools
+import json
 import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import sha256
 
 import numpy as np
@@ -30,11 +30,12 @@ from stockloom.llm.common import blocks, staged
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 BLOCK_BYTES = 1 << 20   # text whose pairs are counted together
-ENCODED_AT_ONCE = 500   # words
-KEPT_WORDS = 100_000    # newer encodings kept by a task; as many older ones at most
-KEPT_LENGTH = 64        # longest word kept
-# One space between two characters that are not white space (or B's sign for it): no token of either vocabulary crosses it.
-BETWEEN_WORDS = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
+ENCODED_AT_ONCE = 64    # texts
+# Letters, digits and signs whose classes are the same in every Unicode version, and plain white space.
+PLAIN = re.compile("[\\x20-\\x7e\\n\\r\\t\u00a1-\u024f]*+")
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+# Fixed value: how A's kind of vocabulary splits text before merging.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -62,10 +63,9 @@ class Tokenizers:
         alphabet = byte_alphabet()
         pieces = (self.a.id_to_token(i) or "" for i in range(size_a))
         self.bytes_a = pa.array([bytes(alphabet.get(c, 0) for c in p) for p in pieces], pa.large_binary())
-        # Kept for one task only: workers go on to other stages, which need the memory.
-        self.memo: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.plain = self._by_ranks(path_a, alphabet)
         self.bytes_b = pa.array([self._piece(i) for i in range(size_b)], pa.large_binary())
+        self.lengths_a, self.lengths_b = (pc.binary_length(b) for b in (self.bytes_a, self.bytes_b))
         # A: alone, after ";", after ","; B: after "|", after ",".
         self.size_a, self.size_b = size_a, size_b
         self.written = pa.array(
@@ -76,39 +76,42 @@ class Tokenizers:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def _learn(self, words: list[str]) -> dict[str, tuple[bytes, bytes]]:
-        """Ids of space + word by A, and of the word by B, which adds the space itself, as 32-bit numbers."""
-        made = {}
-        for start in range(0, len(words), ENCODED_AT_ONCE):
-            some = words[start:start + ENCODED_AT_ONCE]
-            left = self.a.encode_batch_fast([" " + w for w in some], add_special_tokens=False)
-            for word, a, b in zip(some, left, self.b.encode(some, num_threads=1)):
-                made[word] = array("i", a.ids).tobytes(), array("i", b).tobytes()
-        return made
+    @staticmethod
+    def _by_ranks(path: str, alphabet: dict[str, int]):
+        """A's ids of PLAIN text by tiktoken, from the same file: the quicker of two encoders of one vocabulary, which
+        split such text alike. None if the file splits otherwise or its merges do not ascend with their ids."""
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            held = json.load(file)
+        if held["normalizer"] or held["pre_tokenizer"] != BYTE_LEVEL:
+            return None
+        model = held["model"]
+        vocabulary, merges = model["vocab"], (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+        made = np.array([vocabulary[left + right] for left, right in merges])
+        if np.any(np.diff(made) <= 0) or any(c not in vocabulary for c in alphabet):
+            return None
+        merged = set(made.tolist())   # without added tokens, whose strings are plain text here
+        ranks = {bytes(map(alphabet.__getitem__, t)): i for t, i in vocabulary.items() if i in merged or t in alphabet}
+        return tiktoken.Encoding("plain", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def _ids_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids of space + text."""
+        quick = [self.plain is not None and PLAIN.fullmatch(t) is not None for t in texts]
+        rest = iter(self.a.encode_batch_fast([" " + t for t, q in zip(texts, quick) if not q], add_special_tokens=False))
+        return [self.plain(" " + t) if q else next(rest).ids for t, q in zip(texts, quick)]
 
     def encode(self, texts: list[str]) -> tuple[pa.LargeListArray, pa.LargeListArray]:
-        """Ids of space + text by A, and of the text by B, word by word.
-
-        A word's encoding is kept while it is in use: when KEPT_WORDS are held they become the older half,
-        of which only the words met again move on.
-        """
-        if len(self.memo) > KEPT_WORDS:
-            self.older, self.memo = self.memo, {}
-        split = [BETWEEN_WORDS.split(t) for t in texts]
-        new = set(itertools.chain.from_iterable(split)).difference(self.memo)
-        for word in [w for w in new if w in self.older]:
-            self.memo[word] = self.older[word]
-            new.discard(word)
-        long_ = self._learn([w for w in new if len(w) > KEPT_LENGTH])
-        self.memo.update(self._learn([w for w in new if len(w) <= KEPT_LENGTH]))
-        known = self.memo | long_ if long_ else self.memo
-
-        def lists(side: int) -> pa.LargeListArray:
-            parts = [b"".join([known[w][side] for w in words]) for words in split]
-            offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts], dtype=np.int64)])
-            return pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)))
-
-        return lists(0), lists(1)
+        """Ids of space + text by A, and of the text by B, which adds the space itself."""
+        def lists(encode: Callable[[list[str]], list[list[int]]]) -> pa.LargeListArray:
+            parts, sizes = [np.empty(0, np.int32)], [0]
+            for start in range(0, len(texts), ENCODED_AT_ONCE):
+                held = encode(texts[start:start + ENCODED_AT_ONCE])
+                sizes.extend(map(len, held))
+                parts.append(np.fromiter(itertools.chain.from_iterable(held), np.int32))
+            return pa.LargeListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int64)), pa.array(np.concatenate(parts)))
+
+        return lists(self._ids_a), lists(lambda some: self.b.encode(some, num_threads=1))
 
 
 def _ints(array: pa.Array) -> np.ndarray:
@@ -134,6 +137,11 @@ def segmented_ends(lengths: pa.Array, parents: np.ndarray, offsets: np.ndarray)
     return running[1:] - running[offsets[:-1]][parents]
 
 
+def document_ends(parents: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """(document, end) as one number; a block has fewer than 2^23 documents and each less than 2^40 bytes."""
+    return (parents.astype(np.int64) << 40) | ends
+
+
 class Aligned:
     """One block's groups, links and distinct pairs."""
 
@@ -146,12 +154,12 @@ class Aligned:
         self.offsets_a, self.offsets_b = _ints(a.offsets).astype(np.int64), _ints(b.offsets).astype(np.int64)
         self.ids_a, self.ids_b = a.flatten(), b.flatten()
         self.parents_a, self.parents_b = _ints(pc.list_parent_indices(a)), _ints(pc.list_parent_indices(b))
-        ends = [pa.table({"document": parents, "end": segmented_ends(pc.binary_length(kinds.take(ids)), parents, offsets),
+        ends = [pa.table({"end": document_ends(parents, segmented_ends(lengths.take(ids), parents, offsets)),
                           name: np.arange(len(ids))})
-                for ids, parents, offsets, kinds, name in (
-                    (self.ids_a, self.parents_a, self.offsets_a, tools.bytes_a, "i"),
-                    (self.ids_b, self.parents_b, self.offsets_b, tools.bytes_b, "j"))]
-        common = ends[0].join(ends[1], ["document", "end"], join_type="inner", use_threads=False)
+                for ids, parents, offsets, lengths, name in (
+                    (self.ids_a, self.parents_a, self.offsets_a, tools.lengths_a, "i"),
+                    (self.ids_b, self.parents_b, self.offsets_b, tools.lengths_b, "j"))]
+        common = ends[0].join(ends[1], "end", join_type="inner", use_threads=False)
         # Tokens that close a group; groups are numbered through the block, alike on both sides.
         self.closes_a, self.closes_b = np.zeros(len(self.ids_a), bool), np.zeros(len(self.ids_b), bool)
         self.closes_a[common["i"].to_numpy()] = True
