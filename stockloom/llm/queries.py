@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom.llm import (
-    alignment, html_extract, imatch, langid, merkle, mixing, packing, sharding, simhash, substring, toxicity, vptree)
+    alignment, html_extract, imatch, langid, merkle, mixing, packing, pii, sharding, simhash, substring, toxicity,
+    vptree)
 from stockloom.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -263,3 +264,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_tokenizer_alignment")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@query("op12_personal_data")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
