@@ -2,30 +2,24 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterator
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockloom import fixed_values as V
+from stockloom.operators import boosting
 from stockloom.operators import features as B
+from stockloom.operators.boosting import Ensemble, Model
 from stockloom.operators.forecast import check_horizon, future_rows, naive
 from stockloom.operators.panel import in_order
-from stockloom.session import cut_lineage
 
 LONGEST = max(*V.SALES_LAGS, *V.ROLLING_WINDOWS)
-STEPS_PER_CHECKPOINT = 7
 STEP_SIZE = 0.05
 CALENDAR_INPUTS = ("wm_yr_wk", "wday")
-
-
-def regressor(label: str, rounds: int, depth: int, step_size: float) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="features", labelCol=label, predictionCol="yhat", maxIter=rounds, maxDepth=depth,
-        stepSize=step_size, seed=42, subsamplingRate=1.0)
+ORIGINS_AT_ONCE = 512   # backtest origins whose models are fitted and sent to the tasks together
 
 
 def training_columns(panel: DataFrame) -> list[str]:
@@ -39,30 +33,43 @@ def training_columns(panel: DataFrame) -> list[str]:
     return [*given, *made, *lags, *rolls, *rest]
 
 
-def _assembled(df: DataFrame, columns: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=columns, outputCol="features").transform(df)
+def sales_columns() -> list[str]:
+    """The features that depend on the sales before a day; all others are known ahead."""
+    rolls = [f"sales_roll_{s}_{w}" for w in V.ROLLING_WINDOWS for s in ("mean", "median", "std")]
+    return [*(f"sales_lag_{n}" for n in V.SALES_LAGS), *rolls, "sales_expanding_mean", "sales_expanding_std", "trend_idx"]
+
+
+def known_columns(columns: list[str]) -> list[str]:
+    made = sales_columns()
+    return [c for c in columns if c not in made]
 
 
-def training_matrix(panel: DataFrame) -> DataFrame:
-    """Target and feature vector of every row, from the shared feature operators."""
-    columns = training_columns(panel)
-    return _assembled(B.model_matrix(B.demand_features(panel), columns), columns)
+def _matrix(panel: DataFrame, horizon: int = 0) -> DataFrame:
+    """Features of every row, its position in the series, and the sales of the row and of the ``horizon`` days after it."""
+    order = in_order(panel)
+    sales = F.col("sales").cast("double")
+    built = B.demand_features(panel).withColumns({
+        "_position": F.row_number().over(order), "y_0": sales,
+        **{f"y_{h}": F.lead(sales, h).over(order) for h in range(1, horizon + 1)}})
+    return built.withColumns({c: B.finite(c) for c in training_columns(panel)})
+
+
+def fit_recursive(panel: DataFrame, rounds: int = 100, depth: int = 5, step_size: float = STEP_SIZE) -> Ensemble | None:
+    """One model of all series' sales; None without rows."""
+    return boosting.fit(_matrix(panel), training_columns(panel), ["y_0"], [Model(0)], None, rounds, depth, step_size).get(0)
 
 
-def fit_recursive(panel: DataFrame, rounds: int = 100, depth: int = 5, step_size: float = STEP_SIZE) -> GBTRegressionModel:
-    matrix = training_matrix(panel).select("features", "sales").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return regressor("sales", rounds, depth, step_size).fit(matrix)
-    finally:
-        matrix.unpersist()
+def _sorted(column: str):
+    """Values of a column by step."""
+    return F.transform(F.sort_array(F.collect_list(F.struct("step", F.col(column).alias("v")))), lambda r: r["v"])
 
 
 def series_state(panel: DataFrame, horizon: int, calendar: DataFrame | None = None) -> DataFrame:
-    """What the next day's features need, one row per series.
+    """What the next days' features need, one row per series.
 
-    ``tail`` holds the newest values of the sequence ``0, y1, y2, ...`` that the rolling
-    features read; ``coming`` holds the known inputs of the next days. Both are bounded by
-    the longest window and the horizon.
+    ``tail`` holds the newest values of the sequence ``0, y1, y2, ...`` that the rolling features read;
+    ``dates`` and ``known`` the next days and their features that do not depend on sales. All are bounded by the
+    longest window and the horizon.
     """
     day = F.struct(*(["date"] + (["day_no"] if "day_no" in panel.columns else [])), F.col("sales").cast("double").alias("y"))
     newest = F.transform(F.sort_array(F.collect_list(day)), lambda r: r["y"])
@@ -73,122 +80,149 @@ def series_state(panel: DataFrame, horizon: int, calendar: DataFrame | None = No
         F.count(F.lit(1)).alias("days"), *(F.max_by(c, "date").alias(c) for c in kept),
     ).withColumn("tail", F.concat(F.array(F.lit(0.0)), F.col("y"))).drop("y")
     tail = F.slice("tail", F.greatest(F.size("tail") - (LONGEST - 1), F.lit(1)), LONGEST)
-    given = [c for c in panel.columns if c in CALENDAR_INPUTS or c.startswith("snap_")]
     future = future_rows(panel, horizon, calendar).withColumn(
         "wday", (F.pmod(F.weekday("date") + 2, F.lit(7)) + 1).cast("int"))
-    inputs = F.struct("step", "date", "event_name_1", *given)
-    coming = future.groupBy(*V.SERIES).agg(F.sort_array(F.collect_list(inputs)).alias("coming"))
-    return history.withColumn("tail", tail).join(coming, V.SERIES).withColumn(
-        "path", F.array().cast("array<double>"))
-
-
-def _last(tail: Column, rows: int) -> Column:
-    size = F.least(F.size(tail), F.lit(rows))
-    return F.slice(tail, F.size(tail) - size + 1, size)
-
-
-def _squared_distance(values: Column, centre: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, v: total + (v - centre) * (v - centre))
-
-
-def next_features(state: DataFrame, step: int) -> DataFrame:
-    """Feature columns of day ``step`` from the state row alone (no window, no shuffle)."""
-    day = F.element_at("coming", step)
-    inputs = [f for f in state.schema["coming"].dataType.elementType.names if f != "step"]
-    row = B.fourier(B.temporal(state.withColumns({f: day[f] for f in inputs})))
-    tail = F.col("tail")
-    made = {f"sales_lag_{n}": F.coalesce(F.try_element_at(tail, F.lit(-n)), F.lit(0.0)) for n in V.SALES_LAGS}
+    kept = [c for c in kept if c not in future.columns]
+    ahead = future.join(history.select(*V.SERIES, *kept), V.SERIES) if kept else future
+    columns = known_columns(training_columns(panel))
+    ahead = B.fourier(B.temporal(ahead)).withColumn("_known", F.array(*(B.finite(c) for c in columns)))
+    coming = ahead.groupBy(*V.SERIES).agg(_sorted("date").alias("dates"), _sorted("_known").alias("known"))
+    return history.withColumn("tail", tail).join(coming, V.SERIES).select(
+        *V.SERIES, "tail", "total", "squares", "days", "dates", "known")
+
+
+def origin_states(panel: DataFrame, origins: list[int], horizon: int) -> DataFrame:
+    """:func:`series_state` at every origin: what was known after a series' first ``origin`` days, and the
+    calendar of the days after it, which is known ahead. The price stays the origin's."""
+    order, sales = in_order(panel), F.col("sales").cast("double")
+    past, ahead = order.rowsBetween(Window.unboundedPreceding, Window.currentRow), order.rowsBetween(1, horizon)
+    newest = F.collect_list(sales).over(order.rowsBetween(-(LONGEST - 1), Window.currentRow))
+    columns = known_columns(training_columns(panel))
+    price = columns.index("sell_price") if "sell_price" in columns else None
+    built = B.fourier(B.temporal(panel)).withColumn("_known", F.array(*(B.finite(c) for c in columns)))
+    states = built.select(
+        *V.SERIES, F.row_number().over(order).alias("origin"), newest.alias("_newest"), "_known",
+        F.sum(sales).over(past).alias("total"), F.sum(sales * sales).over(past).alias("squares"), F.count(F.lit(1)).over(past).alias("days"),
+        F.collect_list("date").over(ahead).alias("dates"), F.collect_list("_known").over(ahead).alias("known"),
+    ).where(F.col("origin").isin(origins) & (F.size("dates") == horizon))
+    if price is not None:
+        states = states.withColumn("known", F.expr(
+            f"transform(known, day -> transform(day, (v, i) -> if(i = {price}, _known[{price}], v)))"))
+    whole = F.when(F.size("_newest") < LONGEST, F.concat(F.array(F.lit(0.0)), F.col("_newest"))).otherwise(F.col("_newest"))
+    return states.select(*V.SERIES, "origin", whole.alias("tail"), "total", "squares", "days", "dates", "known")
+
+
+def day_features(tail: np.ndarray, held: np.ndarray, total: np.ndarray, squares: np.ndarray, days: np.ndarray) -> dict[str, np.ndarray]:
+    """The sales features of the next day; row i's newest ``held[i]`` values stand at the right of ``tail``."""
+    out, width = {}, tail.shape[1]
+    for n in V.SALES_LAGS:
+        out[f"sales_lag_{n}"] = np.where(held >= n, tail[:, width - n], 0.0)
     for rows in V.ROLLING_WINDOWS:
-        values = _last(tail, rows)
-        ordered, size = F.array_sort(values), F.size(values)
-        mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / size
-        spread = _squared_distance(values, mean)
-        middle = (F.element_at(ordered, F.floor((size + 1) / 2).cast("int"))
-                  + F.element_at(ordered, F.floor((size + 2) / 2).cast("int"))) / 2
-        made[f"sales_roll_mean_{rows}"] = mean
-        made[f"sales_roll_median_{rows}"] = middle
-        made[f"sales_roll_std_{rows}"] = F.when(size > 1, F.sqrt(spread / (size - 1))).otherwise(0.0)
-    count = F.col("days") + 1
-    made["sales_expanding_mean"] = F.col("total") / count
-    made["sales_expanding_std"] = F.sqrt(F.greatest(
-        F.lit(0.0), (F.col("squares") - F.col("total") * F.col("total") / count) / F.col("days")))
-    made["trend_idx"] = count.cast("double")
-    return row.withColumns(made)
-
-
-def predict_recursive(
-    model: GBTRegressionModel, panel: DataFrame, horizon: int, calendar: DataFrame | None = None,
-) -> DataFrame:
-    """Forecast step by step, feeding each forecast into the next day's features.
-
-    The loop is over the few steps only; every pass is a narrow projection of one row per
-    series. The plan is cut by a reliable checkpoint every few steps.
+        size = np.minimum(held, rows)
+        values, inside = tail[:, width - rows:], np.arange(rows) >= rows - size[:, None]
+        mean = np.where(inside, values, 0.0).sum(axis=1) / size
+        spread = np.where(inside, (values - mean[:, None]) ** 2, 0.0).sum(axis=1)
+        ordered = np.sort(np.where(inside, values, np.inf), axis=1)
+        at = np.arange(len(tail))
+        out[f"sales_roll_mean_{rows}"] = mean
+        out[f"sales_roll_median_{rows}"] = (ordered[at, (size - 1) // 2] + ordered[at, size // 2]) / 2
+        out[f"sales_roll_std_{rows}"] = np.where(size > 1, np.sqrt(spread / np.maximum(size - 1, 1)), 0.0)
+    count = days + 1
+    out["sales_expanding_mean"] = total / count
+    out["sales_expanding_std"] = np.sqrt(np.maximum(0.0, (squares - total * total / count) / days))
+    out["trend_idx"] = count.astype(float)
+    return out
+
+
+def _walk(state: DataFrame, models, columns: list[str], horizon: int) -> DataFrame:
+    """``state`` with ``path``: forecasts step by step, each fed into the next day's features.
+
+    One pass over the states in Arrow batches; ``models`` is a broadcast of the models by ``origin`` (or by 0).
     """
-    columns = training_columns(panel)
-    state = cut_lineage(series_state(panel, check_horizon(horizon), calendar))
-    kept = state.columns
-    for step in range(1, horizon + 1):
-        scored = model.transform(_assembled(_finite(next_features(state, step), columns), columns))
-        value = F.greatest(F.lit(0.0), F.col("yhat"))
-        # Older than the longest window: drop the front, once the tail is full.
-        grown = F.concat("tail", F.array("value"))
-        tail = F.slice(grown, F.greatest(F.size(grown) - (LONGEST - 1), F.lit(1)), LONGEST)
-        state = scored.withColumn("value", value).select(*(
-            {"tail": tail, "total": F.col("total") + F.col("value"),
-             "squares": F.col("squares") + F.col("value") * F.col("value"),
-             "days": F.col("days") + 1, "path": F.concat("path", F.array("value"))}.get(c, F.col(c)).alias(c)
-            for c in kept))
-        if step % STEPS_PER_CHECKPOINT == 0 and step < horizon:
-            state = cut_lineage(state)
-    return state.select(*V.SERIES, "coming", F.posexplode("path").alias("at", "yhat")).select(
-        *V.SERIES, (F.col("at") + 1).alias("step"), F.element_at("coming", F.col("at") + 1)["date"].alias("date"), "yhat")
-
-
-def _finite(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: B.finite(c) for c in columns})
+    known = known_columns(columns)
+    keys = [*V.SERIES, *(["origin"] if "origin" in state.columns else [])]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if frame.empty:
+                continue
+            n = len(frame)
+            held = frame["tail"].map(len).to_numpy()
+            tail = np.zeros((n, LONGEST))
+            for i, values in enumerate(frame["tail"]):
+                tail[i, LONGEST - len(values):] = values
+            total, squares, days = (frame[c].to_numpy(float) for c in ("total", "squares", "days"))
+            ahead = np.array([[np.asarray(day, float) for day in row] for row in frame["known"]])
+            groups = list(frame.groupby("origin").indices.items()) if "origin" in frame else [(0, np.arange(n))]
+            path = np.empty((n, horizon))
+            for step in range(horizon):
+                made = day_features(tail, held, total, squares, days)
+                rows = np.column_stack([ahead[:, step, known.index(c)] if c in known else made[c] for c in columns])
+                rows[~np.isfinite(rows)] = 0.0
+                for key, at in groups:
+                    path[at, step] = np.maximum(0.0, models.value[key].predict(rows[at]))
+                value = path[:, step]
+                tail = np.column_stack([tail[:, 1:], value])
+                held = np.minimum(held + 1, LONGEST)
+                total, squares, days = total + value, squares + value * value, days + 1
+            yield frame[[*keys, "dates"]].assign(path=list(path))
+
+    kinds = dict(state.dtypes)
+    schema = ", ".join(f"{k} {kinds[k]}" for k in [*keys, "dates"]) + ", path array<double>"
+    return state.mapInPandas(run, schema)
+
+
+def _steps(walked: DataFrame, *keys: str) -> DataFrame:
+    return walked.select(*keys, "dates", F.posexplode("path").alias("at", "yhat")).select(
+        *keys, (F.col("at") + 1).alias("step"), F.element_at("dates", F.col("at") + 1).alias("date"), "yhat")
+
+
+def predict_recursive(model: Ensemble | None, panel: DataFrame, horizon: int, calendar: DataFrame | None = None) -> DataFrame:
+    """Forecast step by step, feeding each forecast into the next day's features; without a model, the naive forecast."""
+    if model is None:
+        return naive(panel, horizon)
+    state = series_state(panel, check_horizon(horizon), calendar)
+    sent = panel.sparkSession.sparkContext.broadcast({0: model})   # one model: rounds x nodes
+    return _steps(_walk(state, sent, training_columns(panel), horizon), *V.SERIES)
 
 
 def fit_direct(
-    panel: DataFrame, horizon: int, rounds: int = 100, depth: int = 5, parallel: int = 4, step_size: float = STEP_SIZE,
-) -> dict[int, GBTRegressionModel]:
-    """One model per step, trained on the sales that many days later.
+    panel: DataFrame, horizon: int, rounds: int = 100, depth: int = 5, step_size: float = STEP_SIZE,
+) -> dict[int, Ensemble]:
+    """One model per step, trained on the sales that many days later; a step without data uses model 1.
 
-    The fits share one persisted matrix and are submitted side by side, so a cluster is
-    not left idle between the small jobs of each tree. A step without data uses model 1.
+    All models are fitted together over one binned table.
     """
-    columns = training_columns(panel)
-    order = in_order(panel)
-    leads = {f"y_{h}": F.lead(F.col("sales").cast("double"), h).over(order) for h in range(1, check_horizon(horizon) + 1)}
-    built = B.demand_features(panel).withColumns(leads)
-    matrix = _assembled(_finite(built, columns), columns).select("features", *leads).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    steps = range(1, check_horizon(horizon) + 1)
+    made = boosting.fit(_matrix(panel, horizon), training_columns(panel), [f"y_{h}" for h in steps],
+                        [Model(h, h - 1) for h in steps], None, rounds, depth, step_size)
+    return {h: made.get(h, made[1]) for h in steps} if 1 in made else {}
 
-    def fit(step: int) -> tuple[int, GBTRegressionModel | None]:
-        rows = matrix.where(F.col(f"y_{step}").isNotNull())
-        return step, None if rows.isEmpty() else regressor(f"y_{step}", rounds, depth, step_size).fit(rows)
 
-    try:
-        with ThreadPool(parallel) as pool:
-            models = dict(pool.map(fit, range(1, horizon + 1)))
-    finally:
-        matrix.unpersist()
-    return {h: m or models[1] for h, m in models.items() if m or models[1]}
+def _direct(rows: DataFrame, models, columns: list[str], horizon: int, keys: list[str]) -> DataFrame:
+    """Keys, step and yhat from the features of one row per key; ``models`` by (origin, step), origin 0 without that key."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            values = frame[columns].to_numpy(float)
+            groups = list(frame.groupby("origin").indices.items()) if "origin" in frame else [(0, np.arange(len(frame)))]
+            for origin, at in groups:
+                for step in range(1, horizon + 1):
+                    yield frame.iloc[at][keys].assign(step=step, yhat=np.maximum(0.0, models.value[origin, step].predict(values[at])))
 
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", step int, yhat double"
+    return rows.select(*keys, *columns).mapInPandas(run, schema)
 
-def predict_direct(models: dict[int, GBTRegressionModel], panel: DataFrame, horizon: int) -> DataFrame:
+
+def predict_direct(models: dict[int, Ensemble], panel: DataFrame, horizon: int) -> DataFrame:
     """All steps from the features of each series' last day; without models, the naive forecast."""
     if not models:
         return naive(panel, horizon)
-    columns = training_columns(panel)
-    order = in_order(panel)
-    built = B.demand_features(panel).withColumn("_next", F.lead("date").over(order)).where(F.col("_next").isNull())
-    row = _assembled(_finite(built, columns), columns).select(*V.SERIES, "date", "features")
-    for step in range(1, check_horizon(horizon) + 1):
-        model = models.get(step, models[1]).copy().setPredictionCol(f"yhat_{step}")
-        row = model.transform(row)
-    path = F.array(*(F.greatest(F.lit(0.0), F.col(f"yhat_{s}")) for s in range(1, horizon + 1)))
-    return row.select(*V.SERIES, "date", F.posexplode(path).alias("at", "yhat")).select(
-        *V.SERIES, (F.col("at") + 1).alias("step"), F.date_add("date", F.col("at") + 1).alias("date"), "yhat")
+    built = _matrix(panel, 1).withColumn("_next", F.lead("date").over(in_order(panel))).where(F.col("_next").isNull())
+    sent = panel.sparkSession.sparkContext.broadcast(
+        {(0, h): models.get(h, models[1]) for h in range(1, check_horizon(horizon) + 1)})
+    made = _direct(built, sent, training_columns(panel), horizon, [*V.SERIES, "date"])
+    return made.select(*V.SERIES, "step", F.date_add("date", F.col("step")).alias("date"), "yhat")
 
 
 def origins(df: DataFrame, initial: int, step: int, horizon: int) -> list[int]:
@@ -199,25 +233,42 @@ def origins(df: DataFrame, initial: int, step: int, horizon: int) -> list[int]:
 
 def tree_backtest(
     panel: DataFrame, origins: list[int], horizon: int, rounds: int = 100, depth: int = 5, step_size: float = STEP_SIZE,
+    direct: bool = False,
 ) -> DataFrame:
-    """Recursive tree forecasts at the given origins, the model refitted at each one.
+    """Tree forecasts at the given origins, the models refitted at each one on what was known then.
 
-    Every origin is a full training run on all series up to that day. Its forecasts are
-    checkpointed, so the plan does not grow with the number of origins.
+    An origin is a mask over one table that is binned once (cuts between bins come from the whole table, labels
+    never do): all its models are fitted over the same blocks. Models are fitted and sent to the tasks for
+    ORIGINS_AT_ONCE origins at a time; a model's size is rounds x nodes.
     """
-    numbered = panel.withColumn("_position", F.row_number().over(in_order(panel)))
-    parts = None
-    for origin in origins:
-        known = numbered.where(F.col("_position") <= origin).drop("_position")
-        made = cut_lineage(predict_recursive(fit_recursive(known, rounds, depth, step_size), known, horizon).select(
-            *V.SERIES, F.lit(origin).alias("origin"), "step", F.lit("boosted_trees").alias("model"), "yhat"))
+    columns, kind = training_columns(panel), "trees_direct" if direct else "boosted_trees"
+    context, parts = panel.sparkSession.sparkContext, None
+    if not origins:
+        return panel.sparkSession.createDataFrame(
+            [], "store_id string, item_id string, origin int, step int, model string, yhat double")
+    matrix = _matrix(panel, horizon if direct else 0)
+    for start in range(0, len(origins), ORIGINS_AT_ONCE):
+        some = origins[start:start + ORIGINS_AT_ONCE]
+        if direct:
+            names = {o * (horizon + 1) + h: (o, h) for o in some for h in range(1, horizon + 1)}
+            models = boosting.fit(matrix, columns, [f"y_{h}" for h in range(1, horizon + 1)],
+                                  [Model(k, h - 1, o - h) for k, (o, h) in names.items() if o > h], "_position", rounds, depth, step_size)
+            by_key = {names[k]: m for k, m in models.items()}
+            sent = context.broadcast({(o, h): by_key.get((o, h), by_key.get((o, 1))) for o, h in names.values()
+                                      if (o, h) in by_key or (o, 1) in by_key})
+            known = [o for o in some if (o, 1) in by_key]
+            rows = matrix.where(F.col("_position").isin(known)).withColumn("origin", F.col("_position"))
+            made = _direct(rows.repartition("origin"), sent, columns, horizon, [*V.SERIES, "origin"])
+        else:
+            models = boosting.fit(matrix, columns, ["y_0"], [Model(o, 0, o) for o in some], "_position", rounds, depth, step_size)
+            state = origin_states(panel, list(models), horizon).repartition("origin")
+            made = _steps(_walk(state, context.broadcast(models), columns, horizon), *V.SERIES, "origin")
+        made = made.select(*V.SERIES, "origin", "step", F.lit(kind).alias("model"), "yhat")
         parts = made if parts is None else parts.unionByName(made)
     return parts
 
 
-def importances(model: GBTRegressionModel | None, panel: DataFrame) -> DataFrame:
+def importances(model: Ensemble | None, panel: DataFrame) -> DataFrame:
     """Features by importance, descending; empty without a fitted model."""
-    spark = panel.sparkSession
-    names = training_columns(panel)
-    rows = [] if model is None else [(n, float(v)) for n, v in zip(names, model.featureImportances.toArray())]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+    rows = [] if model is None else [(n, float(v)) for n, v in model.importances().items()]
+    return panel.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")

@@ -55,10 +55,9 @@ def backtest(
     """``(series, origin, step, model, yhat, actual, fallback)`` of any models on the same origins.
 
     A model's forecast that is missing or not a number at an origin is replaced by the naive one,
-    and ``fallback`` tells so. Trees are refitted at every origin, so name them with few origins.
+    and ``fallback`` tells so. Trees are refitted at every origin, all of them over one binned table.
     """
-    unknown = [m for m in models if m not in MODELS or m == "trees_direct"]
-    if unknown:
+    if unknown := [m for m in models if m not in MODELS]:
         raise ValueError(f"no backtest of {', '.join(unknown)}")
     base = D.walk_forward(df, initial, step, horizon)
     naive = base.where(F.col("model") == "naive").select(*V.SERIES, "origin", "step", "actual", F.col("yhat").alias("_naive"))
@@ -67,9 +66,10 @@ def backtest(
         if name in WALKED:
             made = made.unionByName(as_forecast(WALKED[name](df, horizon, backtest=(initial, step))).select(
                 *V.SERIES, "origin", "step", F.lit(name).alias("model"), "yhat"))
-        elif name == "trees_recursive":
+        elif name in ("trees_recursive", "trees_direct"):
             made = made.unionByName(trees.tree_backtest(
-                df, trees.origins(df, initial, step, horizon), horizon, **(trees_parameters or {})).withColumn("model", F.lit(name)))
+                df, trees.origins(df, initial, step, horizon), horizon, direct=name == "trees_direct",
+                **(trees_parameters or {})).withColumn("model", F.lit(name)))
     wanted = naive.select("*", F.explode(F.array(*(F.lit(m) for m in models))).alias("model"))
     joined = wanted.join(made, [*V.SERIES, "origin", "step", "model"], "left")
     usable = F.col("yhat").isNotNull() & ~F.isnan("yhat")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from stockloom import fixed_values as V
 from stockloom.functions import normal
 from stockloom.operators import (
+    boosting,
     backtest as D, drift as H, explain as X, features as B, forecast as C, hierarchy as E,
     intervals as I, inventory as G, trees,
 )
@@ -476,6 +477,14 @@ def feature_importance(retail):
     return rounded(trees.importances(model, retail.panel))
 
 
+@query("i02_tree_contributions")
+def tree_contributions(retail):
+    """The tree model ranked by its mean absolute Shapley values over the whole panel."""
+    model = trees.fit_recursive(retail.panel)
+    matrix = B.model_matrix(B.demand_features(retail.panel), trees.training_columns(retail.panel))
+    return rounded(boosting.mean_contributions(matrix, model))
+
+
 @query("i02_contributions", _contributions_sql(), LAGGED, FEATURE_SQL)
 def contributions(retail):
     return rounded(X.mean_contributions(_matrix(retail), WEIGHTS))

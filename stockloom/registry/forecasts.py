@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stockloom import fixed_values as V
 from stockloom.functions.metrics import ALL
-from stockloom.operators import additive, arima, backtest as D, forecast as C, smoothing, trees
+from stockloom.operators import additive, arima, backtest as D, boosting, features as B, forecast as C, smoothing, trees
 from stockloom.operators.series_fit import as_forecast
 from stockloom.plans.forecasting import backtest
 from stockloom.registry.base import query, rounded
@@ -201,6 +201,47 @@ def trees_recursive(retail):
     return rounded(trees.predict_recursive(model, retail.panel, TREE_HORIZON, retail.calendar_until(TREE_HORIZON)))
 
 
+TREE_INPUTS = ["dayofweek", "month", "quarter", "year", "is_weekend", "is_holiday", "is_promo"]
+TREE_LEVELS = 3
+
+
+def _first_tree_sql() -> tuple[str, list[str]]:
+    """Residuals of the mean, then level by level the split that removes most of the squared error."""
+    snap = " ".join(f"WHEN state_id = '{s}' THEN \"snap_{s}\"" for s in ("AFRICA", "AMERICA", "ASIA"))
+    ctes = [f"""
+n0 AS (
+  SELECT 0 AS node, sales - avg(sales) OVER () AS r, [isodow(date) - 1, month(date), quarter(date), year(date),
+    CAST(isodow(date) >= 6 AS INTEGER), CAST(event_name_1 IS NOT NULL AS INTEGER), CASE {snap} ELSE 0 END] AS x FROM panel)"""]
+    for level in range(TREE_LEVELS):
+        ctes.append(f"""
+h{level} AS (
+  SELECT node, f, v, sum(r) AS s, count(*) AS c FROM (
+    SELECT node, r, unnest(range(1, {len(TREE_INPUTS) + 1})) AS f, unnest(x) AS v FROM n{level}) GROUP BY ALL),
+g{level} AS (
+  SELECT *, sl * sl / cl + (st - sl) * (st - sl) / (ct - cl) - st * st / ct AS gain FROM (
+    SELECT node, f, v, sum(s) OVER w AS sl, sum(c) OVER w AS cl, sum(s) OVER (PARTITION BY node, f) AS st, sum(c) OVER (PARTITION BY node, f) AS ct
+    FROM h{level} WINDOW w AS (PARTITION BY node, f ORDER BY v)) WHERE ct > cl),
+b{level} AS (
+  SELECT node, f, v, ct FROM (SELECT *, max(gain) OVER (PARTITION BY node) AS top FROM g{level})
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain / top, 9) DESC, f, v) = 1),
+n{level + 1} AS (SELECT 2 * node + CAST(x[f] > v AS INTEGER) AS node, r, x FROM n{level} JOIN b{level} USING (node))""")
+    names = "[" + ", ".join(f"'{c}'" for c in TREE_INPUTS) + "]"
+    inner = " UNION ALL ".join(
+        f"SELECT CAST({(1 << level) - 1} + node AS INTEGER) AS node, {names}[f] AS feature, CAST(v AS DOUBLE) AS threshold, "
+        f"CAST(ct AS BIGINT) AS cover, CAST(NULL AS DOUBLE) AS value FROM b{level}" for level in range(TREE_LEVELS))
+    return "SELECT * FROM (" + inner + f""" UNION ALL
+  SELECT CAST({(1 << TREE_LEVELS) - 1} + node AS INTEGER), NULL, NULL, count(*), round(0.05 * avg(r), 6) FROM n{TREE_LEVELS} GROUP BY node)
+""", ctes
+
+
+@query("c07_first_tree", _first_tree_sql()[0], *_first_tree_sql()[1])
+def first_tree(retail):
+    """Splits, covers and leaf values of one boosting round on the calendar's features."""
+    matrix = B.temporal(retail.panel).withColumn("sales", F.col("sales").cast("double"))
+    model = boosting.fit(matrix, TREE_INPUTS, ["sales"], [boosting.Model(0)], rounds=1, depth=TREE_LEVELS)[0]
+    return rounded(boosting.tree_table(matrix.sparkSession, model).select("node", "feature", "threshold", "cover", "value"))
+
+
 @query("c08_trees_direct")
 def trees_direct(retail):
     models = trees.fit_direct(retail.panel, TREE_HORIZON)

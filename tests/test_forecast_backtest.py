@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,15 +166,27 @@ def tree_panel(make_panel):
 
 
 def test_state_features_equal_panel_features(tree_panel):
-    """The loop's next-day features are what the feature operators give for that day."""
+    """The next-day features of a state are what the feature operators give for that day, also at a past origin."""
     columns = trees.training_columns(tree_panel)
-    last_day = F.when(F.col("item_id") == "young", 10).otherwise(70)
-    known = tree_panel.where(F.col("day_no") < last_day)
-    state = trees.next_features(trees.series_state(known, 3), 1).select("item_id", *columns).toPandas()
+    known = trees.known_columns(columns)
+
+    def features(states):
+        rows = states.sort_values(["item_id"]).reset_index(drop=True)
+        tail = np.array([np.pad(np.asarray(t, float), (trees.LONGEST - len(t), 0)) for t in rows["tail"]])
+        made = trees.day_features(tail, rows["tail"].map(len).to_numpy(), *(rows[c].to_numpy(float) for c in ("total", "squares", "days")))
+        for i, c in enumerate(known):
+            made[c] = np.array([row[0][i] for row in rows["known"]])
+        return pd.DataFrame(made, index=rows["item_id"])[columns].astype(float)
+
     built = B.demand_features(tree_panel)
-    expected = built.where(F.col("day_no") == last_day).select("item_id", *columns).toPandas()
-    state, expected = (d.set_index("item_id").sort_index().astype(float) for d in (state, expected))
-    np.testing.assert_allclose(state.to_numpy(), expected.to_numpy(), atol=1e-9)
+    last_day = F.when(F.col("item_id") == "young", 10).otherwise(70)
+    state = features(trees.series_state(tree_panel.where(F.col("day_no") < last_day), 3).toPandas())
+    expected = built.where(F.col("day_no") == last_day).select("item_id", *columns).toPandas().set_index("item_id").sort_index()
+    np.testing.assert_allclose(state.to_numpy(), expected.astype(float).to_numpy(), atol=1e-9)
+    for origin in (5, 28, 40):
+        state = features(trees.origin_states(tree_panel, [origin], 3).toPandas())
+        expected = built.where(F.col("day_no") == origin + 1).select("item_id", *columns).toPandas().set_index("item_id").loc[state.index]
+        np.testing.assert_allclose(state.to_numpy(), expected.astype(float).to_numpy(), atol=1e-9)
 
 
 def test_recursive_and_direct_forecasts(tree_panel):
@@ -193,10 +206,16 @@ def test_direct_without_models_is_naive(make_panel):
     assert path(trees.predict_direct({}, make_panel({ONE: [1, 7]}), 2)) == [7, 7]
 
 
-def test_tree_backtest_refits_per_origin(tree_panel):
-    made = trees.tree_backtest(tree_panel.where("item_id <> 'young'"), [40, 60], 3, 2, 2)
+@pytest.mark.parametrize("direct", [False, True])
+def test_tree_backtest_refits_per_origin(tree_panel, direct):
+    known = tree_panel.where("item_id <> 'young'")
+    made = trees.tree_backtest(known, [2, 40, 60], 3, 2, 2, direct=direct)
     scored = D.compare(D.attach_actuals(made, tree_panel), ["model"]).first()
-    assert made.count() == 4 * 2 * 3 and scored["WAPE"] > 0
+    assert made.count() == 4 * 3 * 3 and scored["WAPE"] > 0
+    if not direct:   # as a model of its own on the days up to the origin, with cuts of the whole table
+        assert made.where("origin = 60 and step = 1").count() == 4
+    rows = backtest(known, ["trees_direct" if direct else "trees_recursive"], 40, 20, 3, trees_parameters={"rounds": 2, "depth": 2})
+    assert rows.count() == 4 * 2 * 3 and rows.where("fallback").count() == 0
 
 
 def test_registered_tree_queries_do_the_operators_whole_job(spark, monkeypatch):
@@ -218,11 +237,13 @@ def test_registered_tree_queries_do_the_operators_whole_job(spark, monkeypatch):
     (panel, origins, horizon), named = asked.value.args
     days = panel.groupBy("store_id", "item_id").count().agg(F.max("count")).first()[0]
     assert origins == list(range(15, days - 14 + 1, 5)) and len(origins) > 100 and horizon == 14 and not named
-    monkeypatch.setattr(trees, "regressor", ask)
-    for name in ("c07_trees_recursive", "c08_trees_direct", "i01_feature_importance"):
+    monkeypatch.setattr(trees.boosting, "fit", ask)
+    for name in ("c07_trees_recursive", "c08_trees_direct", "i01_feature_importance", "i02_tree_contributions"):
         with pytest.raises(Asked) as asked:
             QUERIES[name](spark, data)
-        assert asked.value.args[0][1:] == (100, 5, 0.05)
+        (_, _, _, _, position, rounds, depth, step_size), _ = asked.value.args
+        assert (position, rounds, depth, step_size) == (None, 100, 5, 0.05)
+
 
 
 # ---- backtest ---------------------------------------------------------------------
