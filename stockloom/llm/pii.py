@@ -336,13 +336,12 @@ def added_spans(text: str, spans: list[Span], made: Graph, chances: np.ndarray)
     return out
 
 
-def _finder(field: Field | None, kind: pa.DataType):
+def _finder(field: Field | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches):
             texts = [t or "" for t in part.column("text").to_pylist()]
             base = [base_spans(t) if DIGIT_OR_AT.search(t) else [] for t in texts]
-            # Labels spread from what the patterns know; a text without that has nothing to agree with.
-            chosen = [i for i, spans in enumerate(base) if spans] if field else []
+            chosen = [i for i, t in enumerate(texts) if DIGIT_OR_AT.search(t)] if field else []
             graphs = [graph(texts[i], base[i]) for i in chosen]
             extra: dict[int, list[Span]] = {}
             if graphs:
@@ -372,4 +371,4 @@ def find(docs: DataFrame, field: Field | None) -> DataFrame:
     """
     names = "".join(f", n_{k} long" for k in KINDS)
     return docs.select("doc_id", "text").mapInArrow(
-        _finder(field, None), f"doc_id {dict(docs.dtypes)['doc_id']}{names}, base_sha256 string, spans string")
+        _finder(field), f"doc_id {dict(docs.dtypes)['doc_id']}{names}, base_sha256 string, spans string")
