@@ -73,8 +73,9 @@ def fingerprint(docs: DataFrame, words: list[str] | None = None) -> DataFrame:
     """
     words = lexicon(docs) if words is None else words
     kept = [c for c in docs.columns if c not in ("slots", "fingerprint")]
-    held = with_slots(docs.select(*(F.col(f"`{c}`") for c in kept), text_of().alias("_whole")), "_whole", "slots", words)
-    return held.withColumn("fingerprint", F.array_join("slots", "")).drop("_whole")
+    # The row goes along as one struct, so that no name of its columns meets ours.
+    held = with_slots(docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), text_of().alias("whole")), "whole", "slots", words)
+    return held.select("row.*", "slots", F.array_join("slots", "").alias("fingerprint"))
 
 
 def with_next(docs: DataFrame) -> DataFrame:

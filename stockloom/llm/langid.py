@@ -115,6 +115,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
         del name
         give_back()
 
-    named = docs.select(*(F.col(f"`{c}`") for c in kept), predict("text").alias("_named"))
-    accepted = (F.col("_named.lang_pred") != UNKNOWN) & (F.col("_named.score") >= min_margin)
-    return named.select(*(F.col(f"`{c}`") for c in kept), "_named.lang_pred", "_named.score", accepted.alias("accepted"))
+    # The row goes along as one struct, so that no name of its columns meets ours.
+    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), predict("text").alias("named"))
+    accepted = (F.col("named.lang_pred") != UNKNOWN) & (F.col("named.score") >= min_margin)
+    return named.select("row.*", "named.lang_pred", "named.score", accepted.alias("accepted"))

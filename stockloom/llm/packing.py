@@ -103,7 +103,8 @@ class WordEncoder:
             if self._known(part):
                 continue
             stem = part.rstrip(self.PUNCTUATION)
-            if stem and len(stem) < len(part) and stem[-1] < "ɐ" and stem[-1].isalpha():
+            # A letter whose lower case is several characters would be joined with what follows.
+            if stem and len(stem) < len(part) and stem[-1] < "ɐ" and stem[-1].isalpha() and len(stem[-1].lower()) == 1:
                 tails[part] = part[len(stem):]
             else:
                 stem = part

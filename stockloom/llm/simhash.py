@@ -170,6 +170,13 @@ def links(distinct: DataFrame) -> DataFrame:
         cells.groupBy("bucket", "a", "b").applyInPandas(verify, "u long, v long"))
 
 
+def _classes(known: DataFrame) -> DataFrame:
+    """(fp, root): the class of every fingerprint of ``known``, named by one of its fingerprints."""
+    distinct = known.select("fp").distinct()
+    roots = components(links(distinct))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id (smallest doc_id of the class) of every row.
 
@@ -179,23 +186,27 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """
     known = staged(fingerprints(docs, words), "fingerprints")
     distinct = known.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(distinct.select("fp")))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = distinct.join(_classes(known), "fp")
     classes = named.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = named.join(classes, "root").select("fp", "component_id")
     return known.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """One row of each class: the one with the class's smallest doc_id; all input columns stay.
+    """One row of each class, the one with the smallest doc_id, then the smallest text hash; all input columns stay.
 
-    Of rows that share this doc_id one stays (least text hash). Rows without an id stay.
+    Rows are judged by their own text: a repeated doc_id loses only the rows whose class has an earlier one.
+    Rows without an id come last in their class, so one stays only if no row of the class has an id. Null and empty
+    texts are one class. Of rows equal in id and text one stays. No rows: no rows.
     """
-    classes = staged(near_duplicates(docs, words), "classes")
-    lost = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(lost, "doc_id", "left_anti").select(docs.columns)
-    ids = classes.where("doc_id is not null").groupBy("doc_id").count()
-    if ids.where("count > 1").limit(1).count():
-        order = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-        kept = kept.withColumn("_nth", F.row_number().over(order)).where("_nth = 1 or doc_id is null").drop("_nth")
-    return kept
+    mark = F.xxhash64("text")
+    known = staged(fingerprints(docs.withColumns({"doc_id": F.struct(
+        F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("id"), mark.alias("mark"))}), words), "fingerprints")
+    first = known.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    kept = staged(first.join(_classes(known), "fp").groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.id").alias("keep_id"), F.col("first.mark").alias("keep_mark")), "kept")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"), mark.alias("mark"))
+    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("mark") == F.col("keep_mark")), "left_semi")
+    if known.groupBy("doc_id").count().where("count > 1").limit(1).count():   # equal in id and text: a window over few rows
+        rows = rows.withColumn("nth", F.row_number().over(W.partitionBy("id", "mark").orderBy("mark"))).where("nth = 1")
+    return rows.select("row.*")

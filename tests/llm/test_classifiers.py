@@ -33,6 +33,11 @@ def test_language_of_awkward_texts(spark):
     assert langid.fit_dictionaries(train.limit(0)) == {} and langid.identify(docs.limit(0), held).count() == 0
 
 
+def test_language_keeps_columns_with_any_names(spark):
+    docs = spark.createDataFrame([(1, "the text", 2, 3, 4)], "doc_id long, text string, _named int, `a.b` int, row int")
+    assert langid.identify(docs, {"en": b"the text of a language"}).columns == [*docs.columns, "lang_pred", "score", "accepted"]
+
+
 def test_toxicity_of_held_out_documents(spark):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     found = queries.QUERIES["op9_toxicity"](spark, DATA).join(labels, "doc_id").where("held_out").collect()

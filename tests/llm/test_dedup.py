@@ -66,10 +66,22 @@ def test_simhash_repeated_and_null_ids_and_no_rows(spark):
     assert sorted((r["doc_id"] or -1, r["component_id"]) for r in found) == [(-1, 7), (-1, 9), (7, 7), (7, 7), (9, 9)]
     kept = simhash.drop_near_duplicates(rows_with_extras(spark, rows))
     assert kept.columns == ["doc_id", "text", "ck", "n_words", "fp"]
-    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, -1, 7, 9]
+    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [7, 9]
     assert simhash.near_duplicates(rows_with_extras(spark, rows).limit(0)).count() == 0
 
 
+def test_near_duplicates_are_dropped_row_by_row(spark):
+    """A repeated id loses only the rows whose class has an earlier one; any column names stay."""
+    text, other = "one two three four five", "quite another text stands here alone"
+    rows = [(1, text), (5, text), (5, other), (None, other), (None, "only a row without an id has this"), (6, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3, 4) for i, t in rows], "doc_id long, text string, _nth int, `a.b` int, fp int, mark int")
+    kept = simhash.drop_near_duplicates(docs.repartition(3))
+    assert kept.columns == docs.columns
+    assert sorted(((r[0], r[1]) for r in kept.collect()), key=repr) == sorted(
+        [(1, text), (5, other), (None, "only a row without an id has this"), (6, None)], key=repr)
+    assert simhash.drop_near_duplicates(docs.limit(0)).count() == 0
+
+
 def test_large_buckets_lose_no_link(monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 3)
     batch = pa.RecordBatch.from_pydict({"bucket": pa.array([1] + [5] * 9 + [6, 6, 8], pa.int64()),

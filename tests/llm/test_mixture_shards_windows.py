@@ -119,7 +119,7 @@ def tokenizer():
 def test_packing_round_trip(spark, tokenizer):
     rng = random.Random(4)
     odd = ["Don't STOP, the 12,345.67 É’s ıİ ﬁ Σας!!! ... ,. a.b. x\x01y \x01 z", "tab\tnew\nline\r\x0b   　 end.", "<|endoftext|> it's",
-           "é ́x e,́ café. É, é. ß.", None, "", "same"]
+           "é ́x e,́ café. É, é. ß.", None, "", "same", "... ŞEHRİ. İ! İ, aİ; Iİ.) BİR"]
     rows = [(i, t, None) for i, t in enumerate(odd)]
     rows += [(100 + i, " ".join(rng.choices(["alpha", "Beta,", "gamma.", "δέλτα", "12"], k=rng.choice([1, 30, 500, 9000]))), "s") for i in range(60)]
     rows += [(6, "same", "again"), (None, "no id", None)]

@@ -72,7 +72,7 @@ PAGE = """<!DOCTYPE html><html class="menu"><head><title>No &amp; title</title><
 
 def test_page_with_an_article():
     blocks = html_extract.page_blocks(PAGE)
-    assert [t for k, t in blocks if k == html_extract.CONTENT] == [
+    assert [t for k, t in blocks if k in (html_extract.CONTENT, html_extract.TITLE)] == [
         "Café <b>", "One two three four", "five", "six A", "x", "y", "1 2"]
 
 
@@ -94,6 +94,30 @@ def test_furniture_beside_an_article_goes(part):
     assert blocks == [(html_extract.CONTENT, "The story"), (html_extract.FURNITURE, "x")]
 
 
+def main_text(page):
+    blocks = html_extract.page_blocks(page)
+    return html_extract.kept_blocks("".join(str(k) for k, _ in blocks), "\n".join(t for _, t in blocks), np.zeros(0, np.int64))
+
+
+def test_parts_of_names_do_not_drop_paragraphs_of_an_article():
+    page = ('<article><p class="sidebar-free">a</p><p id="notice-of-intent">b</p><span class="share-price">c</span>'
+            '<p class="notice">gone</p><div class="share-buttons">gone</div><ul class="related-posts"><li>gone</ul><p>d</article>')
+    assert main_text(page) == ["a", "b", "c", "d"]
+
+
+def test_heading_beside_an_article():
+    assert main_text("<header><h1>Site</h1></header><h1>The <b>story</b></h1><article><p>text</article>") == ["The story", "text"]
+    assert main_text("<h1>Site</h1><article><h1>The story</h1><p>text</article>") == ["The story", "text"]
+    assert main_text("<h1>Site</h1><h1>Story</h1><p>by me</p><main><p>text</main><h1>More</h1>") == ["Story", "text"]
+    assert main_text("<h1>Story</h1><p>text</p>") == ["Story", "text"]
+
+
+@pytest.mark.parametrize("open_", ["<nav>", "<aside>", '<div class="menu">', "<form>"])
+def test_furniture_that_is_never_closed_ends_at_the_article(open_):
+    assert main_text(f"<body>{open_}<a>Home</a><article><p>The story</article><footer>x</footer>") == ["The story"]
+    assert main_text(f"<article><p>The story</p>{open_}<a>Home</a></article><main>More</main>") == ["The story", "More"]
+
+
 def test_formulas_stay_and_drawings_go():
     page = ("<article>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='tex'>x^2</annotation></math> and <svg><text>no</text></svg>"
             "<svg/> more</article>")
@@ -202,6 +226,11 @@ def test_fingerprints_of_few_and_repeated_and_null_ids(spark):
     assert imatch.edited_fingerprints(rows.where("doc_id is null")).count() == 2
 
 
+def test_columns_with_any_names_stay(spark):
+    docs = spark.createDataFrame([(1, "some words", 2, 3, 4)], "doc_id long, text string, _whole int, row int, `a.b` int")
+    assert imatch.fingerprint(docs, ["words"]).columns == [*docs.columns, "slots", "fingerprint"]
+
+
 def test_lexicon_is_the_band_of_document_frequency(spark):
     texts = ["the A", "the a b", "the B c c", "the d", "the b", "the", None]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
