@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockloom import fixed_values as V
-from stockloom.operators import additive, arima, forecast as C, smoothing, trees
+from stockloom.operators import additive, arima, forecast as C, piecewise, smoothing, trees
 from stockloom.operators import backtest as D
 from stockloom.operators import intervals as I
 from stockloom.operators import inventory as G
@@ -28,6 +28,7 @@ MODELS = {
     "arima": lambda df, h, **p: as_forecast(arima.arima(df, h, **p)),
     "ets": lambda df, h, **p: as_forecast(smoothing.ets(df, h, **p)),
     "additive": lambda df, h, **p: as_forecast(additive.additive_regression(df, h, **p)),
+    "piecewise": lambda df, h, **p: as_forecast(piecewise.piecewise_regression(df, h, **p)),
     "trees_recursive": _recursive,
     "trees_direct": _direct,
 }
@@ -45,7 +46,8 @@ def forecast(panel: DataFrame, model: str, horizon: int, **parameters) -> DataFr
     return C.with_fallback(made, C.naive(panel, horizon))
 
 
-WALKED = {"arima": arima.arima, "ets": smoothing.ets, "additive": additive.additive_regression}
+WALKED = {"arima": arima.arima, "ets": smoothing.ets, "additive": additive.additive_regression,
+          "piecewise": piecewise.piecewise_regression}
 
 
 def backtest(

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from stockloom import fixed_values as V
 from stockloom.functions.metrics import ALL
-from stockloom.operators import additive, arima, backtest as D, boosting, features as B, forecast as C, smoothing, trees
+from stockloom.operators import (
+    additive, arima, backtest as D, boosting, features as B, forecast as C, piecewise, smoothing, trees)
 from stockloom.operators.series_fit import as_forecast
 from stockloom.plans.forecasting import backtest
 from stockloom.registry.base import query, rounded
@@ -100,6 +101,37 @@ def arima_higher_order(retail):
     return rounded(as_forecast(arima.arima(retail.series, H, (2, 1, 2))).drop("origin"))
 
 
+@query("c04_arima_estimated")
+def arima_estimated(retail):
+    """ARIMA(1, 1, 1) by Gauss-Newton steps from the grid's best."""
+    return rounded(as_forecast(arima.arima(retail.series, H, estimate=True), ("phi_1", "theta_1", "sse")).drop("origin"))
+
+
+AR2_ORIGINS = (28, 7)   # first origin and step
+
+
+# Least squares on running sums at every origin, with the prior's inverse on the diagonal.
+@query("c04_ar2_every_origin", f"""
+SELECT store_id, item_id, CAST(o AS INTEGER) AS origin, round(phi_1, 4) AS phi_1, round(phi_2, 4) AS phi_2,
+  round(list_reduce([{{'y': 0.0::DOUBLE, 'w': 0.0::DOUBLE, 'v': 0.0::DOUBLE}} FOR k IN range({H})], lambda made, k: {{
+    'y': made.y + phi_1 * made.w + phi_2 * made.v, 'w': phi_1 * made.w + phi_2 * made.v, 'v': made.w}},
+    {{'y': y::DOUBLE, 'w': w::DOUBLE, 'v': w1::DOUBLE}}).y, 3) AS last_yhat
+FROM fits
+""", f"""
+changes AS (SELECT store_id, item_id, day_no AS o, sales AS y, sales - lag(sales) OVER s AS w, count(*) OVER (PARTITION BY store_id, item_id) AS n
+  FROM panel WINDOW s AS ({ORDER})),
+lagged AS (SELECT *, lag(w) OVER s AS w1, lag(w, 2) OVER s AS w2 FROM changes WINDOW s AS (PARTITION BY store_id, item_id ORDER BY o)),
+sums AS (SELECT *, sum(w1 * w1) OVER s + 1e-6 AS a, sum(w1 * w2) OVER s AS b, sum(w2 * w2) OVER s + 1e-6 AS c, sum(w1 * w) OVER s AS d, sum(w2 * w) OVER s AS e
+  FROM (SELECT *, w2 IS NOT NULL AS known FROM lagged) WHERE known WINDOW s AS (PARTITION BY store_id, item_id ORDER BY o)),
+fits AS (SELECT *, (c * d - b * e) / (a * c - b * b) AS phi_1, (a * e - b * d) / (a * c - b * b) AS phi_2 FROM sums
+  WHERE o >= {AR2_ORIGINS[0]} AND o <= n - {H} AND (o - {AR2_ORIGINS[0]}) % {AR2_ORIGINS[1]} = 0)""")
+def ar2_every_origin(retail):
+    """AR(2) on daily changes, fitted anew at every origin by one recursive walk."""
+    made = arima.arima(retail.series, H, (2, 1, 0), backtest=AR2_ORIGINS)
+    return made.select(*V.SERIES, "origin", F.round("phi_1", 4).alias("phi_1"), F.round("phi_2", 4).alias("phi_2"),
+                       F.round(F.element_at("path", -1), 3).alias("last_yhat"))
+
+
 ETS_FIT = f"""
 grid AS (SELECT * FROM (SELECT unnest({smoothing.LEVEL_GRID}::DOUBLE[]) AS alpha)
   CROSS JOIN (SELECT unnest({smoothing.TREND_GRID}::DOUBLE[]) AS beta)),
@@ -192,6 +224,29 @@ def additive_regression(retail):
     return rounded(as_forecast(additive.additive_regression(retail.series, H)).drop("origin"))
 
 
+@query("c06_running_moments", f"""
+SELECT store_id, item_id, CAST(t + 1 AS INTEGER) AS day, is_origin, round(total, 3) AS total, round(moment, 2) AS moment,
+  round(squares, 2) AS squares, round(week_wave, 3) AS week_wave, round(year_wave, 3) AS year_wave
+FROM (SELECT *, day_no - 1 AS t, sum(sales) OVER s AS total, sum((day_no - 1) * sales) OVER s AS moment, sum(sales * sales) OVER s AS squares,
+    sum(sales * sin(2 * pi() * date_diff('day', DATE '1970-01-01', date) / 7.0)) OVER s AS week_wave,
+    sum(sales * cos(2 * pi() * 10 * date_diff('day', DATE '1970-01-01', date) / 365.25)) OVER s AS year_wave,
+    day_no >= 28 AND day_no <= (SELECT max(day_no) FROM panel) - {H} AND (day_no - 28) % 7 = 0 AS is_origin
+  FROM panel WINDOW s AS ({ORDER}))
+WHERE is_origin OR (t + 1) % {piecewise.SPACING} = 0
+""")
+def running_moments(retail):
+    """The sums that the piecewise fit of every origin is a difference of."""
+    sums = piecewise.running_moments(retail.series, H, backtest=(28, 7))
+    return sums.select(*V.SERIES, F.col("day").cast("int").alias("day"), "is_origin", F.round("total", 3).alias("total"),
+                       F.round("moment", 2).alias("moment"), F.round("squares", 2).alias("squares"),
+                       F.round(F.element_at("waves", 1), 3).alias("week_wave"), F.round(F.element_at("waves", -1), 3).alias("year_wave"))
+
+
+@query("c06_piecewise_regression")
+def piecewise_regression(retail):
+    return rounded(as_forecast(piecewise.piecewise_regression(retail.series, H), ("slope", "bends")).drop("origin"))
+
+
 TREE_HORIZON = 14
 
 
