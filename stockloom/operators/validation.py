@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,8 @@ from stockloom.errors import (
     DataValidationError, EmptyDataFrameError, InvalidSKUError, InvalidStoreError,
 )
 from stockloom.operators.panel import day_columns
-from stockloom.plans.ordered import exact_quantiles
+from stockloom.plans.ordered import count_quantiles
+from stockloom.session import scratch_path
 from stockloom.sources.retail import RetailTables
 
 # Exclusive bounds of the integer types, narrowest first.
@@ -85,15 +86,25 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 
 def describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, std, min, exact quartiles and max per numeric column."""
-    moments = _one_row_per_column(df, {
-        c: {
-            "count": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c),
-            "min": F.min(F.col(c).cast("double")), "max": F.max(F.col(c).cast("double")),
-        } for c in columns})
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
-    return moments.join(quartiles, "column").select(
-        "column", "count", "mean", "std", "min",
+    """count, mean, std, min, exact quartiles and max per numeric column, from one scan.
+
+    Equal values of all columns are counted together and the counts are stored; everything else comes from them.
+    """
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns)))
+    path = scratch_path(df.sparkSession, "value-counts")
+    df.select(pairs.alias("pair")).select("pair.*").where(F.col("value").isNotNull()).groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("n")).write.parquet(path)
+    counts = df.sparkSession.read.parquet(path)
+    sums = counts.groupBy("column").agg(
+        F.sum("n").alias("count"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"))
+    # Squares around the mean, so that large values far from zero lose no digits.
+    spread = counts.join(F.broadcast(sums.select("column", "mean")), "column").groupBy("column").agg(
+        F.sum(F.col("n") * (F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean"))).alias("squares"))
+    quartiles = count_quantiles(counts, [0.25, 0.5, 0.75])
+    named = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return named.join(sums, "column", "left").join(spread, "column", "left").join(quartiles, "column", "left").select(
+        "column", F.coalesce("count", F.lit(0)).alias("count"), "mean",
+        F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1))).alias("std"), "min",
         F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max")
 
 
@@ -170,28 +181,37 @@ def findings(tables: RetailTables) -> DataFrame:
     require = {
         "calendar": V.CALENDAR_REQUIRED, "sell_prices": V.PRICES_REQUIRED, "sales": V.SALES_REQUIRED}
     deciding = {
-        "sell_prices": ("invalid_prices", non_positive_prices), "sales": ("negative_sales", negative_sales)}
-    parts = []
-    for dataset, df in named.items():
-        missing = len(missing_columns(df, require[dataset]))
-        one = df.sparkSession.range(1)
-        parts.append(_finding(one, dataset, "missing_columns", F.lit(missing), F.lit(missing == 0)))
-        undecided = F.lit(None).cast("boolean")
-        for check, result in (("rows", table_shape(df).select("rows")), ("null_cells", null_cells(df)),
-                              ("duplicates", duplicate_count(df))):
-            parts.append(_finding(result, dataset, check, F.col(result.columns[0]), undecided))
-        if dataset in deciding:
-            check, operator = deciding[dataset]
-            result = operator(df)
-            count = F.col(result.columns[0])
-            parts.append(_finding(result, dataset, check, count, count == 0))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _finding(df: DataFrame, dataset: str, check: str, value, passed) -> DataFrame:
-    return df.select(
-        F.lit(dataset).alias("dataset"), F.lit(check).alias("check"),
-        value.cast("bigint").alias("value"), passed.alias("passed"))
+        "sell_prices": ("invalid_prices", "sell_price"), "sales": ("negative_sales", "sales")}
+    return reduce(DataFrame.unionByName, (
+        _checks(dataset, df, missing_columns(df, require[dataset]), deciding.get(dataset)) for dataset, df in named.items()))
+
+
+def _checks(dataset: str, df: DataFrame, missing: list[str], deciding: tuple | None) -> DataFrame:
+    """The rows of one table's checks from one pass: equal rows are counted together, which also tells the repeats."""
+    nulls = reduce(lambda a, b: a + b, (F.col(f"`{c}`").isNull().cast("long") for c in df.columns), F.lit(0))
+    bad = bad_cells(df, deciding[1]) if deciding else F.lit(0)
+    counted = df.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count(F.lit(1)).alias("_copies"))
+    total = lambda value: F.coalesce(F.sum(F.col("_copies") * value), F.lit(0)).cast("bigint")
+    sums = counted.agg(total(F.lit(1)).alias("rows"), total(nulls).alias("null_cells"),
+                       F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("bigint").alias("duplicates"), total(bad).alias("bad"))
+    undecided = F.lit(None).cast("boolean")
+    lines = [("missing_columns", F.lit(len(missing)), F.lit(not missing)), ("rows", F.col("rows"), undecided),
+             ("null_cells", F.col("null_cells"), undecided), ("duplicates", F.col("duplicates"), undecided)]
+    if deciding:
+        lines.append((deciding[0], F.col("bad"), F.col("bad") == 0))
+    return sums.select(F.inline(F.array(*(
+        F.struct(F.lit(dataset).alias("dataset"), F.lit(check).alias("check"), value.cast("bigint").alias("value"), passed.alias("passed"))
+        for check, value, passed in lines))))
+
+
+def bad_cells(df: DataFrame, kind: str) -> Column:
+    """Number of a row's cells that break the table's rule: prices not above 0, or sales below 0 (all day columns)."""
+    if kind == "sell_price":
+        return F.coalesce((F.col("sell_price") <= 0).cast("long"), F.lit(0))
+    days = day_columns(df)
+    if not days:
+        return F.coalesce((F.col("sales") < 0).cast("long"), F.lit(0))
+    return F.size(F.filter(F.array(*days), lambda cell: cell < 0)).cast("long")
 
 
 def overall_status(checks: DataFrame) -> DataFrame:

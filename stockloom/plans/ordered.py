@@ -92,3 +92,15 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
             for i, p in enumerate(probabilities)
         )).select(F.lit(name).alias("column"), "*"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def count_quantiles(counts: DataFrame, probabilities: list[float]) -> DataFrame:
+    """One row ``(column, q0, q1, ...)`` from value counts ``(column, value, n)``, exact; NaN counts as missing.
+
+    All columns share one running total; its ranges are cut by values of all of them.
+    """
+    kept = counts.where(~F.isnan("value"))
+    ranked = running_totals(kept, ["column"], "value", ["n"], split_points(kept, "value"))
+    totals = kept.groupBy("column").agg(F.sum("n").alias("_total"))
+    return ranked.join(F.broadcast(totals), "column").groupBy("column").agg(*(
+        quantile_at(F.col("value"), F.col("n_before"), F.col("n"), F.col("_total"), p).alias(f"q{i}") for i, p in enumerate(probabilities)))

@@ -10,7 +10,7 @@ from stockloom import fixed_values as V
 from stockloom.functions import normal
 from stockloom.operators import (
     boosting,
-    backtest as D, drift as H, explain as X, features as B, forecast as C, hierarchy as E,
+    backtest as D, deep_tree, drift as H, explain as X, features as B, forecast as C, hierarchy as E,
     intervals as I, inventory as G, trees,
 )
 from stockloom.plans import planning
@@ -123,6 +123,40 @@ def least_squares(retail):
     return rounded(E.least_squares(_base(retail), _mapping(retail), STEPS))
 
 
+_LEVELS = ["", " || '/' || state_id", " || '/' || state_id || '/' || store_id", " || '/' || state_id || '/' || store_id || '/' || item_id"]
+_DEEP = ["""
+paths AS (SELECT DISTINCT state_id, store_id, item_id FROM panel)""", "deep_days AS (" + " UNION ALL ".join(
+    f"SELECT {k} AS level, 'Total'{path} AS node, day_no, sum(sales) AS sales FROM panel GROUP BY ALL" for k, path in enumerate(_LEVELS)) + ")", """
+deep_base AS (
+  SELECT level, node, step, avg(sales) AS own FROM deep_days, node_ends, coming
+    WHERE (level IN (0, 2) AND day_no > n - 28) OR (level = 1 AND day_no > n - 7) GROUP BY ALL
+  UNION ALL SELECT level, node, step, sales FROM deep_days, node_ends, coming
+    WHERE level = 3 AND day_no = n - 7 + (step - 1) % 7 + 1),
+deep_nodes AS (SELECT *, CASE WHEN level > 0 THEN regexp_replace(node, '/[^/]*$', '') END AS parent FROM deep_base),
+up3 AS (SELECT *, CAST(NULL AS DOUBLE) AS held, CAST(NULL AS DOUBLE) AS spread, own AS total, 1.0::DOUBLE AS variance FROM deep_nodes WHERE level = 3)""",
+         *(f"""
+up{k} AS (SELECT n.*, held, spread, (held + spread * own) / (1 + spread) AS total, spread / (1 + spread) AS variance FROM deep_nodes n
+  JOIN (SELECT parent AS node, step, sum(total) AS held, sum(variance) AS spread FROM up{k + 1} GROUP BY ALL) USING (node, step) WHERE level = {k})"""
+           for k in (2, 1, 0)), "down0 AS (SELECT *, total AS yhat FROM up0)", *(f"""
+down{k} AS (SELECT u.*, u.total + u.variance * (a.yhat - a.held) / a.spread AS yhat FROM up{k} u JOIN down{k - 1} a ON a.node = u.parent AND a.step = u.step)"""
+           for k in (1, 2, 3))]
+
+
+@query("e04_any_depth", " UNION ALL ".join(
+    f"SELECT node, CAST({k} AS INTEGER) AS level, step, round(greatest(0, yhat), 6) AS yhat FROM down{k}" for k in range(4)), COMING, NODES, *_DEEP)
+def any_depth(retail):
+    """Total, states, stores and their products made to agree in one least-squares solution."""
+    nested = ["state_id", "store_id", "item_id"]
+    parents = deep_tree.path_parents(retail.series, nested)
+    paths = F.array(*(F.struct(F.lit(str(k)).alias("store_id"), F.concat_ws("/", F.lit("Total"), *nested[:k]).alias("item_id")) for k in range(4)))
+    days = retail.series.select("date", F.col("sales").cast("double").alias("sales"), F.explode(paths).alias("node")).groupBy(
+        "node.store_id", "node.item_id", "date").agg(F.sum("sales").alias("sales"))
+    level = F.col("store_id")
+    base = C.from_tails(C.tails(days, 28), STEPS, lambda tail, step: (
+        F.when(level.isin("0", "2"), C.mean_of_last(tail, 28)).when(level == "1", C.mean_of_last(tail, 7)).otherwise(C.seasonal_value(tail, step))))
+    return rounded(deep_tree.reconcile(base.select(F.col("item_id").alias("node"), "step", "yhat"), parents))
+
+
 @query("e05_historical_shares", "SELECT store_id, round(share, 9) AS share FROM shares", SHARES)
 def historical_shares(retail):
     return rounded(E.historical_shares(retail.series), 9)
@@ -166,13 +200,13 @@ def intervals_by_series(retail):
 
 
 @query("f03_sigma_fallback", """
-SELECT store_id, item_id, step, round(greatest(1, 0.15 * avg(yhat) OVER (PARTITION BY store_id, item_id)), 6) AS sigma
-FROM seasonal
-""", LAST, COMING, SEASONAL)
+SELECT store_id, item_id, step, round(CASE WHEN coalesce(m, 0) > 1 THEN sigma
+  ELSE greatest(1, 0.15 * avg(yhat) OVER (PARTITION BY store_id, item_id)) END, 6) AS sigma
+FROM seasonal LEFT JOIN spread USING (store_id, item_id)
+""", LAST, COMING, SEASONAL, RESIDUALS)
 def sigma_fallback(retail):
-    # No series has residuals, so every one takes the fallback.
-    spread = I.residual_spread(I.seasonal_residuals(retail.series, warmup=10**9))
-    made = I.prediction_intervals(C.seasonal_naive(retail.series, STEPS), spread)
+    """Sigma of every series: of its residuals where it has two or more, of its forecast where it has not."""
+    made = I.prediction_intervals(C.seasonal_naive(retail.series, STEPS), I.residual_spread(I.seasonal_residuals(retail.series)))
     return rounded(made.select(*V.SERIES, "step", "sigma"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stockloom.operators import validation as A
 from stockloom.registry.base import StarRetail, query, rounded
 from stockloom.session import scratch_path
+from stockloom.sources import quarantine as Q
 from stockloom.sources import retail as R
 
 
@@ -23,6 +24,31 @@ def read_csv(retail):
     return rounded(R.read_table(retail.spark, path), 9)
 
 
+# Every week of a series is written once; by its number a cell is spoiled, left out, made negative or repeated.
+_PLANTED = """
+planted AS (SELECT store_id, item_id, wm_yr_wk, CASE wm_yr_wk % 10 WHEN 1 THEN 'x' || sell_price WHEN 2 THEN '' WHEN 3 THEN '-1.0'
+    ELSE '9.5' END AS cell, wm_yr_wk % 10 AS kind FROM prices)"""
+
+
+@query("a14_quarantine", """
+SELECT 'clean' AS what, item_id, CAST(count(*) AS BIGINT) AS "rows", CAST(sum(wm_yr_wk) AS BIGINT) AS weeks FROM planted
+  WHERE kind NOT IN (1, 2, 3) GROUP BY ALL
+UNION ALL SELECT CASE kind WHEN 1 THEN 'unreadable line' WHEN 2 THEN 'no sell_price' WHEN 3 THEN 'price not above 0' ELSE 'repeated key' END,
+  item_id, count(*), sum(wm_yr_wk) FROM planted WHERE kind IN (1, 2, 3, 4) GROUP BY ALL
+""", _PLANTED)
+def quarantine(retail):
+    """Good rows and rejects by reason, from one reading of a price file with planted faults."""
+    kind = F.col("wm_yr_wk") % 10
+    cell = F.when(kind == 1, F.concat(F.lit("x"), F.col("sell_price").cast("string"))).when(kind == 2, F.lit(None)).when(
+        kind == 3, F.lit("-1.0")).otherwise(F.lit("9.5"))
+    rows = retail.prices.withColumn("sell_price", cell).withColumn("copies", F.explode(F.when(kind == 4, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    path = _csv_copy(retail, "sell_prices.csv", rows.select("store_id", "item_id", "wm_yr_wk", "sell_price"))
+    clean, rejects = Q.read_judged(retail.spark, path, Q.PRICE_RULES)
+    named = clean.withColumn("what", F.lit("clean")).unionByName(
+        rejects.withColumn("what", F.explode("reasons")).drop("file", "line", "reasons"))
+    return named.groupBy("what", "item_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("wm_yr_wk").cast("bigint").alias("weeks"))
+
+
 @query("a02_load_tables", """
 SELECT 'calendar' AS dataset, count(*) AS "rows", sum(wday) AS checksum FROM calendar
 UNION ALL SELECT 'sell_prices', count(*), sum(wm_yr_wk) FROM prices
