@@ -104,8 +104,7 @@ terms AS (
   SELECT doc_id, k, t, list_distinct(list_filter(string_split_regex(lower(t), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS terms FROM v),
 lexicon AS (
   SELECT term FROM (SELECT unnest(terms) AS term FROM terms WHERE k = 0) GROUP BY term
-  HAVING count(*) > 1 AND count(*) <= greatest((SELECT count(*) FROM d) * 0.05, 2.0)
-  ORDER BY count(*) DESC, term LIMIT 4096),
+  HAVING count(*) > 1 AND count(*) <= greatest((SELECT count(*) FROM d) * 0.05, 2.0) AND count(*) >= (SELECT count(*) FROM d) * 0.0005),
 kept AS (
   SELECT doc_id, k, term, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 32 AS s
   FROM (SELECT doc_id, k, unnest(terms) AS term FROM terms) JOIN lexicon USING (term)),

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stockloom.llm import html_extract, imatch, queries, vptree
 
@@ -192,7 +193,7 @@ def test_suffix_array_finds_the_runs_that_pages_share():
 
 
 def test_edited_texts_and_fingerprints(spark, monkeypatch):
-    monkeypatch.setattr(imatch, "PER_BUCKET", 7)
+    monkeypatch.setattr(imatch, "PER_STRETCH", 7)
     rng = random.Random(9)
     words = [f"w{i}" for i in range(300)]
     texts = {3 * i: " ".join(rng.choices(words, k=rng.choice([0, 1, 5, 60]))) for i in range(80)}
@@ -228,7 +229,8 @@ def test_fingerprints_of_few_and_repeated_and_null_ids(spark):
 
 def test_columns_with_any_names_stay(spark):
     docs = spark.createDataFrame([(1, "some words", 2, 3, 4)], "doc_id long, text string, _whole int, row int, `a.b` int")
-    assert imatch.fingerprint(docs, ["words"]).columns == [*docs.columns, "slots", "fingerprint"]
+    words = spark.createDataFrame([("words", 3)], "term string, subset int")
+    assert imatch.fingerprint(docs, words).columns == [*docs.columns, "slots", "fingerprint"]
 
 
 def test_lexicon_is_the_band_of_document_frequency(spark):
@@ -238,5 +240,13 @@ def test_lexicon_is_the_band_of_document_frequency(spark):
     for t in texts:
         for w in set(re.findall(r"\w+", (t or "").lower())):
             count[w] = count.get(w, 0) + 1
-    band = sorted((w for w, n in count.items() if 1 < n <= max(2, 0.45 * len(texts))), key=lambda w: (-count[w], w))
-    assert imatch.lexicon(docs, common=0.45) == band and imatch.lexicon(docs, common=0.45, most=1) == band[:1] == ["b"]
+    for common, rare in ((0.45, 0.0), (0.9, 0.4), (0.9, 0.3), (0.01, 0.0)):
+        band = {w for w, n in count.items() if 1 < n <= max(2, common * len(texts)) and n >= rare * len(texts)}
+        assert {r["term"] for r in imatch.lexicon(docs, common, rare).collect()} == band
+
+
+def test_one_far_id_leaves_stretches_even(spark):
+    docs = spark.range(5_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text")).union(
+        spark.createDataFrame([(10**15, "t"), (None, "t")], "doc_id long, text string"))
+    held = imatch.with_next(docs).groupBy("bucket").count().collect()
+    assert max(r["count"] for r in held) <= 2 * imatch.PER_STRETCH and len(held) >= 5
