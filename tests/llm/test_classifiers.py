@@ -1,7 +1,10 @@
-"""Language identification and toxicity: held-out accuracy and the awkward rows."""
+"""Language identification and toxicity: held-out accuracy, plain recomputation and the awkward rows."""
+
+import math
 
 import numpy as np
 import pytest
+import zstandard
 
 from stockloom.llm import langid, queries, toxicity
 from stockloom.llm.common import id_remainder
@@ -70,6 +73,78 @@ def test_toxicity_of_awkward_texts(spark, small_model):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def plain_grams(text):
+    """Hashes of the distinct n-grams of a text, character by character, in whole numbers modulo 2^64."""
+    codes, found, whole = [ord(c) for c in f" {(text or '').lower()} "], set(), 1 << 64
+    for n in toxicity.GRAMS:
+        for start in range(len(codes) - n + 1):
+            held = n
+            for c in codes[start:start + n]:
+                held = (held * 0x9E3779B97F4A7C15 + c + 1) % whole
+            held ^= held >> 31
+            found.add((held * 0xBF58476D1CE4E5B9 % whole) >> (64 - toxicity.BITS))
+    return found
+
+
+def test_toxicity_scores_are_those_of_a_plain_loop(spark):
+    """On 200 documents: n-grams, naive Bayes ratios and the logistic of the weights, without any table or batch."""
+    given = spark.read.parquet(f"{DATA}/documents.parquet").orderBy("doc_id").limit(200).select("doc_id", "text")
+    rows = [(r["doc_id"], r["text"]) for r in given.collect()]
+    labels = spark.createDataFrame([(i, int("th" in (t or "")[:200])) for i, t in rows], "doc_id long, toxic int")
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    model = toxicity.fit(given, labels)
+    grams = {i: plain_grams(t) for i, t in rows}
+    totals, counts = [0, 0], {}
+    for i, held in grams.items():
+        totals[truth[i]] += 1
+        for g in held:
+            counts.setdefault(g, [0, 0])[truth[i]] += 1
+    share = lambda n, k: (n + 1) / (totals[k] + 2)
+    shifts = {g: (abs(math.log(share(b, 1) / share(a, 0))) * abs(share(b, 1) - share(a, 0))) for g, (a, b) in counts.items()
+              if a + b >= toxicity.MIN_DOCUMENTS}
+    least = sorted(shifts.values(), reverse=True)[min(len(shifts), toxicity.FEATURES) - 1]
+    kept = set(model.hashes.tolist())
+    assert len(kept) == min(len(shifts), toxicity.FEATURES) and all(shifts[g] >= least * (1 - 1e-9) for g in kept)
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist()))
+    # A weight is the log-count ratio times a coefficient of one sign-free regression: zero exactly where the ratio is.
+    for g in kept:
+        ratio = math.log(share(counts[g][1], 1) / share(counts[g][0], 0))
+        assert ratio != 0 or weight[g] == 0
+    for r in toxicity.score(given, model).collect():
+        total = model.intercept + sum(weight.get(g, 0.0) for g in grams[r["doc_id"]])
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+        assert r["predicted"] == int(r["score"] >= toxicity.THRESHOLD)
+
+
+def test_languages_are_those_of_the_smallest_compressed_size(spark):
+    """Sizes with each dictionary by the plain library, chunk by chunk, on 150 documents of all lengths."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    held = langid.fit_dictionaries(docs.where(id_remainder(5) != 0).select("doc_id", "text", "lang"))
+    some = docs.orderBy("doc_id").limit(150).select("doc_id", "text")
+    count = min(len([1 for i in range(0, len(d), -(-len(d) // langid.SLICES))]) for d in held.values())
+
+    def size(data, content):
+        plain = zstandard.ZstdCompressor(
+            level=langid.LEVEL, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+            write_checksum=False, write_content_size=False, write_dict_id=False)
+        return sum(len(plain.compress(data[i:i + langid.CHUNK])) for i in range(0, len(data), langid.CHUNK))
+
+    for r in langid.identify(some, held).collect():
+        if not r["text"] or not any(c.isalpha() for c in r["text"]):
+            assert r["lang_pred"] == "und"
+            continue
+        data, sizes = r["text"].lower().encode(), {}
+        for lang, content in held.items():
+            step = -(-len(content) // langid.SLICES)
+            parts = [content[i:i + step] for i in range(0, len(content), step)][:count] if len(data) <= langid.SHORT else [content]
+            sizes[lang] = sum(size(data, p) for p in parts)
+        best = min(sizes, key=lambda x: (sizes[x], x))
+        second = sorted(sizes.values())[1]
+        # The compressors of the operator are prepared ones; a prepared dictionary may cost a few bytes more or less.
+        assert r["lang_pred"] == best or sizes[r["lang_pred"]] <= sizes[best] * 1.01 + 3
+        assert r["score"] == pytest.approx((second - sizes[best]) / second, abs=0.02)
+
+
 def test_toxicity_without_both_classes(spark, small_model):
     docs, labels, _ = small_model
     assert toxicity.fit(docs, labels.where("toxic = 1")).constant == 1.0
