@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockloom import fixed_values as V
-from stockloom.operators import additive, arima, forecast as C, piecewise, smoothing, trees
+from stockloom.operators import additive, arima, forecast as C, piecewise, resumable, smoothing, trees
 from stockloom.operators import backtest as D
 from stockloom.operators import intervals as I
 from stockloom.operators import inventory as G
@@ -83,8 +83,18 @@ def plan_from_forecast(
     point: DataFrame, df: DataFrame, stock: DataFrame, confidence: float = V.INTERVAL_CONFIDENCE, **policy,
 ) -> DataFrame:
     """The planning table for any model's forecast rows."""
-    spread = I.residual_spread(I.seasonal_residuals(df))
+    return _plan(point, I.residual_spread(I.seasonal_residuals(df)), G.demand_stats(df), stock, confidence, policy)
+
+
+def plan_from_states(
+    states: DataFrame, stock: DataFrame, horizon: int, confidence: float = V.INTERVAL_CONFIDENCE, **policy,
+) -> DataFrame:
+    """The planning table by smoothing, from stored states alone: no sales row is read."""
+    return _plan(resumable.forecast(states, horizon), resumable.spread(states), resumable.demand(states), stock, confidence, policy)
+
+
+def _plan(point: DataFrame, spread: DataFrame, demand: DataFrame, stock: DataFrame, confidence: float, policy: dict) -> DataFrame:
     bands = I.prediction_intervals(point, spread, confidence).groupBy(*V.SERIES).agg(
         F.sum("p50").alias("forecast_sum"), F.sum("p10").alias("p10_sum"), F.sum("p90").alias("p90_sum"),
         F.first("sigma").alias("sigma"), F.max("date").alias("horizon_end"))
-    return G.policies(G.demand_stats(df).join(stock, V.SERIES), **policy).join(bands, V.SERIES)
+    return G.policies(demand.join(stock, V.SERIES), **policy).join(bands, V.SERIES)

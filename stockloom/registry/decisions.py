@@ -11,10 +11,10 @@ from stockloom.functions import normal
 from stockloom.operators import (
     boosting,
     backtest as D, deep_tree, drift as H, explain as X, features as B, forecast as C, hierarchy as E,
-    intervals as I, inventory as G, trees,
+    intervals as I, inventory as G, resumable, trees,
 )
 from stockloom.plans import planning
-from stockloom.plans.forecasting import forecast, plan_from_forecast
+from stockloom.plans.forecasting import forecast, plan_from_forecast, plan_from_states
 from stockloom.registry.base import query, rounded, stock_on_hand
 from stockloom.registry.features import FEATURE_SQL, LAGGED
 from stockloom.registry.forecasts import (
@@ -618,14 +618,27 @@ def planning_table(retail):
         "order_newsvendor", "expected_shortage", "inventory_health", "under_stock_alert"))
 
 
-@query("j02_planning_with_ets", f"""
+_PLAN_WITH_ETS = f"""
 SELECT store_id, item_id, round(forecast_sum, 6) AS forecast_sum, round(p10_sum, 6) AS p10_sum, round(p90_sum, 6) AS p90_sum,
   horizon_end, round(rop, 6) AS reorder_point, round(greatest(0, s_up - pos), 6) AS order_out
 FROM policy JOIN (SELECT store_id, item_id, sum(f) AS forecast_sum, max(last_date + step) AS horizon_end,
     sum(greatest(0, f - {_z(0.9)} * sigma)) AS p10_sum, sum(greatest(0, f + {_z(0.9)} * sigma)) AS p90_sum
   FROM (SELECT store_id, item_id, step, last_date, r.l + step * r.b AS f FROM best JOIN last USING (store_id, item_id) CROSS JOIN coming)
   JOIN spread USING (store_id, item_id) GROUP BY ALL) USING (store_id, item_id)
-""", LAST, COMING, RESIDUALS, POLICY, ETS_FIT)
+"""
+
+
+@query("j02_planning_resumed", _PLAN_WITH_ETS, LAST, COMING, RESIDUALS, POLICY, ETS_FIT)
+def planning_resumed(retail):
+    """Planning from stored states: the walk up to the day before the last, stored, then the last day alone."""
+    last = F.col("date") == retail.last_day
+    states = resumable.store(resumable.advance(None, retail.series.where(~last)))
+    states = resumable.store(resumable.advance(states, retail.series.where(last)))
+    return rounded(plan_from_states(states, stock_on_hand(retail.series), STEPS).select(
+        *V.SERIES, "forecast_sum", "p10_sum", "p90_sum", "horizon_end", "reorder_point", "order_out"))
+
+
+@query("j02_planning_with_ets", _PLAN_WITH_ETS, LAST, COMING, RESIDUALS, POLICY, ETS_FIT)
 def planning_with_ets(retail):
     point = forecast(retail.series, "ets", STEPS)
     table = plan_from_forecast(point, retail.series, stock_on_hand(retail.series))
