@@ -152,6 +152,12 @@ def ets(retail):
     return _rounded_fit(made)
 
 
+@query("c05_ets_estimated")
+def ets_estimated(retail):
+    """Smoothing with gains and first states estimated from the grid's best."""
+    return rounded(as_forecast(smoothing.ets(retail.series, H, estimate=True), ("alpha", "beta", "sse")).drop("origin"))
+
+
 # The state keeps the seven seasonal terms as a list whose first entry is the coming day's.
 ETS_SEASON_FIT = f"""
 grid AS (SELECT * FROM (SELECT unnest({smoothing.LEVEL_GRID}::DOUBLE[]) AS alpha)

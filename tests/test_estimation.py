@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from stockloom.operators import additive, arima, piecewise
+from stockloom.operators import additive, arima, piecewise, smoothing
 
 ONE = ("S", "I")
 
@@ -135,3 +135,44 @@ def test_piecewise_of_short_series(make_panel):
     made = piecewise.piecewise_regression(make_panel({ONE: [4.0, 6.0]}), 2).first()
     assert np.isfinite(made["path"]).all() and made["bends"] == 0
     assert piecewise.piecewise_regression(make_panel({ONE: [4.0] * 5}), 7, backtest=(3, 1)).count() == 0
+
+
+def loop_smoothing(y, a, g, d, level, trend, period):
+    """Sum of squares and forecasts of one series in plain Python."""
+    warmup = period or 1
+    mean = sum(y[:warmup]) / warmup
+    season = [v - mean for v in y[:warmup]] if period else [0.0]
+    total = 0.0
+    for day in range(warmup, len(y)):
+        error = y[day] - level - trend - season[day % warmup]
+        total += error * error
+        level, trend = level + trend + a * error, trend + g * error
+        season[day % warmup] += d * error if period else 0.0
+    return total, [level + trend * h + season[(len(y) + h - 1) % warmup] for h in (1, 2, 3)]
+
+
+@pytest.mark.parametrize("period", [None, 7])
+def test_estimated_smoothing_is_a_least_sum_never_above_the_grids(make_panel, period):
+    rng, t = np.random.default_rng(8), np.arange(90)
+    series = {("S", str(k)): (20 + 0.1 * k * t + 4 * np.sin(2 * np.pi * t / 7) + np.cumsum(rng.normal(size=90))).tolist() for k in range(4)}
+    panel = make_panel(series | {("S", "zero"): [0.0] * 90, ("S", "two"): [1.0, 4.0]})
+    grid = {r["item_id"]: r for r in smoothing.ets(panel, 3, period).collect()}
+    made = {r["item_id"]: r for r in smoothing.ets(panel, 3, period, estimate=True).collect()}
+    assert all(made[i]["sse"] <= grid[i]["sse"] + 1e-9 for i in map(str, range(4))) and made["0"]["sse"] < grid["0"]["sse"]
+    assert made["zero"]["path"] == pytest.approx([0.0] * 3)
+    if period is None:
+        assert made["two"]["path"] == pytest.approx(grid["two"]["path"])
+    values = np.array([series["S", str(k)] for k in range(4)])
+    warmup = period or 1
+    start = np.column_stack([np.full(4, 0.3), np.full(4, 0.03), np.full(4, 0.1 if period else 0.0), values[:, :warmup].mean(axis=1), np.zeros(4)])
+    gains, sse, state = smoothing.improved(values, start, period)
+    for y, found, total, level in zip(values, gains, sse, state[0]):
+        assert loop_smoothing(y.tolist(), *found, period)[0] == pytest.approx(total)
+        for k in (0, 1, 3, 4):   # no small step inside the region is better
+            for change in (1e-3, -1e-3):
+                near = found.copy()
+                near[k] += change
+                if 1e-4 <= near[0] <= 0.9999 and 0 <= near[1] <= near[0] and near[2] <= 1 - near[0]:
+                    assert loop_smoothing(y.tolist(), *near, period)[0] >= total * (1 - 1e-3)
+    with pytest.raises(ValueError):
+        smoothing.ets(panel, 3, backtest=(20, 5), estimate=True)
