@@ -12,18 +12,30 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told apart clearly; null, letterless and ambiguous texts go."""
+    """Documents whose language is told apart clearly; null, empty, letterless and ambiguous texts go.
+
+    Rows are judged one by one, so repeated rows and ids stay as often as they come; without rows there are none.
+    Every stage reads the columns of documents, whatever others stand beside them, and returns just these.
+    """
     learned = docs.where(id_remainder(5) != 0).select("doc_id", "text", "lang")
     return langid.identify(docs, langid.fit_dictionaries(learned)).where("accepted").select(COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One row of each group of near copies stays: the least id, then the least text hash.
+
+    A repeated id loses only rows whose group has an earlier one; rows without an id come last in their group; null
+    and empty texts are one group; without rows there are none.
+    """
     return simhash.drop_near_duplicates(docs).select(COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of repeated passages go; documents of which nothing is left go, too."""
+    """Words of repeated passages go; documents of which nothing is left go, too.
+
+    Rows without a repeated passage stay as they are, null texts included; equal rows repeat each other; n_chars is
+    counted anew where a text was cut; without rows there are none.
+    """
     kept = substring.remove_repeats(docs).where("n_removed = 0 or length(kept_text) > 0")
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return kept.withColumn("text", text).withColumn(
@@ -31,12 +43,16 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated to the sources' target weights, in mixed order."""
+    """Documents repeated to the sources' target weights, in mixed order.
+
+    The null source is a source of its own; equal rows get the same number of copies; null texts count as empty;
+    without rows there are none.
+    """
     return mixing.mix_sources(docs).select(COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in windows of 2048 ids."""
+    """Pieces of all documents in windows of 2048 ids; a null or empty text is its end mark alone, without rows there are none."""
     return packing.pack_documents(docs, with_ids=False)
 
 
