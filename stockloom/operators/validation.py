@@ -245,6 +245,32 @@ def report_lines(checks: DataFrame) -> DataFrame:
     return head.unionByName(body)
 
 
+def sample_lines(dataset: str, df: DataFrame, order: list[str], first: int, rows: int = 3, columns: int = 10) -> DataFrame:
+    """A table's shape and first rows as lines of a markdown report, numbered from ``first``."""
+    shown = df.columns[:columns]
+    bar = lambda cells: F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    size = df.agg(F.count(F.lit(1)).alias("n")).select(F.posexplode(F.array(
+        F.lit(""), F.concat(F.lit(f"## {dataset}: "), F.col("n").cast("string"), F.lit(f" rows, {len(df.columns)} columns")), F.lit(""),
+        bar([F.lit(c) for c in shown]), bar([F.lit("---") for _ in shown]))).alias("at", "line"))
+    # A handful of rows: the limit comes before the numbering.
+    sample = df.orderBy(*order).limit(rows).select(*shown, *(F.col(c).alias(f"_by{i}") for i, c in enumerate(order)))
+    place = F.row_number().over(Window.orderBy(*(f"_by{i}" for i in range(len(order)))))
+    cells = sample.select((place + 4).alias("at"), bar([F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in shown]).alias("line"))
+    return size.unionByName(cells).select((F.col("at") + first).alias("line_no"), "line")
+
+
+def full_report(tables: RetailTables, orders: dict[str, list[str]], rows: int = 3, columns: int = 10) -> DataFrame:
+    """The whole validation of three tables in one frame of numbered lines: status, every check, shapes and samples.
+
+    ``orders`` names the columns that each table's sample is ordered by. Write it with ``sources.retail.write_report``.
+    """
+    named = {"calendar": tables.calendar, "sell_prices": tables.prices, "sales": tables.sales}
+    parts = [report_lines(validate(tables)).select(F.col("line_no").cast("int").alias("line_no"), "line")]
+    for number, (dataset, df) in enumerate(named.items(), start=1):
+        parts.append(sample_lines(dataset, df, orders[dataset], 100 * number, rows, columns))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def reject_requests(requests: DataFrame, sales: DataFrame) -> DataFrame:
     """Requested series that cannot be planned, with the reason."""
     stores = sales.select("store_id").distinct().withColumn("known_store", F.lit(True))

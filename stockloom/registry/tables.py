@@ -245,18 +245,41 @@ def overall_status(retail):
     return A.overall_status(A.validate(_m5_tables(retail)))
 
 
-@query("a12_report", f"""
+_REPORT = f"""
 SELECT CAST(line_no AS INTEGER) AS line_no, line FROM (
   SELECT 5 + row_number() OVER (ORDER BY dataset, "check") AS line_no, '| ' || dataset || ' | ' || "check" || ' | ' || value
     || ' | ' || CASE WHEN passed IS NULL THEN 'info' WHEN passed THEN 'ok' ELSE 'FAILED' END || ' |' AS line FROM ({_FINDINGS})
   UNION ALL SELECT unnest(range(0, 6)), unnest(['# Table checks', '',
     CASE WHEN bool_and(passed) THEN 'Status: all checks passed' ELSE 'Status: ' || count(*) FILTER (NOT passed) || ' checks failed' END,
     '', '| dataset | check | value | result |', '| --- | --- | --- | --- |']) FROM ({_FINDINGS}))
-""")
+"""
+
+
+@query("a12_report", _REPORT)
 def report(retail):
     return A.report_lines(A.validate(_m5_tables(retail)))
 
 
+def _sample_sql(dataset: str, table: str, count: int, columns: list[str], order: str, first: int) -> str:
+    shown = " || ' | ' || ".join(f"CAST({c} AS VARCHAR)" for c in columns)
+    names, marks = " | ".join(columns), " | ".join("---" for _ in columns)
+    return f"""
+SELECT CAST({first} + unnest(range(0, 5)) AS INTEGER) AS line_no, unnest(['', '## {dataset}: ' || count(*) || ' rows, {count} columns', '',
+    '| {names} |', '| {marks} |']) AS line FROM {table}
+UNION ALL SELECT CAST({first} + 4 + row_number() OVER (ORDER BY {order}) AS INTEGER), '| ' || {shown} || ' |' FROM (SELECT * FROM {table} ORDER BY {order} LIMIT 3)"""
+
+
+@query("a12_full_report", " UNION ALL ".join([
+    f"SELECT * FROM ({_REPORT})", _sample_sql("calendar", "calendar", 14, ["date", "wm_yr_wk", "weekday"], "date", 100),
+    _sample_sql("sell_prices", "prices", 4, ["store_id", "item_id", "wm_yr_wk"], "store_id, item_id, wm_yr_wk", 200),
+    _sample_sql("sales", "(SELECT item_id || '_' || store_id || '_validation' AS id, item_id, item_id AS dept_id, day_no FROM panel)", 8,
+                ["id", "item_id", "dept_id"], "id, day_no", 300)]))
+def full_report(retail):
+    """The validation job in one frame: status, checks, shapes and the first rows of each table."""
+    return A.full_report(_m5_tables(retail), {
+        "calendar": ["date"], "sell_prices": ["store_id", "item_id", "wm_yr_wk"], "sales": ["id", "d"]}, columns=3)
+
+
 @query("a13_shape", """
 SELECT 'calendar' AS dataset, count(*) AS "rows", 14 AS columns, 0 AS day_columns FROM calendar
 UNION ALL SELECT 'sales_wide', count(*), CAST(6 + (SELECT count(*) FROM calendar) AS INTEGER),

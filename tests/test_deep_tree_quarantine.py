@@ -115,3 +115,11 @@ def test_numbers_are_described_from_one_scan(spark, tmp_path):
     alone = validation.describe_numbers(spark.createDataFrame([(1.0, None)], "a double, b double"), ["a", "b"])
     rows = {r["column"]: r for r in alone.collect()}
     assert rows["a"]["std"] is None and rows["a"]["p50"] == 1.0 and rows["b"]["count"] == 0 and rows["b"]["mean"] is None
+
+
+def test_sample_lines_show_shape_and_first_rows(spark):
+    df = spark.createDataFrame([("b", 2, None), ("a", 3, 1.5), ("c", 1, 2.5)], "k string, n int, x double")
+    lines = [r["line"] for r in validation.sample_lines("t", df, ["k"], 100, rows=2, columns=2).orderBy("line_no").collect()]
+    assert lines == ["", "## t: 3 rows, 3 columns", "", "| k | n |", "| --- | --- |", "| a | 3 |", "| b | 2 |"]
+    empty = validation.sample_lines("t", df.limit(0), ["k"], 0).orderBy("line_no").collect()
+    assert [r["line_no"] for r in empty] == [0, 1, 2, 3, 4] and "0 rows" in empty[1]["line"]
