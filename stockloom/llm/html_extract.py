@@ -3,13 +3,16 @@
 A page is cut into blocks. Blocks in an article or main element are content; blocks in menus, footers,
 forms and elements named after such parts are furniture. All other blocks are decided by their host: runs of
 ``RUN`` tokens and more in blocks outside articles that distinct pages share go. Only the unique runs stay.
-On a page with an article these blocks are not part of it.
+On a page with an article these blocks are not part of it; of the article, those runs go that more than half
+of the host's pages with an article have in theirs, four different articles at least: the site's own notices.
 
-Repeats alone cannot give right results: articles are copied from page to page and must stay, and a host
-with a single page repeats nothing. Hence marked structure decides where there is any.
+Repeats alone cannot give right results: articles are copied from page to page, quote each other and must stay,
+and a host with a single page repeats nothing. Hence marked structure decides where there is any, two articles
+that share a run prove nothing, and an article of which such runs are half or more is a copy and stays whole.
 
-Large hosts are dealt to parts of about ``GROUP_PAGES`` pages by a hash of the page, so no part grows with
-its host. Runs are first told apart inside the slices of pages that are read, by a suffix array; what each
+Large hosts are dealt to parts of about ``GROUP_PAGES`` rows by a hash of the row, so no part grows with
+its host. A run that most pages of a host have is one that most pages of some part have: parts name such runs
+by a suffix array over their articles, then every part counts what was named. Runs are first told apart inside the slices of pages that are read, by a suffix array; what each
 slice has is combined over the whole host by the runs' 64-bit hashes, and the host's repeated runs are sent
 to the parts that have them. How pages are dealt decides no result.
 """
@@ -32,6 +35,7 @@ from stockloom.llm.common import small
 
 RUN = 8              # tokens
 GROUP_PAGES = 256
+COMMON_ARTICLES = 4  # different articles that a host's notice stands in
 # Blocks: of an article, undecided, furniture, a first-level heading outside articles, one of an article.
 CONTENT, OTHER, FURNITURE, HEADLINE, TITLE = range(5)
 
@@ -232,8 +236,9 @@ def run_hashes(tokens: list[str], run: int) -> np.ndarray:
     return total.view(np.int64)
 
 
-def _shared_runs(pages: list[tuple[int, list[list[str]]]], run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, least page, greatest page) of each distinct run in the token lists of pages, from a suffix array."""
+def _runs(pages: list[tuple[int, list[list[str]]]], run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs in the token lists of pages, from a suffix array: the page of each, equal runs side by side; then
+    where each distinct run begins, whether it lies in one list, and its hash."""
     words: dict[str, int] = {}
     stream, owner, hashes = [], [], []
     for page, lists in pages:
@@ -245,15 +250,32 @@ def _shared_runs(pages: list[tuple[int, list[list[str]]]], run: int) -> tuple[np
             owner.append(np.full(len(tokens) + 1, page, np.int64))
             hashes.append(np.append(run_hashes(tokens, run), np.zeros(run, np.int64)))
     if not stream:
-        return (np.zeros(0, np.int64),) * 3
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)
     codes, owners, known = np.concatenate(stream), np.concatenate(owner), np.concatenate(hashes)
     order, begins = _equal_runs(codes, run)
     # A run over a separator belongs to no block: the separator follows within the run's tokens.
     ends = np.append(np.cumsum(codes < 0), 0)
     at = order[begins]
     whole = ends[at + run - 1] == np.where(at > 0, ends[at - 1], 0)
-    pages_ = owners[order]
-    return known[at][whole], np.minimum.reduceat(pages_, begins)[whole], np.maximum.reduceat(pages_, begins)[whole]
+    return owners[order], begins, whole, known[at]
+
+
+def _shared_runs(pages: list[tuple[int, list[list[str]]]], run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, least page, greatest page) of each distinct run in the token lists of pages."""
+    owners, begins, whole, hashes = _runs(pages, run)
+    if not len(begins):
+        return (np.zeros(0, np.int64),) * 3
+    return hashes[whole], np.minimum.reduceat(owners, begins)[whole], np.maximum.reduceat(owners, begins)[whole]
+
+
+def majority_runs(articles: list[list[list[str]]], run: int) -> np.ndarray:
+    """Hashes of the runs that more than half of the articles, given as token lists, have."""
+    owners, begins, whole, hashes = _runs(list(enumerate(articles)), run)
+    if not len(begins):
+        return hashes
+    group = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(owners))))
+    held = np.bincount(np.unique(group * len(articles) + owners) // len(articles), None, len(begins))
+    return np.unique(hashes[whole & (2 * held > len(articles))])
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,9 +309,32 @@ def _evidence(run: int):
     return act
 
 
-def kept_blocks(kinds: str, texts: str, repeated: np.ndarray, run: int = RUN) -> list[str]:
-    """The kept blocks' texts of a page; ``repeated`` holds the sorted hashes of its host's repeated runs."""
+def _article(kinds: str, texts: str) -> list[list[str]]:
+    """Token lists of the article's blocks; its headings are no evidence."""
+    return [t.split(" ") for k, t in zip(kinds, texts.split("\n")) if k == str(CONTENT)]
+
+
+def _without_common(blocks_: list[tuple[int, str]], common: np.ndarray, run: int) -> list[tuple[int, str]]:
+    """The blocks without the article's runs that are the host's own; all of them if those are half the article."""
+    out, gone_, total = [], 0, 0
+    for kind, text in blocks_:
+        if kind == CONTENT:
+            tokens = text.split(" ")
+            gone = _covered(np.flatnonzero(np.isin(run_hashes(tokens, run), common)), len(tokens), run)
+            gone_, total = gone_ + int(gone.sum()), total + len(tokens)
+            if gone.any():
+                text = " ".join(t for t, g in zip(tokens, gone) if not g)
+        if text:
+            out.append((kind, text))
+    return out if 2 * gone_ < total else blocks_
+
+
+def kept_blocks(kinds: str, texts: str, repeated: np.ndarray, run: int = RUN, common: np.ndarray | None = None) -> list[str]:
+    """The kept blocks' texts of a page; ``repeated`` holds the hashes of its host's repeated runs outside
+    articles, ``common`` those of the runs that are the host's own inside them."""
     blocks_ = list(zip(map(int, kinds), texts.split("\n"))) if kinds else []
+    if common is not None and len(common):
+        blocks_ = _without_common(blocks_, common, run)
     content = [i for i, (kind, _) in enumerate(blocks_) if kind in (CONTENT, TITLE)]
     if content:
         # An article without a heading of its own takes the last one that stands before it.
@@ -309,25 +354,43 @@ def kept_blocks(kinds: str, texts: str, repeated: np.ndarray, run: int = RUN) ->
     return kept
 
 
+def _named(run: int):
+    """A part's pages: the runs that most of its articles have."""
+    def act(key: tuple, pages: pa.Table) -> pa.Table:
+        texts = ([_article(k, t) for k, t in zip(pages["kinds"].to_pylist(), pages["texts"].to_pylist()) if str(CONTENT) in k])
+        found = majority_runs(texts, run)
+        return pa.table({"_host": pa.array([key[0].as_py()] * len(found), pa.string()), "run": pa.array(found, pa.int64())})
+    return act
+
+
+def _counted(run: int):
+    """A part's pages and the runs named in its host: how many articles have each, and some of these articles' hashes.
+    The row without a run counts all articles."""
+    def act(key: tuple, pages: pa.Table, named: pa.Table) -> pa.Table:
+        wanted, texts = np.unique(named["run"].to_numpy()), []
+        held = [[] for _ in wanted]
+        if len(wanted):
+            texts = [_article(k, t) for k, t in zip(pages["kinds"].to_pylist(), pages["texts"].to_pylist()) if str(CONTENT) in k]
+        for article in texts:
+            like = xxhash.xxh64_intdigest("\n".join(map(" ".join, article)).encode("utf-8", "replace")) - (1 << 63)
+            found = np.concatenate([run_hashes(tokens, run) for tokens in article])
+            for at in np.flatnonzero(np.isin(wanted, found)).tolist():
+                held[at].append(like)
+        n = len(wanted) + 1
+        return pa.table({
+            "_host": pa.array([key[0].as_py()] * n, pa.string()), "run": pa.array([*wanted.tolist(), None], pa.int64()),
+            "held": pa.array([*map(len, held), len(texts)], pa.int64()),
+            "likes": pa.array([*(sorted(set(h))[:COMMON_ARTICLES] for h in held), []], pa.list_(pa.int64()))})
+    return act
+
+
 def _decide(run: int):
-    """Rows sorted by host and part, each part's repeated runs before its pages."""
-    def act(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, repeated = None, [], np.zeros(0, np.int64)
-        for batch in batches:
-            hosts, parts, runs, kinds, texts = (batch.column(c).to_pylist() for c in ("_host", "_part", "run", "kinds", "texts"))
-            pages, kept = [], []
-            for i, at in enumerate(zip(hosts, parts)):
-                if at != key:
-                    key, held, repeated = at, [], np.zeros(0, np.int64)
-                if runs[i] is not None:
-                    held.append(runs[i])
-                    continue
-                if held:
-                    held, repeated = [], np.sort(np.concatenate([repeated, np.array(held, np.int64)]))
-                pages.append(i)
-                kept.append("\n\n".join(kept_blocks(kinds[i], texts[i], repeated, run)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_row").take(pa.array(pages, pa.int64())), pa.array(kept, pa.string())], ["_row", "text"])
+    """A part's pages and the runs that go: those of its host outside articles, and the host's own inside them."""
+    def act(pages: pa.Table, runs: pa.Table) -> pa.Table:
+        gone, inside = runs["run"].to_numpy(), runs["inside"].to_numpy(zero_copy_only=False).astype(bool)
+        repeated, common = np.sort(gone[~inside]), np.sort(gone[inside])
+        kept = ["\n\n".join(kept_blocks(k, t, repeated, run, common)) for k, t in zip(pages["kinds"].to_pylist(), pages["texts"].to_pylist())]
+        return pa.table({"_row": pages["_row"], "text": pa.array(kept, pa.string())})
     return act
 
 
@@ -344,7 +407,7 @@ def extract_text(pages: DataFrame, run: int = RUN, group_pages: int = GROUP_PAGE
     heavy = small(counts.where("parts > 1"))     # at most rows / group_pages hosts
     rows = pages.select(F.struct(*(F.col(f"`{c}`") for c in kept if c != "html")).alias("_row"), "html", F.lower(host).alias("_host"))
     rows = rows.join(heavy, "_host", "left").withColumn(
-        "_part", F.coalesce(F.pmod(F.xxhash64("html"), F.col("parts")), F.lit(0)).cast("int"))
+        "_part", F.coalesce(F.pmod(F.xxhash64("_row", "html"), F.col("parts")), F.lit(0)).cast("int"))
     kinds = rows.select("_row").schema[0].dataType.simpleString()
     parsed = rows.select("_row", "html", "_host", "_part").mapInArrow(
         _parse, f"_row {kinds}, _host string, _part int, kinds string, texts string")
@@ -354,9 +417,21 @@ def extract_text(pages: DataFrame, run: int = RUN, group_pages: int = GROUP_PAGE
         "_host", "_part", "run").agg(F.min("least").alias("least"), F.max("most").alias("most"))
     whole = W.partitionBy("_host", "run")
     repeated = runs.withColumn("least", F.min("least").over(whole)).withColumn("most", F.max("most").over(whole)).where(
-        "least <> most").select(F.lit(None).cast(kinds).alias("_row"), "_host", "_part", F.lit(None).cast("string").alias("kinds"),
-                                F.lit(None).cast("string").alias("texts"), "run")
-    dealt = parsed.withColumn("run", F.lit(None).cast("long")).unionByName(repeated)
-    decided = dealt.repartition("_host", "_part").sortWithinPartitions(
-        "_host", "_part", F.col("run").isNull()).mapInArrow(_decide(run), f"_row {kinds}, text string")
+        "least <> most").select("_host", "_part", "run", F.lit(False).alias("inside"))
+    # The parts' pages are shuffled once: the three steps over them ask for the same exchange.
+    part = parsed.groupBy("_host", "_part")
+
+    def in_parts(of_host: DataFrame) -> DataFrame:
+        each = of_host.join(heavy, "_host", "left")
+        return each.withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+
+    named = in_parts(part.applyInArrow(_named(run), "_host string, run long").distinct())
+    counted = part.cogroup(named.groupBy("_host", "_part")).applyInArrow(
+        _counted(run), "_host string, run long, held long, likes array<long>")
+    sums = counted.groupBy("_host", "run").agg(F.sum("held").alias("held"), F.array_distinct(F.flatten(F.collect_list("likes"))).alias("likes"))
+    total = F.sum(F.when(F.col("run").isNull(), F.col("held"))).over(W.partitionBy("_host"))
+    common = sums.withColumn("total", total).where(
+        F.col("run").isNotNull() & (2 * F.col("held") > F.col("total")) & (F.size("likes") >= COMMON_ARTICLES))
+    going = repeated.unionByName(in_parts(common.select("_host", "run")).select("_host", "_part", "run", F.lit(True).alias("inside")))
+    decided = part.cogroup(going.groupBy("_host", "_part")).applyInArrow(_decide(run), f"_row {kinds}, text string")
     return decided.select("_row.*", "text")

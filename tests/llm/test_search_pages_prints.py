@@ -174,6 +174,43 @@ def test_repeats_of_a_large_host_are_found_across_its_parts(spark):
     assert "notice" not in want[7] + want[41] and want[50] == "\n\n".join(pages[50])
 
 
+def test_a_hosts_own_notice_goes_from_inside_articles(spark):
+    """Most articles have the notice; a sentence that few share, copies of one article and a small host's lines stay."""
+    rng = random.Random(4)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    notice, shared = "Sign up to our letter and never miss a story", "The minister said that nothing at all had been decided yet"
+    rows, want = [], {}
+    for n in range(40):
+        blocks = [words(30), words(12)]
+        if n < 15:
+            blocks[0] += " " + shared
+        want[n] = "\n\n".join(["A title for all the pages of this site", *blocks])
+        made = [*blocks, notice] if n % 4 else blocks
+        if n % 8 == 1:      # inside a block too
+            made = [blocks[0] + " " + notice, blocks[1]]
+        rows.append((n, "http://big/x", "<article><h1>A title for all the pages of this site</h1>" + "".join(f"<p>{b}</p>" for b in made) + "</article>"))
+    copied = words(60)
+    for n in range(40, 46):     # one article with other endings
+        want[n] = f"{copied}\n\n{words(5)}"
+        rows.append((n, "http://copies/x", "<article>" + "".join(f"<p>{b}</p>" for b in want[n].split("\n\n")) + "</article>"))
+    for n in range(46, 52):     # one article under other menus, and two that share its sentence
+        want[n] = words(20) + " " + shared if n > 49 else f"{shared} {notice}"
+        rows.append((n, "http://mirror/x", f"<nav>{n}</nav><article>{want[n]}</article>"))
+    for n in range(52, 55):
+        want[n] = f"{words(20)}\n\n{notice}"
+        rows.append((n, "http://small/x", "<article>" + "".join(f"<p>{b}</p>" for b in want[n].split("\n\n")) + "</article>"))
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    for group_pages in (3, 256):
+        assert {r[0]: r[2] for r in html_extract.extract_text(docs, group_pages=group_pages).collect()} == want
+
+
+def test_majority_runs_are_those_of_most_articles():
+    a, b, c = list("abcdefgh"), list("xbcdefyz"), list("cdefcdef")
+    assert set(html_extract.majority_runs([[a], [b], [c]], 4)) == {
+        html_extract.run_hashes(list(t), 4)[0] for t in ("bcde", "cdef")}
+    assert not len(html_extract.majority_runs([[a[:3]], [b[:2]]], 4)) and not len(html_extract.majority_runs([], 4))
+
+
 def test_suffix_array_finds_the_runs_that_pages_share():
     rng = random.Random(1)
     stream, page = [], []
