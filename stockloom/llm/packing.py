@@ -9,15 +9,15 @@ group and groups to larger groups, until one is left. No document moves; only th
 
 from __future__ import annotations
 
-import itertools
 import string
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,25 +60,32 @@ class WordEncoder:
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _known(self, part: str) -> bool:
-        if part in self.memo:
-            return True
-        if (ids := self.older.get(part)) is None:
-            return False
-        self.memo[part] = ids
-        return True
+    def _new(self, parts: Iterable[str]) -> list[str]:
+        """The parts of which no encoding is kept; those kept among the older ones move on."""
+        memo, older, new = self.memo, self.older, []
+        for part in parts:
+            if part not in memo:
+                if (ids := older.get(part)) is None:
+                    new.append(part)
+                else:
+                    memo[part] = ids
+        return new
 
     def _learn(self, parts: list[str]) -> None:
         """Encode new parts: plain lower-case ASCII words by the model itself, others together, parted by the mark."""
-        tokenize, rest = self.tokenizer.model.tokenize, []
+        tokenize, rest, plain, found, ends = self.tokenizer.model.tokenize, [], [], [], [0]
         for part in parts:
             # Normalising and splitting leave such a word as it is.
             if part.isascii() and part.isalpha() and part.islower():
-                self.memo[part] = np.array([t.id for t in tokenize(part)], "<u4").tobytes()
+                plain.append(part)
+                found += [t.id for t in tokenize(part)]
+                ends.append(4 * len(found))
             elif self.MARK in part or "<|" in part or len(self.mark) != 1:
                 self.memo[part] = self._single(part)
             else:
                 rest.append(part)
+        data = np.array(found, "<u4").tobytes()
+        self.memo.update((p, data[b:e]) for p, b, e in zip(plain, ends, ends[1:]))
         for start in range(0, len(rest), LEARNED_AT_ONCE):
             some = rest[start:start + LEARNED_AT_ONCE]
             joined = f" {self.MARK} ".join(some)
@@ -96,12 +103,12 @@ class WordEncoder:
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.memo) > MOST_WORDS:
             self.older, self.memo = self.memo, {}
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()      # each part once, and where it stands
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         stems: dict[str, str] = {}
         tails: dict[str, str] = {}
-        for part in set(itertools.chain.from_iterable(split)).difference(self.memo):
-            if self._known(part):
-                continue
+        for part in self._new(parts):
             stem = part.rstrip(self.PUNCTUATION)
             # A letter whose lower case is several characters would be joined with what follows.
             if stem and len(stem) < len(part) and stem[-1] < "ɐ" and stem[-1].isalpha() and len(stem[-1].lower()) == 1:
@@ -110,10 +117,17 @@ class WordEncoder:
                 stem = part
             # The vocabulary lower-cases anyway.
             stems[part] = stem.lower() if stem.isascii() and "<|" not in stem else stem
-        self._learn([p for p in {*stems.values(), *tails.values()} if not self._known(p)])
+        self._learn(self._new({*stems.values(), *tails.values()}))
         for part, stem in stems.items():
             self.memo[part] = self.memo[stem] + (self.memo[tails[part]] if part in tails else b"")
-        return (b"".join(map(self.memo.__getitem__, parts)) for parts in split)
+        held = [self.memo[part] for part in parts]
+        data, sizes = np.frombuffer(b"".join(held), "<u4"), np.fromiter(map(len, held), np.int64, len(held)) // 4
+        starts, at = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        each = sizes[at]
+        ends = np.cumsum(each)
+        ids = data[np.repeat(starts[at] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.append(0, ends)[split.offsets.to_numpy()].tolist()
+        return (ids[b:e].tobytes() for b, e in zip(bounds, bounds[1:]))
 
 
 class Windows:

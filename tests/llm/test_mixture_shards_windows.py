@@ -6,6 +6,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from stockloom.llm import mixing, packing, sharding
@@ -151,6 +152,24 @@ def test_packing_round_trip(spark, tokenizer):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_a_part_is_looked_up_once_in_a_block_of_texts(tokenizer):
+    class Counting(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counting.asked += 1
+            return super().__getitem__(key)
+
+    encode = packing.WordEncoder()
+    encode.memo = Counting()
+    texts = ["word and word,\nword  " * 500, "", "And\tword, " * 300, " ", "İ. é! <|x|> \x01 word"]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for _ in range(2):
+        assert list(encode(texts)) == want
+    assert Counting.asked < 60
+    assert list(encode([])) == []
+
+
 def test_open_windows_are_bounded_and_best_fit():
     windows = packing.Windows(100, 2, 5)
     windows.add("a", 60)
