@@ -399,7 +399,7 @@ def extract_text(pages: DataFrame, run: int = RUN, group_pages: int = GROUP_PAGE
 
     Pages need url and html; null html is an empty page, null urls share a host of their own; the text is
     empty if nothing is kept. An input column ``text`` is replaced, other columns stay. Repeated rows are pages of their own but no evidence of
-    each other's repeats. No rows: no rows.
+    each other's repeats: inside articles they count among the host's pages, not as different articles. No rows: no rows.
     """
     kept = [c for c in pages.columns if c != "text"]
     host = F.coalesce(F.regexp_extract("url", r"^(?:[a-zA-Z][\w+.-]*:)?//([^/?#]*)", 1), F.lit(""))
