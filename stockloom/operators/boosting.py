@@ -23,15 +23,17 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.session import scratch_path, shared_dir
+from stockloom.session import shared_dir, stored
 
 BINS = 32
 BLOCK_ROWS = 1 << 19      # rows of a block; what a task holds is this times features and models of its group
 ROWS_AT_ONCE = 2048       # rows predicted at once
-PACKED = 1 << 10          # cells of features that are counted together
-COUNTED_AT_ONCE = 1 << 15 # rows
+PACKED = 1 << 11          # cells of features that are counted together
+FIRST_LOOK = 1 << 14      # rows that tell most features apart which do not fit together
+COUNTED_AT_ONCE = 1 << 17 # rows
 TIE = 1e-9                # relative difference below which gains are equal
-FITTED_AT_ONCE = 32       # tasks that models are dealt over
+FITTED_AT_ONCE = 64       # most tasks that models are dealt over; each holds the block
+TASKS_A_CORE = 3
 LEVELS_PER_CHECKPOINT = 60
 
 
@@ -117,25 +119,53 @@ def binned_blocks(matrix: DataFrame, columns: list[str], labels: list[str], edge
                  pa.array([held.tobytes()], pa.binary()), pa.array([values(batch, "_position").astype(np.int32).tobytes()], pa.binary())],
                 ["rows", "bins", "labels", "positions"])
 
-    path = scratch_path(matrix.sparkSession, "binned")
-    chosen.mapInArrow(run, "rows long, bins binary, labels binary, positions binary").write.parquet(path)
-    return matrix.sparkSession.read.parquet(path)
+    return stored(chosen.mapInArrow(run, "rows long, bins binary, labels binary, positions binary"), "binned")
 
 
 # --- kernels over one block ----------------------------------------------------------------------------
 
-def packs(sizes: list[int]) -> list[list[int]]:
-    """Columns whose joint bins have at most PACKED cells, so that one count serves several of them."""
-    out: list[list[int]] = []
-    room: list[int] = []
+class Pack:
+    """Columns counted together: one cell per combination of bins that occurs, so columns that follow from
+    each other, as a calendar's do, share few cells."""
+
+    def __init__(self, column: int, size: int, bins: np.ndarray):
+        self.columns, self.bins = [column], [np.arange(size)]   # per column the bin of each cell
+        self.index, self.cells = bins.astype(np.int32), size
+
+    def take_in(self, column: int, size: int, bins: np.ndarray) -> bool:
+        """Whether the column's bins and the cells so far occur in at most PACKED combinations; if so it joins."""
+        if self.cells * size > PACKED and len(bins) > FIRST_LOOK:
+            first = self.index[:FIRST_LOOK] * size + bins[:FIRST_LOOK]
+            if np.count_nonzero(np.bincount(first, None, self.cells * size)) > PACKED:
+                return False
+        joint = self.index * size + bins
+        held = np.flatnonzero(np.bincount(joint, None, self.cells * size))
+        if len(held) > PACKED:
+            return False
+        cell = np.zeros(self.cells * size, np.int32)
+        cell[held] = np.arange(len(held))
+        self.index, self.cells = cell[joint], len(held)
+        self.bins = [b[held // size] for b in self.bins] + [held % size]
+        self.columns.append(column)
+        return True
+
+    def close(self, starts: np.ndarray) -> np.ndarray:
+        """The cells of the rows. Keeps how cells add up to the columns' bins, which begin at ``starts``: the cells
+        in order of bins, where a bin's cells begin, and its place."""
+        order = [np.argsort(b, kind="stable") for b in self.bins]
+        place = np.concatenate([starts[c] + b[o] for c, b, o in zip(self.columns, self.bins, order)])
+        self.begin = np.flatnonzero(np.diff(place, prepend=-1))
+        self.order, self.place = np.concatenate(order), place[self.begin]
+        index, self.index = self.index.astype(np.uint16), None
+        return index
+
+
+def packs(sizes: list[int], bins: np.ndarray) -> list[Pack]:
+    """All columns in packs, each in the first that it fits in."""
+    out: list[Pack] = []
     for column in sorted(range(len(sizes)), key=lambda c: -sizes[c]):
-        at = next((k for k, cells in enumerate(room) if cells * sizes[column] <= PACKED), None)
-        if at is None:
-            out.append([column])
-            room.append(sizes[column])
-        else:
-            out[at].append(column)
-            room[at] *= sizes[column]
+        if not any(p.take_in(column, sizes[column], bins[column]) for p in out):
+            out.append(Pack(column, sizes[column], bins[column]))
     return out
 
 
@@ -145,54 +175,45 @@ class Block:
     def __init__(self, bins: np.ndarray, labels: np.ndarray, positions: np.ndarray, sizes: list[int]):
         self.bins, self.sizes, self.labels, self.positions = bins, sizes, labels, positions
         self.starts = np.concatenate([[0], np.cumsum(sizes)])
-        self.packs = packs(sizes)
-        self.joint = []
-        for held in self.packs:
-            index = np.zeros(bins.shape[1], np.int64)
-            for column in held:
-                index = index * sizes[column] + bins[column]
-            self.joint.append(index.astype(np.uint16))
-
-    def chosen(self, label: int, last: int | None) -> np.ndarray | slice:
+        self.packs = packs(sizes, bins)
+        self.joint = np.column_stack([p.close(self.starts) for p in self.packs])   # rows x packs
+
+    def chosen(self, label: int, last: int | None) -> np.ndarray:
         """Rows of a model: its label is known and lies up to ``last``."""
         known = ~np.isnan(self.labels[label])
-        rows = np.flatnonzero(known if last is None else known & (self.positions <= last))
-        return slice(len(rows)) if len(rows) and rows[-1] == len(rows) - 1 else rows
+        return np.flatnonzero(known if last is None else known & (self.positions <= last))
 
 
-def counted(block: Block, joint: list[np.ndarray], rows: np.ndarray | None, node: np.ndarray, residual: np.ndarray, width: int) -> np.ndarray:
+def counted(block: Block, joint: np.ndarray, nodes: list[np.ndarray | slice], residual: np.ndarray) -> np.ndarray:
     """(2, nodes, cells): sums of the residuals and numbers of rows in every bin of every column.
 
     Both come from one sum: a row weighs its residual, rounded to a step that lets all sums be exact, plus a power
-    of two above any sum of residuals. So sums do not depend on the order of the rows either. ``rows`` picks from
-    ``joint`` (None: all), ``node`` and ``residual`` are of the rows picked.
+    of two above any sum of residuals. So sums do not depend on the order of the rows either. ``nodes`` picks each
+    node's rows from ``joint`` and ``residual``.
     """
-    high = 2.0 ** math.ceil(math.log2(2 * np.abs(residual).sum() + 2))
-    step = 2.0 ** (math.ceil(math.log2(high * (len(residual) + 1))) - 52)
-    weights = np.round(residual / step) * step + high
-    offset = node.astype(np.int64) * PACKED
-    sums = np.zeros((len(joint), width * PACKED))
-    for start in range(0, len(residual), COUNTED_AT_ONCE):   # few enough rows for the weights to stay in the cache
-        some = slice(start, start + COUNTED_AT_ONCE)
-        weight, shift = weights[some], offset[some]
-        for total, index in zip(sums, joint):
-            at = index[some] if rows is None else index.take(rows[some])
-            total += np.bincount(at + shift if width > 1 else at, weight, width * PACKED)
-    out = np.empty((2, width, block.starts[-1]))
-    for held, total in zip(block.packs, sums):
-        shape = [block.sizes[c] for c in held]
-        cells = total.reshape(width, PACKED)[:, :math.prod(shape)].reshape(width, *shape)
-        for axis, column in enumerate(held):
-            others = tuple(a + 1 for a in range(len(held)) if a != axis)
-            part = cells.sum(axis=others) if others else cells
-            at = slice(block.starts[column], block.starts[column + 1])
-            out[1, :, at] = np.round(part / high)
-            out[0, :, at] = part - out[1, :, at] * high
+    values = [residual[rows] for rows in nodes]
+    rows_all = sum(len(v) for v in values)
+    high = 2.0 ** math.ceil(math.log2(2 * sum(np.abs(v).sum() for v in values) + 2))
+    step = 2.0 ** (math.ceil(math.log2(high * (rows_all + 1))) - 52)
+    sums = np.zeros((len(block.packs), len(nodes), PACKED))
+    for node, (rows, value) in enumerate(zip(nodes, values)):
+        weights = np.round(value / step) * step + high
+        for start in range(0, len(value), COUNTED_AT_ONCE):   # few enough rows for the weights to stay in the cache
+            weight = weights[start:start + COUNTED_AT_ONCE]
+            some = joint[start:start + COUNTED_AT_ONCE] if isinstance(rows, slice) else joint.take(
+                rows[start:start + COUNTED_AT_ONCE], axis=0)
+            for k, pack in enumerate(block.packs):
+                sums[k, node, :pack.cells] += np.bincount(some[:, k], weight, pack.cells)
+    out = np.zeros((2, len(nodes), block.starts[-1]))
+    for pack, total in zip(block.packs, sums):
+        out[0][:, pack.place] = np.add.reduceat(total.take(pack.order, axis=1), pack.begin, axis=1)
+    out[1] = np.round(out[0] / high)
+    out[0] -= out[1] * high
     return out
 
 
-def best_splits(sums: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per node of (2, nodes, cells): column (-1: none), last bin of the left side (255), gain, number of rows."""
+def best_splits(sums: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, ...]:
+    """Per node of (2, nodes, cells): column (-1: none), last bin of the left side (255), gain, number of rows, those going left."""
     starts = np.concatenate([[0], np.cumsum(sizes)])
     total, count = sums[0, :, :sizes[0]].sum(axis=1), sums[1, :, :sizes[0]].sum(axis=1)
     running = np.cumsum(sums, axis=2)
@@ -209,7 +230,7 @@ def best_splits(sums: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndar
     first = np.argmax(gain >= (top * (1 - TIE))[:, None], axis=1)
     splits = top > TIE * np.maximum(1.0, np.abs(total))
     return (np.where(splits, column[first], -1), np.where(splits, first - starts[column[first]], 255),
-            np.where(splits, top, 0.0), count)
+            np.where(splits, top, 0.0), count, np.where(splits, held[np.arange(len(first)), first], count))
 
 
 class Grower:
@@ -217,8 +238,8 @@ class Grower:
 
     def __init__(self, block: Block, label: int, last: int | None, base: float):
         rows = block.chosen(label, last)
-        self.bins = block.bins[:, rows] if isinstance(rows, slice) else block.bins.take(rows, axis=1)
-        self.joint = [j[rows] for j in block.joint]
+        self.bins, self.joint = block.bins.take(rows, axis=1), block.joint.take(rows, axis=0)
+        self.whole = np.asfortranarray(self.joint)   # the same, pack by pack, for counting all rows
         self.target = block.labels[label][rows]
         self.made = np.full(len(self.target), base)
         self.start()
@@ -227,12 +248,11 @@ class Grower:
         self.node, self.residual = np.zeros(len(self.target), np.uint8), self.target - self.made
 
     def histograms(self, block: Block, level: int) -> np.ndarray:
-        return counted(block, self.joint, None, self.node, self.residual, 1 << level)
+        return self.of_nodes(block, range(1 << level)) if level else counted(block, self.whole, [slice(None)], self.residual)
 
-    def of_nodes(self, block: Block, wanted: np.ndarray, width: int) -> np.ndarray:
-        """Histograms of the wanted nodes, one of each pair."""
-        at = np.flatnonzero(wanted[self.node])
-        return counted(block, self.joint, at, self.node[at] >> 1, self.residual[at], width)
+    def of_nodes(self, block: Block, wanted) -> np.ndarray:
+        """Histograms of the wanted nodes."""
+        return counted(block, self.joint, [np.flatnonzero(self.node == node) for node in wanted], self.residual)
 
     def split(self, feature: np.ndarray, cut: np.ndarray) -> None:
         """Rows above their node's cut go right; a node without a split keeps all rows left."""
@@ -295,10 +315,13 @@ class Model:
 
 
 def _joined(pieces: list, columns: int, labels: int, sizes: list[int]) -> Block:
-    """One block from its pieces by position, in a fixed order so that sums do not depend on how they arrived."""
+    """One block from its pieces, in a fixed order so that sums do not depend on how they arrived.
+
+    Neighbours share days, and adding to one cell row after row waits for each addition: the order is a mixed one.
+    """
     pieces = sorted(pieces, key=lambda p: (p[0], p[1], p[2]))
     positions = np.concatenate([np.frombuffer(p[3], np.int32) for p in pieces])
-    order = np.argsort(positions, kind="stable")
+    order = np.random.default_rng(0).permutation(len(positions))
     return Block(np.concatenate([np.frombuffer(p[1], np.uint8).reshape(columns, p[0]) for p in pieces], axis=1).take(order, axis=1),
                  np.concatenate([np.frombuffer(p[2], np.float64).reshape(labels, p[0]) for p in pieces], axis=1).take(order, axis=1),
                  positions[order], sizes)
@@ -318,11 +341,8 @@ def _grown(block: Block, model: Model, base: float, rounds: int, depth: int, ste
             grower.split(*found[:2])
             if level + 1 == depth:
                 break
-            counts = np.bincount(grower.node, None, 2 << level)
-            small = 2 * np.arange(1 << level) + (counts[1::2] < counts[::2])
-            wanted = np.zeros(2 << level, bool)
-            wanted[small] = True
-            half = grower.of_nodes(block, wanted, 1 << level)
+            small = 2 * np.arange(1 << level) + (found[3] - found[4] < found[4])
+            half = grower.of_nodes(block, small.tolist())
             below = np.empty((2, 2 << level, half.shape[2]))
             below[:, small] = half
             below[:, small ^ 1] = sums - half
@@ -363,9 +383,7 @@ def fit(
     ``last``, the rows' ``position`` in their series. What comes to the driver are the trees, whose size the
     parameters bound: models x rounds x nodes.
     """
-    path = scratch_path(matrix.sparkSession, "matrix")   # read for the cuts and again for the bins
-    matrix.select(*columns, *labels, *([position] if position else [])).write.parquet(path)
-    matrix = matrix.sparkSession.read.parquet(path)
+    matrix = stored(matrix.select(*columns, *labels, *([position] if position else [])), "matrix")   # read for the cuts and again for the bins
     edges = bin_edges(matrix, columns, bins)
     sizes = [len(e) + 1 for e in edges]
     blocks = binned_blocks(matrix, columns, labels, edges, position)
@@ -384,7 +402,7 @@ def fit(
 
 def _in_one_block(blocks, shards, models, bases, columns, labels, sizes, rounds, depth, step_size) -> dict[int, Trees]:
     """The models dealt over tasks, each with the whole block: nothing has to be added up."""
-    groups = min(len(models), FITTED_AT_ONCE)
+    groups = min(len(models), FITTED_AT_ONCE, TASKS_A_CORE * blocks.sparkSession.sparkContext.defaultParallelism)
     dealt = {g: models[g::groups] for g in range(groups)}
 
     def run(pair):

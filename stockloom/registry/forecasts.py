@@ -11,6 +11,7 @@ from stockloom.operators import (
 from stockloom.operators.series_fit import as_forecast
 from stockloom.plans.forecasting import backtest
 from stockloom.registry.base import query, rounded
+from stockloom.session import stored
 
 H = 14
 ORDER = "PARTITION BY store_id, item_id ORDER BY day_no"
@@ -415,8 +416,9 @@ def best_fitted_model(retail):
 @query("d10_walk_forward_trees")
 def walk_forward_trees(retail):
     """The tree model refitted at the origins of the fitted models: first after 15 days, then every fifth."""
-    made = trees.tree_backtest(retail.panel, trees.origins(retail.series, 15, 5, TREE_HORIZON), TREE_HORIZON)
-    return rounded(D.compare(D.attach_actuals(made, retail.series), ["model", "origin"]))
+    series = stored(retail.series, "series")   # for origins and actuals; the features keep their partitions, on which cuts depend
+    made = trees.tree_backtest(retail.panel, trees.origins(series, 15, 5, TREE_HORIZON), TREE_HORIZON)
+    return rounded(D.compare(D.attach_actuals(made, series), ["model", "origin"]))
 
 
 @query("d11_comparison", """

@@ -80,6 +80,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there, for a table that many steps read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote for its own use; call it when its results have been read."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))

@@ -136,3 +136,21 @@ def test_contributions_are_shapley_values(table):
     assert told < 1e-9
     ranking = boosting.mean_contributions(df, model).collect()
     assert [r["feature"] for r in ranking][0] == "a" and len(ranking) == 4
+
+
+def test_columns_that_follow_from_each_other_are_counted_together():
+    """A calendar's columns share one count, and counts per node are the plain sums of every bin."""
+    rng = np.random.default_rng(3)
+    day = rng.integers(0, 896, 5000)
+    week, free = day // 28, rng.integers(0, 32, (2, 5000))
+    bins = np.stack([week, 31 - week, (week * 7) % 32, week // 4, *free]).astype(np.uint8)
+    sizes = [32, 32, 32, 8, 32, 32]
+    block = boosting.Block(bins, rng.normal(size=(1, 5000)), day.astype(np.int32), sizes)
+    assert sorted(sorted(p.columns) for p in block.packs) == [[0, 1, 2, 3, 4], [5]]
+    nodes = [np.flatnonzero(week % 3 == k) for k in range(3)] + [np.array([], np.int64)]
+    sums, counts = boosting.counted(block, block.joint, nodes, block.labels[0])
+    for node, rows in enumerate(nodes):
+        for column, size in enumerate(sizes):
+            at = slice(block.starts[column], block.starts[column + 1])
+            np.testing.assert_array_equal(counts[node, at], np.bincount(bins[column, rows], None, size))
+            np.testing.assert_allclose(sums[node, at], np.bincount(bins[column, rows], block.labels[0][rows], size), atol=1e-6)   # residuals are rounded
